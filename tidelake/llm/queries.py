@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import packing, tokens
+from tidelake.llm import packing, reading, tokens
 from tidelake.runtime import table, write_cut
 
 
@@ -19,5 +19,16 @@ def p7_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(sizes, table(spark, sf_dir, "pack_budgets"))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p7_sequences)}
+def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reading level of every document."""
+    d = reading.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
+    return d.select("doc_id", "is_english_prose", "level", F.round("level_estimate", 4).alias("level_estimate"), "n_words", "n_sentences")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = reading.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
+    return d.where("is_english_prose AND level >= 4").select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p6_ids, p7_sequences, p8_levels, p8_found)}
 SQL: dict[str, str] = {}

@@ -20,7 +20,7 @@ CHUNK = 20_000
 LONG_BLANK = 500
 
 # White space as \s of PATTERN means it (the Unicode property).
-_WS = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+_WS = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BLANK_RUN = re.compile(f"[{_WS}]{{{LONG_BLANK},}}")
 # A blank after a visible ASCII character starts a piece of its own, whatever follows; so does a digit after a
 # letter or a letter after a digit.
