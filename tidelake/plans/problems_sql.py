@@ -27,7 +27,7 @@ l AS (SELECT e.*, CASE WHEN received_at > upto THEN CASE WHEN received_at >= (ho
 _P2_FOUND = f"{_P2} SELECT DISTINCT exchange, symbol, stream, hour_start_ms, CASE class WHEN 1 THEN 'corrected' ELSE 'cut_off' END AS outcome FROM l WHERE class > 0"
 
 _P2_COUNTS = f"""{_P2}, u AS (SELECT exchange, symbol, stream, hour_start_ms, source, version, min(class) AS class FROM l GROUP BY ALL)
-SELECT exchange, symbol, stream, hour_start_ms, count_if(class = 0) AS n_on_time, count_if(class = 1) AS n_corrected, count_if(class = 2) AS n_cut_off, count_if(class < 2) AS n_final
+SELECT exchange, symbol, stream, hour_start_ms, count_if(class = 0)::BIGINT AS n_on_time, count_if(class = 1)::BIGINT AS n_corrected, count_if(class = 2)::BIGINT AS n_cut_off, count_if(class < 2)::BIGINT AS n_final
 FROM u GROUP BY ALL"""
 
 _P3 = r"""
