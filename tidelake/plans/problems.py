@@ -9,7 +9,8 @@ from tidelake.functions.names import NAMES, norm_names, path_columns
 from tidelake.functions.timeutil import DAY_MS, HOUR_MS, floor_div, ns_to_ms
 from tidelake.operators import compact, diff, late_counts
 from tidelake.operators.intervals import covered_and_gaps
-from tidelake.runtime import table
+from tidelake.runtime import scratch, table, write_cut
+from tidelake.sources import archive, sink
 from tidelake.streaming import exactly_once
 
 KEYS = list(NAMES)
@@ -59,6 +60,21 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact.plan(_p3_listing(spark, sf_dir)).select("file_path")
 
 
+def p3_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carries the plan out on real bytes: each planned file that has envelopes is written as a small compressed
+    file, the files are joined byte by byte as planned, and the joined files are read back."""
+    files = compact.plan(_p3_listing(spark, sf_dir)).select("file_path", "target_path", "source_no")
+    rows = table(spark, sf_dir, "envelopes").join(files.select("file_path"), "file_path", "left_semi")
+    base = scratch(spark, "archive") + "/"
+    small = write_cut(sink.write_json_lines(rows, base, ["row_id"], base=base), "small", spark)
+    todo = files.join(small.select(F.col("target").alias("file_path"), F.col("bytes").alias("size_bytes"), "n_lines"), "file_path")
+    joined = write_cut(sink.join_planned(todo, base), "joined", spark)
+    back = archive.count_lines(joined, "target_path", base)
+    told = todo.groupBy("target_path").agg(F.sum("n_lines").alias("n_expected"))
+    out = joined.select("target_path", "source_files", "error").join(told, "target_path").join(back.select("target_path", "n_lines"), "target_path")
+    return out.select("target_path", "source_files", "n_expected", "n_lines", "error")
+
+
 FIELDS = ["exchange", "symbol", "stream", "start_ms", "end_ms", "reason", "detail"]
 
 
@@ -79,4 +95,4 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactly_once.repeated_rows(spark, rows, "row_id", "received_at", exactly_once.envelope_identifiers()).select("row_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_counts, p3_found, p3_plan, p4_found, p4_differences, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_counts, p3_found, p3_plan, p3_consolidated, p4_found, p4_differences, p5_found)}

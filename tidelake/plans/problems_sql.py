@@ -38,6 +38,16 @@ k AS (SELECT file_path, size, lower(trim(a[-5])) || '/' || lower(trim(a[-4])) ||
 d AS (SELECT *, count_if(hourly AND size > 0 AND size < 8192) OVER (PARTITION BY day) AS n, count_if(daily AND size > 0) OVER (PARTITION BY day) AS whole FROM k)
 SELECT file_path FROM d WHERE hourly AND size > 0 AND size < 8192 AND n >= 2 AND whole = 0"""
 
+_P3_PLAN = f"""WITH t AS ({_P3}), q AS (SELECT file_path, arg_max(size_bytes, listed_at) AS size_bytes FROM archive_files WHERE file_path IN (SELECT file_path FROM t) GROUP BY file_path),
+k AS (SELECT *, string_split(file_path, '/') AS a FROM q), h AS (SELECT *, 'archive/' || lower(trim(a[-5])) || '/' || lower(trim(a[-4])) || '/' || lower(trim(a[-3])) || '/' || a[-2] || '/part-00000.jsonl.zst' AS target_path,
+  regexp_extract(a[-1], '^hour-([0-9]+)', 1)::INTEGER AS hour, CASE WHEN a[-1] LIKE '%.late-%' THEN 1 WHEN a[-1] LIKE '%.backfill-%' THEN 2 ELSE 0 END AS rank, TRY_CAST(nullif(regexp_extract(a[-1], '-([0-9]+)\\.jsonl', 1), '') AS INTEGER) AS n FROM k)
+SELECT file_path, target_path, row_number() OVER w AS source_no, size_bytes, (sum(size_bytes) OVER w - size_bytes)::BIGINT AS target_offset FROM h
+WINDOW w AS (PARTITION BY target_path ORDER BY hour, rank, CASE rank WHEN 0 THEN 0 ELSE n END, file_path ROWS UNBOUNDED PRECEDING)"""
+
+_P3_DONE = f"""WITH t AS ({_P3}), p AS (SELECT file_path, string_split(file_path, '/') AS a FROM t),
+k AS (SELECT file_path, 'archive/' || lower(trim(a[-5])) || '/' || lower(trim(a[-4])) || '/' || lower(trim(a[-3])) || '/' || a[-2] || '/part-00000.jsonl.zst' AS target_path FROM p)
+SELECT target_path, count(DISTINCT file_path) AS source_files, count(*) AS n_expected, count(*) AS n_lines, NULL::VARCHAR AS error FROM k JOIN envelopes USING (file_path) GROUP BY target_path"""
+
 _FIELDS = ["exchange", "symbol", "stream", "start_ms", "end_ms", "reason", "detail"]
 
 
@@ -66,4 +76,4 @@ y AS (SELECT a, b FROM x UNION SELECT b, a FROM x),
 r(a, b) AS (SELECT a, a FROM y UNION SELECT r.a, y.b FROM r JOIN y ON r.b = y.a)
 SELECT a AS row_id FROM r GROUP BY a HAVING min(b) < a"""
 
-SQL = {"p1_found": _P1, "p2_found": _P2_FOUND, "p2_counts": _P2_COUNTS, "p3_found": _P3, "p4_found": _P4, "p4_differences": _P4_DIFF, "p5_found": _P5}
+SQL = {"p1_found": _P1, "p2_found": _P2_FOUND, "p2_counts": _P2_COUNTS, "p3_found": _P3, "p3_plan": _P3_PLAN, "p3_consolidated": _P3_DONE, "p4_found": _P4, "p4_differences": _P4_DIFF, "p5_found": _P5}
