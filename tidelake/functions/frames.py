@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Suffix of a stream key -> stream.
 STREAM_KEYS = {"aggTrade": "trades", "depth": "depth", "bookTicker": "bookticker", "markPrice": "funding_rate", "forceOrder": "liquidations"}
@@ -71,12 +72,15 @@ def _data(text: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
-def raw_data(frame: pd.Series) -> pd.Series:
-    """The payload of combined frames, character for character (no re-serialisation)."""
+def _all_data(frame: pd.Series) -> pd.Series:
     return frame.map(_data)
 
 
+def raw_data(frame: Column) -> Column:
+    """The payload of combined frames, character for character (no re-serialisation)."""
+    return F.pandas_udf(_all_data, StringType())(frame)
+
+
 def stream_key_columns(key: Column) -> tuple[Column, Column]:
     """(symbol in lower case, stream or null) of a key like btcusdt@aggTrade or !forceOrder@arr."""
     parts = F.split(key, "@")

@@ -7,13 +7,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidelake.functions.names import path_columns
 from tidelake.sources.zstd_files import good_length, read_lines
 
 #: An archived line: data and gap envelopes in one schema; unknown fields are ignored.
-ENVELOPE = T.StructType.fromDDL(
+ENVELOPE = (
     "v int, type string, exchange string, symbol string, stream string, received_at bigint, exchange_ts bigint, collector_session_id string, session_seq bigint, "
     "raw_text string, raw_sha256 string, _topic string, _partition int, _offset bigint, gap_start_ts bigint, gap_end_ts bigint, reason string, detail string, "
     "component string, cause string, planned boolean, classifier string, evidence map<string,array<string>>, maintenance_id string, "
