@@ -23,20 +23,11 @@ class Bins:
         self.rooms = 0  # bit r: some bin has room r
         self.clusters: list[int] = []
 
-    def new(self) -> int:
-        self.clusters.append(0)
-        return len(self.clusters) - 1
-
-    def _put(self, b: int, room: int, sources: int) -> None:
-        if room:
-            self.by_room.setdefault(room, {}).setdefault(sources, []).append(b)
-            self.rooms |= 1 << room
+    def find(self, size: int, source: int, cluster: int, least: int = 0) -> tuple[int, int] | None:
+        """The bin that the item goes into and the room it had; None if no bin takes it.
 
-    def place(self, size: int, source: int, cluster: int, least: int = 0) -> tuple[int, int]:
-        """The bin that the item goes into, and the room it had.
-
-        Successor search over the rooms from `least` up: the tightest bin with no item of the cluster takes it;
-        among equally tight ones one without the source, if there is any. Without a bin, a new one.
+        Successor search over the rooms from `least` up: the tightest bin with no item of the cluster (0: any)
+        takes it; among equally tight ones one without the source, if there is any.
         """
         first = max(size, least)
         left = self.rooms >> first
@@ -56,49 +47,65 @@ class Bins:
                                 if not kinds:
                                     del self.by_room[room]
                                     self.rooms &= ~(1 << room)
-                            self.clusters[b] |= cluster
-                            self._put(b, room - size, sources | source)
+                            self.put(b, room - size, sources | source, cluster)
                             return b, room
             left &= left - 1
-        b = self.new()
-        self.clusters[b] = cluster
-        self._put(b, self.capacity - size, source)
-        return b, self.capacity
+        return None
+
+    def open(self, size: int, source: int, cluster: int) -> int:
+        self.clusters.append(0)
+        self.put(len(self.clusters) - 1, self.capacity - size, source, cluster)
+        return len(self.clusters) - 1
+
+    def put(self, b: int, room: int, sources: int, cluster: int) -> None:
+        self.clusters[b] |= cluster
+        if room:
+            self.by_room.setdefault(room, {}).setdefault(sources, []).append(b)
+            self.rooms |= 1 << room
 
 
 def pack(items: Iterable[tuple[int, int, int, int]], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """(doc_id, size, source, cluster) into (bin, doc_id, piece, start, size); no item of 0 size."""
-    out, rest, n_bins, total = [], [], 0, 0
+    """(doc_id, size, source, cluster) into (bin, doc_id, piece, start, size); no item of 0 size.
+
+    Best fit, largest first. Copies of a text keep apart as long as that costs no room: where no bin without the
+    text has room, a new one is opened only while there are fewer bins than the tokens need; beyond that the
+    copy goes into the tightest bin of all.
+    """
+    out, rest, n_full, total = [], [], 0, 0
     for doc, size, source, cluster in items:
         full, tail = divmod(size, capacity)
         for p in range(full):
-            out.append((n_bins, doc, p, p * capacity, capacity))
-            n_bins += 1
+            out.append((n_full, doc, p, p * capacity, capacity))
+            n_full += 1
         if tail:
             rest.append((tail, cluster, doc, full, source))
             total += tail
     rest.sort(key=lambda x: (-x[0], x[1], x[2]))
     copies = Counter(x[1] for x in rest)
-    least_bins = max(1, math.ceil(total / capacity))
-    # A cluster with more copies than the shard needs bins can't have a bin for each without wasting room: its
-    # copies take turns in as few parts as make each part fit, and only copies of one part keep apart.
-    parts = {c: math.ceil(n / least_bins) for c, n in copies.items() if n > 1}
-    bits: dict[tuple[int, int], int] = {}
-    turn: Counter = Counter()
+    needed = math.ceil(total / capacity)
+    bits: dict[int, int] = {}
     sources: dict[int, int] = {}
-    bins, last, at = Bins(capacity), None, {}
+    bins = Bins(capacity)
+    run, from_room, apart = None, 0, True
     for size, cluster, doc, full, source in rest:
-        bit, where = 0, None
-        if cluster in parts:
-            part = turn[cluster] % parts[cluster]
-            turn[cluster] += 1
-            bit = bits.setdefault((cluster, part), 1 << len(bits))
-            where = (cluster, part)
-        if last != (cluster, size):
-            last, at = (cluster, size), {}
-        b, room = bins.place(size, sources.setdefault(source, 1 << len(sources)), bit, at.get(where, 0) if parts.get(cluster) == 1 else 0)
-        at[where] = room if room < capacity else 0
-        out.append((n_bins + b, doc, full, full * capacity, size))
+        bit = bits.setdefault(cluster, 1 << len(bits)) if copies[cluster] > 1 else 0
+        src = sources.setdefault(source, 1 << len(sources))
+        if run != (cluster, size):
+            # Of a run of equal copies each search goes on at the room where the one before ended: tighter bins
+            # hold the text already; and once no bin is free of it, none will be for the rest of the run.
+            run, from_room, apart = (cluster, size), 0, True
+        got = bins.find(size, src, bit, from_room) if apart else None
+        if got:
+            b, from_room = got[0], got[1] if bit else 0
+        else:
+            apart = not bit
+            b = bins.open(size, src, bit) if not bit or len(bins.clusters) < needed else None
+            if b is None:
+                got = bins.find(size, src, 0)
+                b = got[0] if got else bins.open(size, src, bit)
+                if got:
+                    bins.clusters[b] |= bit
+        out.append((n_full + b, doc, full, full * capacity, size))
     return out
 
 
@@ -109,8 +116,8 @@ def pack_documents(sizes: DataFrame, budgets: DataFrame, shard_tokens: int = SHA
     (budget_name, capacity_tokens). Output: budget_name, sequence_id, doc_id, piece, start_token, n_tokens.
 
     The documents are spread by a hash of doc_id over shards of about shard_tokens tokens; each shard is packed
-    by itself, largest first, into the tightest sequence that holds no copy of the same text. A shard wastes
-    about one sequence; at 8,000,000 tokens and 8,192 a sequence that is 0.1 %. Copies of one text, however
+    by itself, largest first, into the tightest sequence that holds no copy of the same text (see pack). A shard
+    wastes about one sequence; at 8,000,000 tokens and 8,192 a sequence that is 0.1 %. Copies of one text, however
     many, spread over all shards like any other documents.
 
     Defined cases: a document of more than the capacity is cut into full sequences and a rest; documents of no
