@@ -67,7 +67,8 @@ def period_counts(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 def attach_checkpoints(rows: DataFrame, checkpoints: DataFrame, keys: list[str], hour: str, value: str, salt: str, salts: int = 16) -> DataFrame:
     """rows with the greatest `value` of their keys and hour (null without one), salted so that a hot hour is
-    spread over `salts` tasks; the checkpoints are reduced to one row for each hour first."""
+    spread over `salts` tasks; the checkpoints are reduced to one row for each hour first. Always a merge join:
+    what an estimate takes for a small side is `salts` times larger."""
     best = checkpoints.groupBy(*keys, hour).agg(F.max(value).alias(value)).where(F.col(value).isNotNull())
     best = best.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.join(best, [*keys, hour, salt], "left")
+    return rows.join(best.hint("merge"), [*keys, hour, salt], "left")
