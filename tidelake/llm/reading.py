@@ -34,7 +34,8 @@ FUNCTION_WORDS = {
 _LINES = re.compile("[\r\n\x0b\x0c\x85  ]+")
 _HIDDEN = re.compile("[\u200b-\u200f\u2060\ufeff\xad\x00-\x08\x0e-\x1f]")
 _MARK = re.compile(r"^\s*(?:[-*#>•]+|\d+[.)])\s+")
-_PLAIN = re.compile(r"^[\"'(\[*#]*[^\W\d_]+(?:['’-][^\W\d_]+)*[\"')\],.;:!?*]*$")
+_EDGE = "\"'()[]*#.,;:!?"
+_JOINED = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 _STOP = re.compile(r"[.!?。！？]+(?=\s|$)|[。！？]")
 
@@ -43,9 +44,13 @@ def prose_lines(text: str) -> list[str]:
     """The lines that are written for people: at least half of their parts are plain words."""
     out = []
     for line in _LINES.split(_HIDDEN.sub("", text)):
-        parts = _MARK.sub("", line).split()
-        if parts and 2 * sum(bool(_PLAIN.match(p)) for p in parts) >= len(parts):
-            out.append(" ".join(parts))
+        line = _MARK.sub("", line)
+        parts = [p.strip(_EDGE) for p in line.split()]
+        plain = sum(map(str.isalpha, parts))
+        if 2 * plain < len(parts):
+            plain += sum(_JOINED.fullmatch(p) is not None for p in parts)
+        if parts and 2 * plain >= len(parts):
+            out.append(line)
     return out
 
 
