@@ -27,8 +27,8 @@ def covered_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, max_g
     intervals that meet (start = end + 1) are one; repeated rows change nothing; an empty table gives none;
     other columns are ignored whatever their names; an end of 2^63-1 reads as 2^63-1.
     """
-    k = [f"_k{i}" for i in range(len(keys))]
-    rows = df.select(*(F.col(c).alias(a) for c, a in zip(keys, k)), F.col(start).cast("long").alias("_s"), F.col(end).cast("long").alias("_e")).where("_s <= _e")
+    k = ["_k"]  # one struct: equal where its fields are, nulls too, so joins on it stay plain equalities
+    rows = df.select(F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(keys))).alias("_k"), F.col(start).cast("long").alias("_s"), F.col(end).cast("long").alias("_e")).where("_s <= _e")
     after = F.when(F.col("_e") == _TOP, F.col("_e")).otherwise(F.try_add("_e", F.lit(1)))
     marks = rows.select(*k, F.explode(F.array(F.struct(F.col("_s").alias("t"), F.lit(1).cast("long").alias("d")), F.struct(after.alias("t"), F.lit(-1).cast("long").alias("d")))).alias("m"))
     marks = marks.groupBy(*k, F.col("m.t").alias("t")).agg(F.sum("m.d").alias("d")).where("d <> 0")
@@ -39,13 +39,13 @@ def covered_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, max_g
     totals = marks.groupBy(*k, "b").agg(F.sum("d").alias("d"))
     before = W.partitionBy(*k).orderBy("b").rowsBetween(W.unboundedPreceding, -1)
     totals = totals.select(*k, "b", F.coalesce(F.sum("d").over(before), F.lit(0)).alias("base"))
-    active = _same_keys(marks, totals, k + ["b"]).withColumn("now", F.col("run") + F.col("base"))
+    active = marks.join(totals, [*k, "b"]).withColumn("now", F.col("run") + F.col("base"))
 
     edges = active.where((F.col("now") == 0) | (F.col("now") == F.col("d"))).withColumn("opens", (F.col("now") != 0).cast("long"))
     edges = edges.withColumn("i", F.sum("opens").over(inner.rowsBetween(W.unboundedPreceding, 0)))
     opened = edges.groupBy(*k, "b").agg(F.sum("opens").alias("o"))
     opened = opened.select(*k, "b", F.coalesce(F.sum("o").over(before), F.lit(0)).alias("first"))
-    edges = _same_keys(edges.drop("base"), opened, k + ["b"]).withColumn("i", F.col("i") + F.col("first"))
+    edges = edges.drop("base").join(opened, [*k, "b"]).withColumn("i", F.col("i") + F.col("first"))
 
     last = F.when(F.col("t") == _TOP, F.col("t")).otherwise(F.try_subtract("t", F.lit(1)))
     opens, none = F.col("opens") == 1, F.lit(None).cast("long")
@@ -61,14 +61,4 @@ def covered_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, max_g
     out = out.groupBy(*k, "x.kind", "x.i").agg(F.max("x.a").alias("a"), F.max("x.z").alias("z")).where("a IS NOT NULL AND z IS NOT NULL")
     if max_gap is not None:
         out = out.where((F.col("kind") == "period") | (F.try_subtract("z", "a") < max_gap - 1))
-    return out.select("kind", *(F.col(a).alias(c) for c, a in zip(keys, k)), F.col("a").alias(start), F.col("z").alias(end))
-
-
-def _same_keys(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Join on keys of which some may be null; right has one row for each key."""
-    right = right.select(*(F.col(c).alias(f"r_{c}") for c in on), *(c for c in right.columns if c not in on))
-    cond = None
-    for c in on:
-        one = F.col(c).eqNullSafe(F.col(f"r_{c}"))
-        cond = one if cond is None else cond & one
-    return left.join(right, cond).drop(*(f"r_{c}" for c in on))
+    return out.select("kind", *(F.col(f"_k.k{i}").alias(c) for i, c in enumerate(keys)), F.col("a").alias(start), F.col("z").alias(end))
