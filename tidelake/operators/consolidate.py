@@ -24,23 +24,23 @@ def merge_hours(rows: DataFrame, order: list[str], passthrough: DataFrame | None
     The splice needs the least rank among data rows received at or after the start: ranks' suffix minimum in
     order of received_at, looked up as of the gap's start.
     """
-    d = rows.withColumn("is_gap", F.col("type").eqNullSafe("gap"))
-    d = d.withColumn("key", F.when(~F.col("is_gap"), sort_key("stream", "raw_text", "exchange_ts")))
+    d = rows.withColumn("_is_gap", F.col("type").eqNullSafe("gap"))
+    d = d.withColumn("_key", F.when(~F.col("_is_gap"), sort_key("stream", "raw_text", "exchange_ts")))
     hour = W.partitionBy(*HOUR)
-    d = d.withColumn("rank", F.when(~F.col("is_gap"), F.row_number().over(W.partitionBy(*HOUR, "is_gap").orderBy("key", *order))))
-    at = F.when(F.col("is_gap"), F.col("gap_start_ts")).otherwise(F.col("received_at"))
-    d = d.withColumn("at", at)
+    d = d.withColumn("_rank", F.when(~F.col("_is_gap"), F.row_number().over(W.partitionBy(*HOUR, "_is_gap").orderBy("_key", *order))))
+    at = F.when(F.col("_is_gap"), F.col("gap_start_ts")).otherwise(F.col("received_at"))
+    d = d.withColumn("_at", at)
     # Later in time first; data before a gap of the same instant, so that the gap sees it.
-    back = hour.orderBy(F.col("at").desc_nulls_last(), F.col("is_gap")).rowsBetween(W.unboundedPreceding, 0)
-    d = d.withColumn("next_rank", F.min("rank").over(back))
-    place = F.when(~F.col("is_gap"), F.col("rank")).when(F.col("at").isNotNull(), F.col("next_rank"))
-    d = d.withColumn("place", F.coalesce(place, F.lit(2**31 - 1)))
-    final = hour.orderBy("place", F.when(F.col("is_gap"), 0).otherwise(1), F.coalesce("gap_start_ts", F.lit(0)), *order)
+    back = hour.orderBy(F.col("_at").desc_nulls_last(), F.col("_is_gap")).rowsBetween(W.unboundedPreceding, 0)
+    d = d.withColumn("_next_rank", F.min("_rank").over(back))
+    place = F.when(~F.col("_is_gap"), F.col("_rank")).when(F.col("_at").isNotNull(), F.col("_next_rank"))
+    d = d.withColumn("_place", F.coalesce(place, F.lit(2**31 - 1)))
+    final = hour.orderBy("_place", F.when(F.col("_is_gap"), 0).otherwise(1), F.coalesce("gap_start_ts", F.lit(0)), *order)
     d = d.withColumn("pos", F.row_number().over(final))
     if passthrough is not None:
-        flags = passthrough.select(*HOUR, F.lit(True).alias("as_is"))
-        d = d.join(flags, HOUR, "left").withColumn("pos", F.when(F.col("as_is"), F.row_number().over(hour.orderBy(*order))).otherwise(F.col("pos"))).drop("as_is")
-    return d.drop("is_gap", "key", "rank", "at", "next_rank", "place")
+        flags = passthrough.select(*HOUR, F.lit(True).alias("_as_is"))
+        d = d.join(flags, HOUR, "left").withColumn("pos", F.when(F.col("_as_is"), F.row_number().over(hour.orderBy(*order))).otherwise(F.col("pos"))).drop("_as_is")
+    return d.drop("_is_gap", "_key", "_rank", "_at", "_next_rank", "_place")
 
 
 def hour_counts(rows: DataFrame, by: list[str]) -> DataFrame:

@@ -19,6 +19,8 @@ from tidelake.sources.zstd_files import compress_frame, good_length, join_files,
 
 
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path[5:]
     return pafs.FileSystem.from_uri(path if "://" in path else f"file://{os.path.abspath(path)}")
 
 
