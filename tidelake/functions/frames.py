@@ -90,11 +90,15 @@ def stream_key_columns(key: Column) -> tuple[Column, Column]:
     return F.when(~every, F.lower(F.get(parts, F.lit(0)))), F.try_element_at(names, name)
 
 
-def route_frames(df: DataFrame, frame: str, subscribed: list[str]) -> DataFrame:
+def route_frames(df: DataFrame, frame: str, subscribed: list[str] | DataFrame) -> DataFrame:
     """df with stream, symbol, raw_text of each combined frame. Frames of all symbols (liquidations) take the symbol
-    of the payload and are dropped unless it is subscribed; unknown streams are dropped."""
+    of the payload and are dropped unless it is subscribed (a list, or a table with a column symbol in lower
+    case); unknown streams are dropped."""
     d = df.withColumn("raw_text", raw_data(F.col(frame)))
     symbol, stream = stream_key_columns(F.get_json_object(frame, "$.stream"))
     payload_symbol = F.lower(F.coalesce(F.get_json_object("raw_text", "$.o.s"), F.get_json_object("raw_text", "$.s")))
     d = d.withColumns({"stream": stream, "symbol": F.coalesce(symbol, payload_symbol)})
-    return d.where(F.col("stream").isNotNull() & F.col("raw_text").isNotNull() & F.col("symbol").isin([s.lower() for s in subscribed]))
+    d = d.where(F.col("stream").isNotNull() & F.col("raw_text").isNotNull())
+    if isinstance(subscribed, DataFrame):
+        return d.join(subscribed.select("symbol").distinct(), "symbol", "left_semi")
+    return d.where(F.col("symbol").isin([s.lower() for s in subscribed]))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.names import NAMES, norm, norm_names, path_columns
 from tidelake.functions.payload import json_long, natural_key, payload_exchange_ts, sort_key
 from tidelake.functions.timeutil import HOUR_MS, floor_div, latency_ms, next_funding_ms, ns_date, ns_hour, ns_to_ms
-from tidelake.operators import backfill, classify, compact, consolidate, continuity, coverage, depth, gaps, integrity, metrics, ordered, reconcile, state
+from tidelake.operators import backfill, classify, compact, consolidate, continuity, coverage, depth, gaps, health, integrity, metrics, ordered, reconcile, state
 from tidelake.runtime import table
 
 KEYS = list(NAMES)
@@ -484,6 +484,64 @@ def recovery_anchors(spark, sf):
     return coverage.recovery_depth_anchor(e.where("type = 'data' AND stream = 'depth' AND received_at IS NOT NULL"), m)
 
 
+# --- health ---
+
+
+@query
+def consumer_outages(spark, sf):
+    return health.consumer_outages(envelopes(spark, sf), "received_at")
+
+
+@query
+def offset_resets(spark, sf):
+    return health.offset_resets(envelopes(spark, sf))
+
+
+def _marked(spark, sf, reason: str) -> DataFrame:
+    e = envelopes(spark, sf).where("received_at IS NOT NULL")
+    return e.withColumn("hit", F.coalesce(norm("reason") == reason, F.lit(False)))
+
+
+@query
+def disconnect_gaps(spark, sf):
+    return health.disconnect_gaps(_marked(spark, sf, "ws_disconnect").where("type = 'data' OR hit"), "received_at", "hit")
+
+
+def _probes(spark, sf):
+    """Rows of an exchange as probes of its producer: failed deliveries among them are failures."""
+    return _marked(spark, sf, "kafka_delivery_failed").groupBy("exchange", "received_at").agg(F.bool_or("hit").alias("failed"))
+
+
+@query
+def producer_outages(spark, sf):
+    return health.producer_outages(_probes(spark, sf), ["exchange"], "received_at", "failed")
+
+
+@query
+def producer_states(spark, sf):
+    d = health.producer_states(_probes(spark, sf), ["exchange"], "received_at", "failed", 50_000_000)
+    return d.groupBy("exchange", "state").agg(F.count("*").alias("n"))
+
+
+@query
+def hold_windows(spark, sf):
+    return health.holds(_probes(spark, sf), ["exchange"], "received_at", "failed", 1, "pg_outage_hold")
+
+
+@query
+def frame_routing(spark, sf):
+    """Archived payloads put into combined frames and taken out again: rows by stream, and how many came out
+    the same to the byte."""
+    from tidelake.functions import frames
+
+    e = envelopes(spark, sf).where("type = 'data' AND raw_text IS NOT NULL AND stream IN ('trades', 'depth', 'bookticker', 'funding_rate')")
+    back = F.create_map(*(x for k, v in frames.STREAM_KEYS.items() for x in (F.lit(v), F.lit(k))))
+    frame = F.concat(F.lit('{"stream":"'), "symbol", F.lit("@"), back[F.col("stream")], F.lit('","data":'), "raw_text", F.lit("}"))
+    d = e.select(F.col("raw_text").alias("before"), F.col("stream").alias("told"), frame.alias("frame"))
+    d = frames.route_frames(d, "frame", e.select("symbol"))
+    return d.groupBy("stream").agg(F.count("*").alias("n"), F.count_if((F.col("before") == F.col("raw_text")) & (F.col("told") == F.col("stream"))).alias("n_same"))
+
+
 # --- depth, interpolation, backfill ---
 
 

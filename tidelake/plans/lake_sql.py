@@ -267,3 +267,20 @@ SELECT exchange, stream, sum(raw_bytes)::BIGINT AS raw_bytes, sum(size_bytes)::B
 SQL["next_funding"] = f"WITH {E} SELECT row_id, (exchange_ts // 28800000 + 1) * 28800000 AS next_funding, {_j('$.T')} = (exchange_ts // 28800000 + 1) * 28800000 AS agrees FROM e WHERE type = 'data' AND stream = 'funding_rate' AND exchange_ts IS NOT NULL"
 SQL["dedup_stream"] = "SELECT _topic, _partition, count(DISTINCT _offset) AS n, min(_offset) AS first_offset, max(_offset) AS last_offset FROM envelopes WHERE type = 'data' AND _offset >= 0 AND _topic IS NOT NULL AND received_at IS NOT NULL GROUP BY ALL"
 SQL["hour_tumble_stream"] = f"WITH {E} SELECT {K}, received_at // 3600000000000 * 3600000 AS hour_start_ms, count(*) AS n FROM e WHERE type = 'data' AND received_at IS NOT NULL GROUP BY ALL"
+
+SQL["consumer_outages"] = f"""WITH t AS (SELECT DISTINCT received_at AS z FROM envelopes WHERE received_at IS NOT NULL), s AS (SELECT z, lag(z) OVER (ORDER BY z) AS a FROM t)
+SELECT a AS gap_start_ts, z AS gap_end_ts, 'kafka_consumer_outage' AS reason FROM s WHERE z - a > {30 * S}"""
+SQL["offset_resets"] = """WITH t AS (SELECT DISTINCT _topic, _partition, _offset FROM envelopes WHERE _offset >= 0 AND _topic IS NOT NULL AND _partition IS NOT NULL),
+s AS (SELECT *, lag(_offset) OVER (PARTITION BY _topic, _partition ORDER BY _offset) AS last FROM t) SELECT _topic, _partition, last + 1 AS from_offset, _offset - 1 AS to_offset FROM s WHERE _offset > last + 1"""
+_OFF = f"coalesce({_n('reason')} = 'ws_disconnect', false)"
+SQL["disconnect_gaps"] = f"""WITH {E}, d AS (SELECT {K}, received_at AS t, {_OFF} AS o FROM e WHERE received_at IS NOT NULL AND (type = 'data' OR {_OFF})),
+l AS (SELECT *, max(CASE WHEN NOT o THEN t END) OVER (PARTITION BY {K} ORDER BY t, o ROWS UNBOUNDED PRECEDING) AS last FROM d)
+SELECT {K}, last AS gap_start_ts, max(t) AS gap_end_ts, 'ws_disconnect' AS reason, count(*) AS n FROM l WHERE o GROUP BY {K}, last"""
+P = f"""p AS (SELECT exchange, received_at AS t, bool_or(coalesce({_n('reason')} = 'kafka_delivery_failed', false)) AS o FROM e WHERE received_at IS NOT NULL GROUP BY ALL),
+q AS (SELECT *, coalesce(lag(o) OVER (PARTITION BY exchange ORDER BY t), false) AS was FROM p)"""
+SQL["producer_outages"] = f"""WITH {E}, {P} SELECT exchange, t AS gap_start_ts, (SELECT min(t) FROM p g WHERE g.exchange = q.exchange AND g.t > q.t AND NOT g.o) AS gap_end_ts, 'kafka_producer_outage' AS reason FROM q WHERE o AND NOT was"""
+SQL["producer_states"] = f"""WITH {E}, {P}, r AS (SELECT *, max(CASE WHEN o AND NOT was THEN t END) OVER (PARTITION BY exchange ORDER BY t) AS since FROM q)
+SELECT exchange, CASE WHEN NOT o THEN 'HEALTHY' WHEN t - since >= 50000000 THEN 'PAUSED' ELSE 'DEGRADED' END AS state, count(*) AS n FROM r GROUP BY ALL"""
+SQL["hold_windows"] = f"""WITH {E}, {P}, r AS (SELECT *, sum(CASE WHEN o AND NOT was THEN 1 ELSE 0 END) OVER (PARTITION BY exchange ORDER BY t) AS run FROM q)
+SELECT exchange, min(t) AS gap_start_ts, max(t) AS gap_end_ts, 'pg_outage_hold' AS reason, count(*) AS failures FROM r WHERE o GROUP BY exchange, run"""
+SQL["frame_routing"] = f"WITH {E} SELECT stream, count(*) AS n, count(*) AS n_same FROM e WHERE type = 'data' AND raw_text IS NOT NULL AND stream IN ('trades', 'depth', 'bookticker', 'funding_rate') GROUP BY stream"
