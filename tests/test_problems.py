@@ -103,8 +103,15 @@ def test_counters_match_and_are_idempotent(spark):
     assert late_counts.period_counts(cells_of(df.limit(0)), ["k"]).count() == 0
 
 
+def test_counters_with_nulls_and_clashing_names(spark):
+    data = [(None, 5, None, None, None, None, "x", 1), (None, 7, None, None, None, None, "y", 2), ("a", 5, 1, 0, "s", 1, "x", 3)]
+    df = spark.createDataFrame(data, COLS + ", on_bits string, period_ms int")
+    got = late_counts.period_counts(cells_of(df), ["k"]).select("k", "n_on_time", "n_corrected")
+    assert rows(got) == Counter({(None, 1, 0): 1, ("a", 0, 1): 1})
+
+
 def test_checkpoints_take_the_greatest(spark):
-    e = spark.createDataFrame([("a", 0, 3), ("b", 0, 1)], "k string, h long, salt int")
+    e = spark.createDataFrame([("a", 0, 3, "mine"), ("b", 0, 1, "mine")], "k string, h long, salt int, v string")
     c = spark.createDataFrame([("a", 0, 5), ("a", 0, 9), ("a", 0, None), ("b", 7, 1)], "k string, h long, v long")
     assert rows(late_counts.attach_checkpoints(e, c, ["k"], "h", "v", "salt").select("k", "v")) == Counter({("a", 9): 1, ("b", None): 1})
 
@@ -131,6 +138,7 @@ def test_plan_takes_the_right_files(spark):
         ("hour-2.jsonl.zst", 1, 0), ("hour-2.late-9.jsonl.zst", 2, 50), ("hour-02.late-10.jsonl.zst", 3, 58), ("hour-3.backfill-1.jsonl.zst", 4, 65), ("hour-10.jsonl.zst", 5, 8256),
     ]
     assert {r.target_path for r in got} == {"archive/x/sym/trades/2021-01-01/part-00000.jsonl.zst"}
+    assert compact.plan(listing(spark, data).withColumns({"rank": F.lit("x"), "files0": F.lit(1), "bytes": F.lit(1)})).count() == 5
     parts = compact.plan(listing(spark, data), target_bytes=60).orderBy("source_no").collect()
     assert [r.part for r in parts] == [0, 0, 0, 1, 137] and parts[3].target_offset == 0
     assert compact.plan(listing(spark, data[:1]).limit(0)).count() == 0
@@ -218,6 +226,14 @@ def test_exactly_once_goes_on_from_its_checkpoint(spark, tmp_path):
     assert rows(out) == Counter({(3, 1): 1})
 
 
+def test_exactly_once_with_nulls_and_other_columns(spark, tmp_path):
+    data = [(None, 1, "a", None, 1, 1), (1, None, "a", None, 1, 1), (2, 5, "a", "b", 2, 2), (2, 5, "a", "b", 2, 2), (3, None, None, None, 3, 3)]
+    spark.createDataFrame(data, IDS + ", owner int, h1 int").write.parquet(str(tmp_path / "in"))
+    stream = exactly_once.read_stream(spark, str(tmp_path / "in"))
+    ids = [exactly_once.identifier("s", F.col("s")), exactly_once.identifier("b", F.col("b"))]
+    assert rows(exactly_once.repeated_rows(spark, stream, "row_id", "at", ids)) == Counter({(2, 1): 1})
+
+
 def test_exactly_once_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], IDS).write.parquet(str(tmp_path / "in"))
     stream = exactly_once.read_stream(spark, str(tmp_path / "in"))

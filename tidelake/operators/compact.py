@@ -28,10 +28,12 @@ def plan(files: DataFrame, small: int = SMALL, target_bytes: int = 128 << 20) ->
     of more than target_bytes gets several targets. Offsets are prefix sums in two levels, inside
     each hour and over the totals of a day's hours (24), so that a busy stream-day spreads over its hours.
 
-    Defined cases: null sizes count as 0; a missing hour or number sorts first; no files give no rows.
+    Defined cases: null sizes count as 0; a missing number sorts first; files must be listed once each (see
+    latest_listing); other columns are ignored whatever their names; no files give no rows.
     """
     kind, size = F.col("kind"), F.coalesce(F.col("size_bytes"), F.lit(0))
     is_small = kind.isin("base", "late", "backfill") & (size > 0) & (size < small)
+    files = files.select("file_path", *STREAM_DAY, "kind", "hour_no", "seq", "size_bytes")
     day = files.where(is_small | ((kind == "daily") & (size > 0)))
     totals = day.groupBy(*STREAM_DAY).agg(F.count_if(is_small).alias("n"), F.count_if(kind == "daily").alias("daily")).where("n >= 2 AND daily = 0")
     rank = F.when(kind == "base", 0).when(kind == "late", 1).otherwise(2)

@@ -21,9 +21,11 @@ def counter_cells(df: DataFrame, keys: list[str], event_ms: Column, received_ms:
     second delivery or another order of arrival gives the same cell. `salt` is a function of the block and
     spreads a hot period over 16 groups.
 
-    Defined cases: rows with null event time are left out; a null seen_until or received_ms counts as on
-    time; source and version must not be null; columns of df other than the named are ignored.
+    Defined cases: rows with null event time are left out; a null seen_until or received time counts as on
+    time; null keys are keys; a null source is the source '' and a null version its version 0; repeated rows
+    change nothing; an empty table gives no cells; columns of df other than the named are ignored.
     """
+    source, version = F.coalesce(source, F.lit("")), F.coalesce(version, F.lit(0).cast("long"))
     p = floor_div(event_ms, period_ms) * F.lit(period_ms)
     limit = F.try_add(p, F.lit(period_ms + cutoff_ms).cast("long"))
     late = F.coalesce(received_ms > seen_until, F.lit(False))
@@ -71,4 +73,4 @@ def attach_checkpoints(rows: DataFrame, checkpoints: DataFrame, keys: list[str],
     what an estimate takes for a small side is `salts` times larger."""
     best = checkpoints.groupBy(*keys, hour).agg(F.max(value).alias(value)).where(F.col(value).isNotNull())
     best = best.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.join(best.hint("merge"), [*keys, hour, salt], "left")
+    return rows.drop(value).join(best.hint("merge"), [*keys, hour, salt], "left")

@@ -109,7 +109,7 @@ def message_links(spark: SparkSession, stream: DataFrame, row_id: str, received_
     """
     base = checkpoint or scratch(spark, "exactly-once")
     ms = F.coalesce(F.call_function("div", F.col(received_ns), F.lit(1_000_000).cast("long")), F.lit(0).cast("long"))
-    ids = stream.select(F.col(row_id).cast("long").alias("row_id"), ms.alias("seen_ms"), F.timestamp_millis(ms).alias("at"), F.explode(F.array_compact(F.array(*identifiers))).alias("i"))
+    ids = stream.where(F.col(row_id).isNotNull()).select(F.col(row_id).cast("long").alias("row_id"), ms.alias("seen_ms"), F.timestamp_millis(ms).alias("at"), F.explode(F.array_compact(F.array(*identifiers))).alias("i"))
     ids = ids.select("row_id", "seen_ms", "at", "i.h1", "i.h2", F.pmod("i.h1", F.lit(shards).cast("long")).alias("shard")).withWatermark("at", watermark)
     kept = ids.groupBy("shard").applyInPandasWithState(_seen, OUT, STATE, "append", "NoTimeout")
     q = kept.writeStream.format("parquet").partitionBy("kind").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start()
@@ -125,7 +125,8 @@ def repeated_rows(spark: SparkSession, stream: DataFrame, row_id: str, received_
 
     Two rows are one message if they share any identifier, directly or through further rows.
     Defined cases: a row without any identifier is a message of its own; a null received_ns is as late as can
-    be; a row that comes twice with the same row_id is one row; an empty stream gives none.
+    be; rows with null row_id are left out; a row that comes twice with the same row_id is one row; other
+    columns are ignored; an empty stream gives none.
     """
     links = write_cut(message_links(spark, stream, row_id, received_ns, identifiers, **options), "links", spark)
     return min_labels(links, "row_id", "owner").select(F.col("node").alias("row_id"), F.col("label").alias("kept"))
