@@ -71,5 +71,7 @@ def test_whole_table(spark):
             fill[r.sequence_id] += r.n_tokens
         assert fill.pop(None) == 0 and max(fill.values()) <= cap and sum(fill.values()) == 980
         assert Counter(r.doc_id for r in own if r.piece == 0) == Counter({1: 1, 2: 1, 3: 2, 4: 1, 5: 1})
+    odd = spark.createDataFrame([(None, 5, 1, None, "q"), (2**62 + 1, 6, 1, None, "q")], "doc_id long, n_tokens long, source int, cluster long, capacity string")
+    assert {(r.doc_id, r.n_tokens) for r in packing.pack_documents(odd, budgets).where("budget_name = 's'").collect()} == {(None, 5), (2**62 + 1, 6)}
     assert packing.pack_documents(sizes.limit(0), budgets).count() == 0
     assert packing.pack_documents(sizes, budgets.limit(0)).count() == 0

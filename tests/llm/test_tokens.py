@@ -48,3 +48,4 @@ def test_every_row_comes_out(spark):
     assert got == sorted([(1, [64, 275]), (1, [64, 275]), (2, []), (3, []), (None, [66])], key=str)
     assert tokens.encode_texts(d.limit(0), "doc_id", "text").count() == 0
     assert sorted(r.n_tokens for r in tokens.count_tokens(d, "text").collect()) == [0, 0, 1, 2, 2]
+    assert sorted(r.ids for r in tokens.count_tokens(d, "text", "ids").collect()) == [0, 0, 1, 2, 2]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHARD_TOKENS = 8_000_000
+NO_ID = -(2**63)
 OUT = "budget_name string, sequence_id long, doc_id long, piece int, start_token long, n_tokens long"
 
 
@@ -122,7 +123,8 @@ def pack_documents(sizes: DataFrame, budgets: DataFrame, shard_tokens: int = SHA
 
     Defined cases: a document of more than the capacity is cut into full sequences and a rest; documents of no
     tokens (null or empty text) have one row with null sequence_id, piece 0 and n_tokens 0; a null source is a
-    source; budgets with null or non-positive capacity are left out; repeated doc_ids are packed as items of
+    source; a null cluster is a text without copies; a null doc_id stays null (the least long stands for it
+    meanwhile); budgets with null or non-positive capacity are left out; repeated doc_ids are packed as items of
     their own; an empty table gives no rows.
     """
     total = sizes.agg(F.sum("n_tokens")).first()[0] or 0
@@ -134,7 +136,9 @@ def pack_documents(sizes: DataFrame, budgets: DataFrame, shard_tokens: int = SHA
     if not caps:
         return sizes.sparkSession.createDataFrame([], OUT)
     every = F.explode(F.array(*(F.struct(F.lit(n).cast("string").alias("budget_name"), F.lit(c).alias("capacity")) for n, c in caps)))
-    rows = sizes.select("doc_id", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.xxhash64("source"), F.lit(0)).alias("source"), "cluster", F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(shards)).alias("shard"), every.alias("b"))
+    doc = F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("doc_id")
+    cluster = F.coalesce("cluster", F.xxhash64(F.lit("own"), "doc_id")).alias("cluster")
+    rows = sizes.select(doc, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.xxhash64("source"), F.lit(0)).alias("source"), cluster, F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(shards)).alias("shard"), every.alias("b"))
     rows = rows.select("doc_id", "n_tokens", "source", "cluster", "shard", "b.*")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -147,4 +151,5 @@ def pack_documents(sizes: DataFrame, budgets: DataFrame, shard_tokens: int = SHA
 
     packed = rows.where("n_tokens > 0").groupBy("budget_name", "shard", "capacity").applyInPandas(run, OUT)
     none = rows.where("n_tokens <= 0").select("budget_name", F.lit(None).cast("long").alias("sequence_id"), "doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start_token"), F.lit(0).cast("long").alias("n_tokens"))
-    return packed.unionByName(none)
+    out = packed.unionByName(none)
+    return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))

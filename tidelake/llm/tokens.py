@@ -113,8 +113,9 @@ def _batch(name: str, kind: pa.DataType, keys: list, ids: list[list[int]]) -> pa
 
 
 def count_tokens(df: DataFrame, text: str, name: str = "n_tokens", rank_file: str = RANK_FILE) -> DataFrame:
-    """df's other columns and the number of tokens of each text (0 for null and empty)."""
-    rest = [c for c in df.columns if c != text]
+    """df's other columns and the number of tokens of each text (0 for null and empty). A column of df that has the
+    name of the result is replaced."""
+    rest = [c for c in df.columns if c not in (text, name)]
     d = df.select(*rest, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
