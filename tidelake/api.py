@@ -42,28 +42,23 @@ class Lake:
     def rows(self, files: DataFrame) -> DataFrame:
         """Strictly read lines of the files with envelope columns, names by path, error where a line or tail is bad.
 
-        row_id numbers rows in the order of path and line; file is the name in its folder.
+        row_id rises with path and line; it is settled by writing the rows, which callers that join on it do.
         """
-        paths = [r.file_path for r in files.select("file_path").collect()]
-        if not paths:
-            lines = self.spark.createDataFrame([], "file_path string, line_no bigint, line string, error string")
-        else:
-            lines = archive.read_strict(self.spark, paths)
+        lines = archive.read_strict(self.spark, files)
         p = path_columns("file_path")
         d = archive.parse_lines(lines).drop(*NAMES)
         d = d.withColumns({c: p[c] for c in (*DAY, "file", "kind", "hour_no", "seq")})
-        return d.withColumn("row_id", F.monotonically_increasing_id())
+        return d.sort("file_path", "line_no").withColumn("row_id", F.monotonically_increasing_id())
 
     # --- verification ---
 
     def verify(self, date: str, exchange: str | None = None, symbol: str | None = None, stream: str | None = None, full: bool = False, repair_checksums: bool = False) -> tuple[DataFrame, DataFrame]:
         """(errors, gaps) of a date. errors: check_no, file_path, line_no, message; gaps: the archived ones."""
         files = self.files(date, exchange, symbol, stream)
-        paths = [r.file_path for r in files.select("file_path").collect()]
-        side = archive.check_sidecars(self.spark, self.base).where(F.col("file_path").isin(paths))
+        side = archive.check_sidecars(self.spark, files)
         if repair_checksums:
             sink.repair_sidecars([r.file_path for r in side.where("status = 'missing'").collect()])
-            side = archive.check_sidecars(self.spark, self.base).where(F.col("file_path").isin(paths))
+            side = archive.check_sidecars(self.spark, files)
         rows = write_cut(self.rows(files), "verify", self.spark)
         say = lambda no, df, text, line="line_no": df.select(F.lit(no).alias("check_no"), "file_path", (F.col(line) if line else F.lit(None)).cast("long").alias("line_no"), text.alias("message"))
         miss = integrity.missing_fields_json("line")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.names import NAMES
 from tidelake.functions.timeutil import HOUR_MS, floor_div, next_funding_ms
 from tidelake.operators.consolidate import KEYS
+from tidelake.runtime import spread
 
 #: Payload key of the event time by stream.
 TIME_KEYS = {"trades": "$.T", "funding_rate": "$.fundingTime", "open_interest": "$.timestamp"}
@@ -49,7 +50,7 @@ def fetch_pages(missing: DataFrame, provider: Callable[[str, str, str, int, int]
                     continue
             yield pd.DataFrame(rows, columns=[*NAMES, "hour_start_ms", "raw_text"])
 
-    return missing.select(*NAMES, "start_ms").mapInPandas(run, "exchange string, symbol string, stream string, hour_start_ms bigint, raw_text string")
+    return spread(missing.select(*NAMES, "start_ms"), "start_ms").mapInPandas(run, "exchange string, symbol string, stream string, hour_start_ms bigint, raw_text string")
 
 
 def fetch_by_id(page: Callable[[int], list[tuple[int, str]]], first: int, last: int, page_size: int = 1000) -> Iterator[tuple[int, str]]:

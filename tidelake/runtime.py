@@ -7,10 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Rows that a broadcast side may have at most; beyond it the join shuffles.
-BROADCAST_ROWS = 50_000
 
 
 def build_session(app: str = "tidelake", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -68,10 +64,12 @@ def remove_path(spark: SparkSession, at: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """df with a broadcast hint if it has at most so many rows (counted, stopping there), else df as it is."""
-    small = df.limit(rows + 1).count() <= rows
-    return (F.broadcast(df), True) if small else (df, False)
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """df over many tasks, for small rows that each stand for much work (paths, hours to fetch). A fixed number of
+    partitions, as adaptive execution would join such rows into one task by their size."""
+    sc = df.sparkSession.sparkContext
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * sc.defaultParallelism)
+    return df.repartition(n, by)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions.names import path_columns
-from tidelake.sources.zstd_files import good_length, read_lines
+from tidelake.runtime import spread
+from tidelake.sources.sink import open_read
+from tidelake.sources.zstd_files import read_frames, read_lines
 
 #: An archived line: data and gap envelopes in one schema; unknown fields are ignored.
 ENVELOPE = (
@@ -48,28 +50,33 @@ def read_envelopes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return d.withColumn("file_path", F.col("_metadata.file_path"))
 
 
-def read_strict(spark: SparkSession, paths: str | list[str], batch: int = 10_000) -> DataFrame:
-    """file_path, line_no (from 0), line, error of every non-empty line. A file that ends inside a frame gives its
-    good lines and one row with the error. Files are read one at a time, in batches of lines."""
-    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "content")
+def _paths(spark: SparkSession, paths: str | list[str] | DataFrame, glob: str = "*") -> DataFrame:
+    """file_path and size_bytes, spread over the cluster; a listing is taken as it is."""
+    if not isinstance(paths, DataFrame):
+        paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(paths).select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"))
+    return spread(paths.select("file_path", "size_bytes"), "file_path")
+
+
+def read_strict(spark: SparkSession, paths: str | list[str] | DataFrame, batch: int = 10_000) -> DataFrame:
+    """file_path, line_no (from 0), line, error of every non-empty line. A file that ends inside a frame gives the
+    lines of its whole frames and one row with the error. A task reads its files one after the other, frame by
+    frame; paths is a folder, a list or a listing (file_path, size_bytes)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for path, content in zip(f["path"], f["content"]):
-                n, lines = 0, []
-                whole = good_length(content)[0]
-                error = None if whole == len(content) else f"torn tail after {whole} of {len(content)} bytes"
-                for line in read_lines(content[:whole]):
-                    lines.append(line.decode("utf-8", "replace"))
-                    if len(lines) == batch:
-                        yield pd.DataFrame({"file_path": path, "line_no": range(n, n + batch), "line": lines, "error": None})
-                        n, lines = n + batch, []
-                if lines:
-                    yield pd.DataFrame({"file_path": path, "line_no": range(n, n + len(lines)), "line": lines, "error": None})
-                if error:
-                    yield pd.DataFrame({"file_path": [path], "line_no": [n + len(lines)], "line": [None], "error": [error]})
-
-    return d.mapInPandas(run, "file_path string, line_no bigint, line string, error string")
+            for path, size in zip(f["file_path"], f["size_bytes"]):
+                n, good = 0, 0
+                with open_read(path) as src:
+                    for good, content in read_frames(src):
+                        lines = [x.decode("utf-8", "replace") for x in content.split(b"\n") if x.strip()]
+                        for k in range(0, len(lines), batch):
+                            part = lines[k : k + batch]
+                            yield pd.DataFrame({"file_path": path, "line_no": range(n, n + len(part)), "line": part, "error": None})
+                            n += len(part)
+                if good < size:
+                    yield pd.DataFrame({"file_path": [path], "line_no": [n], "line": [None], "error": [f"torn tail after {good} of {size} bytes"]})
+
+    return _paths(spark, paths, "*.zst").mapInPandas(run, "file_path string, line_no bigint, line string, error string")
 
 
 def read_tolerant(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
@@ -89,23 +96,26 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return d.withColumn("error", F.coalesce("error", F.when(bad, "line is no envelope"))).select("*", "_e.*").drop("_e")
 
 
-def torn_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file_path, size_bytes, good_bytes, frames of every file, from frame headers alone."""
-    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zst").load(paths).select("path", "content")
+def torn_files(spark: SparkSession, paths: str | list[str] | DataFrame) -> DataFrame:
+    """file_path, size_bytes, good_bytes, frames of every compressed file, read frame by frame."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(p, len(c), *good_length(c)) for p, c in zip(f["path"], f["content"])]
+            rows = []
+            for path, size in zip(f["file_path"], f["size_bytes"]):
+                good = n = 0
+                with open_read(path) as src:
+                    for good, _ in read_frames(src):
+                        n += 1
+                rows.append((path, size, good, n))
             yield pd.DataFrame(rows, columns=["file_path", "size_bytes", "good_bytes", "frames"])
 
-    return d.mapInPandas(run, "file_path string, size_bytes bigint, good_bytes bigint, frames bigint")
+    return _paths(spark, paths, "*.zst").mapInPandas(run, "file_path string, size_bytes bigint, good_bytes bigint, frames bigint")
 
 
 def count_lines(paths: DataFrame, path: str = "target_path", base: str = "") -> DataFrame:
     """paths with n_lines and frames of each file, decompressed piece by piece in the task that has its path; error
     instead where a file is torn or gone."""
-    from tidelake.sources.sink import open_read
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
@@ -117,16 +127,34 @@ def count_lines(paths: DataFrame, path: str = "target_path", base: str = "") ->
                     out.append((p, None, str(e)))
             yield pd.DataFrame(out, columns=[path, "n_lines", "error"])
 
-    return paths.select(path).mapInPandas(run, f"{path} string, n_lines bigint, error string")
+    return spread(paths.select(path), path).mapInPandas(run, f"{path} string, n_lines bigint, error string")
+
 
+def check_sidecars(spark: SparkSession, paths: str | DataFrame) -> DataFrame:
+    """file_path and status (ok, mismatch, missing) of every data file (below a folder, or of a listing) against its
+    .sha256 file. Files are hashed piece by piece."""
+    d = _paths(spark, paths).where(F.col("file_path").rlike(r"\.(zst|jsonl)$"))
 
-def check_sidecars(spark: SparkSession, base: str) -> DataFrame:
-    """file_path and status (ok, mismatch, missing) of every data file below base against its .sha256 file."""
-    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    data = d.where(F.col("path").rlike(r"\.(zst|jsonl)$")).select("path", F.sha2("content", 256).alias("sha"))
-    side = d.where(F.col("path").endswith(".sha256")).select(F.regexp_replace("path", r"\.sha256$", "").alias("path"), F.split(F.trim(F.decode("content", "utf-8")), r"\s+")[0].alias("told"))
-    status = F.when(F.col("told").isNull(), "missing").when(F.col("told") == F.col("sha"), "ok").otherwise("mismatch")
-    return data.join(side, "path", "left").select(F.col("path").alias("file_path"), status.alias("status"))
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        for f in frames:
+            out = []
+            for path in f["file_path"]:
+                try:
+                    with open_read(path + ".sha256") as src:
+                        told = src.read().decode("utf-8", "replace").split()
+                except OSError:
+                    out.append((path, "missing"))
+                    continue
+                sha = hashlib.sha256()
+                with open_read(path) as src:
+                    while piece := src.read(1 << 20):
+                        sha.update(piece)
+                out.append((path, "ok" if told[:1] == [sha.hexdigest()] else "mismatch"))
+            yield pd.DataFrame(out, columns=["file_path", "status"])
+
+    return d.mapInPandas(run, "file_path string, status string")
 
 
 def last_data_envelope(rows: DataFrame) -> DataFrame:

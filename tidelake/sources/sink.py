@@ -15,6 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelake.runtime import spread
 from tidelake.sources.zstd_files import compress_frame, good_length, join_files, sidecar_text
 
 
@@ -106,7 +107,7 @@ def join_planned(plan: DataFrame, base: str = "", reader: Callable[[str], Binary
     its sources as they are. A lost task is run again and writes the same bytes.
     """
     d = plan.groupBy("target_path").agg(F.sort_array(F.collect_list(F.struct("source_no", "file_path", "size_bytes"))).alias("s"))
-    d = d.select("target_path", F.transform("s", lambda x: x["file_path"]).alias("paths"), F.transform("s", lambda x: x["size_bytes"]).alias("sizes"))
+    d = spread(d, "target_path").select("target_path", F.transform("s", lambda x: x["file_path"]).alias("paths"), F.transform("s", lambda x: x["size_bytes"]).alias("sizes"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

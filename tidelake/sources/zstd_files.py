@@ -98,6 +98,27 @@ def read_lines(source: bytes | BinaryIO) -> Iterator[bytes]:
         yield rest
 
 
+def read_frames(source: BinaryIO) -> Iterator[tuple[int, bytes]]:
+    """(bytes of the file up to its end, content) of each whole frame, piece by piece: no more than one frame is held.
+    Ends before a torn tail; whether there is one is seen by the last frame's end."""
+    done = fed = 0
+    out: list[bytes] = []
+    d = zstandard.ZstdDecompressor().decompressobj()
+    while piece := source.read(PIECE):
+        fed += len(piece)
+        while piece:
+            try:
+                out.append(d.decompress(piece))
+            except zstandard.ZstdError:
+                return
+            if not d.eof:
+                break
+            piece = d.unused_data
+            done = fed - len(piece)
+            yield done, b"".join(out)
+            out, d = [], zstandard.ZstdDecompressor().decompressobj()
+
+
 def is_compressed(head: bytes) -> bool:
     return head[:4] == MAGIC or (len(head) >= 4 and int.from_bytes(head[:4], "little") in _SKIP)
 
