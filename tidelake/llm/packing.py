@@ -149,7 +149,9 @@ def pack_documents(sizes: DataFrame, budgets: DataFrame, shard_tokens: int = SHA
         out.insert(0, "budget_name", name)
         return out
 
-    packed = rows.where("n_tokens > 0").groupBy("budget_name", "shard", "capacity").applyInPandas(run, OUT)
+    # A partition for each shard and budget: adaptive execution would put many shards into one task by their bytes.
+    spread = rows.where("n_tokens > 0").repartition(min(10_000, shards * len(caps)), "budget_name", "shard", "capacity")
+    packed = spread.groupBy("budget_name", "shard", "capacity").applyInPandas(run, OUT)
     none = rows.where("n_tokens <= 0").select("budget_name", F.lit(None).cast("long").alias("sequence_id"), "doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start_token"), F.lit(0).cast("long").alias("n_tokens"))
     out = packed.unionByName(none)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
