@@ -76,22 +76,22 @@ class Formula:
     weights: list[float] = field(default_factory=lambda: [3.0] + [0.0] * (N_LISTS + 1))
     cut: float = 3.5
 
-    def features(self, words: list[str], sentences: int) -> list[float]:
-        n = len(words)
-        by_lists: Counter = Counter()
-        for w, c in Counter(words).items():
-            by_lists[self.lists.get(w, 0)] += c
+    def features(self, counts: Counter, sentences: int) -> list[float]:
+        n = counts.total()
+        by_lists: dict[int, int] = defaultdict(int)
+        known = self.lists.get
+        for w, c in counts.items():
+            by_lists[known(w, 0)] += c
         shares = [sum(c for m, c in by_lists.items() if not m >> i & 1) / n for i in range(N_LISTS)]
         return [1.0, *shares, math.log1p(min(n / max(sentences, 1), LONGEST))]
 
-    def level(self, words: list[str], sentences: int) -> float:
-        x = sum(a * b for a, b in zip(self.weights, self.features(words, sentences)))
-        return min(5.0, max(1.0, x))
+    def level(self, features: list[float]) -> float:
+        return min(5.0, max(1.0, sum(a * b for a, b in zip(self.weights, features))))
 
-    def english_share(self, words: list[str]) -> float:
+    def english_share(self, counts: Counter) -> float:
         """Share of English words among those whose language is known; other scripts count as foreign."""
         yes = no = 0
-        for w, c in Counter(words).items():
+        for w, c in counts.items():
             if w in self.english:
                 yes += c
             elif w in self.foreign or not w.isascii():
@@ -99,12 +99,11 @@ class Formula:
         return yes / (yes + no) if yes + no else 0.0
 
 
-def _language(words: list[str], known: dict[str, frozenset[str]]) -> int:
+def _language(counts: Counter, known: dict[str, frozenset[str]]) -> int:
     """1: English, 0: another language, -1: not clear, by function words."""
-    n = len(words)
+    n = counts.total()
     if n < 4:
         return -1
-    counts = Counter(words)
     share = {k: sum(counts[w] for w in v if w in counts) / n for k, v in known.items()}
     best = max(share[k] for k in share if k != "en")
     if sum(c for w, c in counts.items() if not w.isascii()) > 0.6 * n:
@@ -124,11 +123,13 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     cols = ["n", "english", "foreign", "l1", "l2", "l3", "l4", "l5"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = defaultdict(lambda: [0] * 8)
+        seen = [Counter() for _ in cols]
 
         def rows() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in range(8))], ["word", *cols])
-            seen.clear()
+            words = [w for w in seen[0] if len(w) <= 40]
+            out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([c[w] for w in words], pa.int64()) for c in seen)], ["word", *cols])
+            for c in seen:
+                c.clear()
             return out
 
         for b in batches:
@@ -136,16 +137,15 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
                 words, _ = words_and_sentences(text.as_py())
                 if not words:
                     continue
-                lang = _language(words, known)
-                at = [0] + ([1] if lang == 1 else [2] if lang == 0 else [])
+                counts = Counter(words)
+                lang = _language(counts, known)
+                counts[""] = 1
+                seen[0].update(counts.keys())
+                if lang >= 0:
+                    seen[2 - lang].update(counts.keys())
                 if level is not None and lang != 0:
-                    at.append(2 + min(5, max(1, math.floor(level + 0.5))))
-                for w in {"", *words}:
-                    if len(w) <= 40:
-                        v = seen[w]
-                        for i in at:
-                            v[i] += 1
-            if len(seen) > 500_000:
+                    seen[2 + min(5, max(1, math.floor(level + 0.5)))].update(counts.keys())
+            if len(seen[0]) > 500_000:
                 yield rows()
         yield rows()
 
@@ -237,8 +237,9 @@ def score(docs: DataFrame, f: Formula, keep: list[str], features: bool = False)
             out: list[tuple] = []
             for t in b.column(len(keep)):
                 words, n = words_and_sentences(t.as_py())
-                row = (len(words), n, f.english_share(words), f.level(words, n) if words else None)
-                out.append((*row, f.features(words, n) if words else None) if features else row)
+                counts = Counter(words)
+                x = f.features(counts, n) if words else None
+                out.append((len(words), n, f.english_share(counts), f.level(x) if words else None, x))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
             cols = [pa.array([r[i] for r in out], kinds[i]) for i in range(4 + features)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols], names)
