@@ -37,32 +37,32 @@ _MARK = re.compile(r"^\s*(?:[-*#>•]+|\d+[.)])\s+")
 _EDGE = "\"'()[]*#.,;:!?"
 _JOINED = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-_STOP = re.compile(r"[.!?。！？]+(?=\s|$)|[。！？]")
+_STOPS = (".", "!", "?")
 
 
-def prose_lines(text: str) -> list[str]:
-    """The lines that are written for people: at least half of their parts are plain words."""
-    out = []
-    for line in _LINES.split(_HIDDEN.sub("", text)):
-        line = _MARK.sub("", line)
-        parts = [p.strip(_EDGE) for p in line.split()]
-        plain = sum(map(str.isalpha, parts))
+def words_and_sentences(text: str | None) -> tuple[list[str], int]:
+    """Lower-case words of the prose of a text, and the number of its sentences (a line ends one).
+
+    A line is prose if at least half of its parts, between blanks and without marks at their edges, are plain
+    words; list marks at its start don't count. Other lines are machine output."""
+    words: list[str] = []
+    n = 0
+    for line in _LINES.split(_HIDDEN.sub("", text).lower()) if text else ():
+        if not line[:1].isalpha():
+            line = _MARK.sub("", line)
+        raw = line.split()
+        parts = [p.strip(_EDGE) for p in raw]
+        alpha = list(map(str.isalpha, parts))
+        plain = sum(alpha)
         if 2 * plain < len(parts):
             plain += sum(_JOINED.fullmatch(p) is not None for p in parts)
-        if parts and 2 * plain >= len(parts):
-            out.append(line)
-    return out
-
-
-def words_and_sentences(text: str | None) -> tuple[list[str], int]:
-    """Lower-case words of the prose of a text, and the number of its sentences (a line ends one)."""
-    words, n = [], 0
-    for line in prose_lines(text) if text else ():
-        own = _WORD.findall(line.lower())
+        if not parts or 2 * plain < len(parts):
+            continue
+        own = parts if all(alpha) else [w for p, a in zip(parts, alpha) for w in ((p,) if a else _WORD.findall(p))]
         if own:
             words += own
-            ends = list(_STOP.finditer(line))
-            n += len(ends) + (not ends or ends[-1].end() < len(line))
+            ends = sum(p.endswith(_STOPS) for p in raw)
+            n += ends + (not raw[-1].endswith(_STOPS))
     return words, n
 
 
