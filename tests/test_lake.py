@@ -69,7 +69,7 @@ def env(spark, *data):
 
 def test_trade_breaks(spark):
     e = env(spark, *({"raw_text": t} for t in ('{"a":5}', '{"a":6}', "no json", '{"b":1}', '{"a":9}', '{"a":9}', '{"a":3000000000000}')))
-    got = continuity.trade_breaks(e, ["symbol"], "file", ["row_id"]).select("row_id", "expected", "actual", "missing")
+    got = continuity.trade_breaks(e, ["symbol"], "file", ["row_id"], []).select("row_id", "expected", "actual", "missing")
     assert rows(got) == Counter({(4, 7, 9, 2): 1, (5, 10, 9, -1): 1, (6, 10, 3_000_000_000_000, 2_999_999_999_990): 1})
 
 

@@ -248,3 +248,20 @@ def test_expired_identifiers_are_always_found():
     old, n = exactly_once._add_old(np.zeros(0, np.uint8), 0, h1[:60_000], h2[:60_000])
     assert n == 60_000 and exactly_once._in_old(old, h1[:60_000], h2[:60_000]).all()
     assert exactly_once._in_old(old, h1[60_000:], h2[60_000:]).mean() < 0.01
+
+
+def test_counters_follow_a_stream(spark, tmp_path):
+    from tidelake.streaming.late_counts_stream import CounterTable
+
+    r = random.Random(11)
+    data = [(r.choice("ab"), r.randint(0, 4000), r.randint(0, 9000) * 1_000_000, 3_000_000_000, r.choice("xy"), r.randint(0, 150)) for _ in range(200)]
+    parts = [data[:80], data[60:150], data[140:], data[:30]]  # parts overlap: rows are delivered again
+    for p in parts:
+        spark.createDataFrame(p, COLS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(COLS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    t = CounterTable(spark, str(tmp_path / "cells"), ["k"], 1000, 2000)
+    t.follow(stream, str(tmp_path / "cp"), "ets", "rec", "seen", "src", "ver").awaitTermination()
+    cols = ["k", "period_ms", "n_on_time", "n_corrected", "n_cut_off", "has_corrected", "has_cut_off"]
+    assert rows(late_counts.period_counts(t.read(), ["k"]).select(*cols)) == brute_counts(data)
+    t.compact(2)
+    assert rows(late_counts.period_counts(t.read(), ["k"]).select(*cols)) == brute_counts(data)

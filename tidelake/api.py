@@ -100,7 +100,7 @@ class Lake:
         if stream not in CHECKS:
             raise ValueError(f"no continuity check for {stream!r}")
         f = dict(zip(CHECKS, (continuity.trade_breaks, continuity.depth_breaks, continuity.bookticker_breaks)))[stream]
-        d = f(self.rows(self.files(date, exchange, symbol, stream)), DAY, "file", ["line_no"])
+        d = f(self.rows(self.files(date, exchange, symbol, stream)), DAY, "file", ["line_no"], ["received_at"])
         return d.select(*DAY, "file", "line_no", "field", "expected", "actual", "missing", "received_at")
 
     def manifest(self, date: str) -> DataFrame:

@@ -15,39 +15,41 @@ HOUR_NS = 3_600_000_000_000
 KEYS = list(NAMES)
 
 
-def _in_file_order(df: DataFrame, stream: str, *ids: str) -> DataFrame:
-    """Data rows of a stream with their payload ids as columns, unparsable and negative ids left out."""
-    d = df.where((F.col("type") == "data") & (F.col("stream") == stream))
+def _in_file_order(df: DataFrame, stream: str, ids: list[str], keep: list[str]) -> DataFrame:
+    """Data rows of a stream with their payload ids as columns and what is to be kept, unparsable and negative ids
+    left out."""
+    d = df.where((F.col("type") == "data") & (F.col("stream") == stream)).select(*dict.fromkeys([*keep, "raw_text"]))
     for i in ids:
         d = d.withColumn(f"k_{i}", json_long("raw_text", f"$.{i}"))
     cond = F.lit(True)
     for i in ids:
         cond = cond & (F.col(f"k_{i}") >= 0)
-    return d.where(cond)
+    d = d.where(cond)
+    return d if "raw_text" in keep else d.drop("raw_text")
 
 
-def trade_breaks(df: DataFrame, scope: list[str], block: str, order: list[str]) -> DataFrame:
-    """Rows whose trade id isn't the one before plus 1, in file order. missing may be negative (repeats)."""
-    d = ordered.previous(_in_file_order(df, "trades", "a"), scope, block, order, {"k_a": "last"})
+def trade_breaks(df: DataFrame, scope: list[str], block: str, order: list[str], keep: list[str]) -> DataFrame:
+    """With scope, block, order and keep columns: rows whose trade id isn't the one before plus 1, in file order. missing may be negative (repeats)."""
+    d = ordered.previous(_in_file_order(df, "trades", ["a"], [*scope, block, *order, *keep]), scope, block, order, {"k_a": "last"})
     return d.where("k_a <> last + 1").withColumns({"field": F.lit("a"), "expected": F.col("last") + 1, "actual": F.col("k_a"), "missing": F.col("k_a") - F.col("last") - 1})
 
 
-def depth_breaks(df: DataFrame, scope: list[str], block: str, order: list[str]) -> DataFrame:
+def depth_breaks(df: DataFrame, scope: list[str], block: str, order: list[str], keep: list[str]) -> DataFrame:
     """Rows whose pu isn't the u of the depth row before."""
-    d = ordered.previous(_in_file_order(df, "depth", "u", "pu"), scope, block, order, {"k_u": "last"})
+    d = ordered.previous(_in_file_order(df, "depth", ["u", "pu"], [*scope, block, *order, *keep]), scope, block, order, {"k_u": "last"})
     return d.where("k_pu <> last").withColumns({"field": F.lit("pu"), "expected": F.col("last"), "actual": F.col("k_pu"), "missing": F.lit(0).cast("long")})
 
 
-def bookticker_breaks(df: DataFrame, scope: list[str], block: str, order: list[str]) -> DataFrame:
+def bookticker_breaks(df: DataFrame, scope: list[str], block: str, order: list[str], keep: list[str]) -> DataFrame:
     """Rows whose u lies below the greatest u before."""
-    d = ordered.running_max(_in_file_order(df, "bookticker", "u"), scope, block, order, "k_u", "last")
+    d = ordered.running_max(_in_file_order(df, "bookticker", ["u"], [*scope, block, *order, *keep]), scope, block, order, "k_u", "last")
     return d.where("k_u < last").withColumns({"field": F.lit("u"), "expected": F.col("last"), "actual": F.col("k_u"), "missing": F.lit(0).cast("long")})
 
 
 def all_breaks(df: DataFrame, scope: list[str], block: str, order: list[str], keep: list[str]) -> DataFrame:
     """The three checks as one table."""
     cols = [*keep, "field", "expected", "actual", "missing"]
-    parts = [f(df, scope, block, order).select(*cols) for f in (trade_breaks, depth_breaks, bookticker_breaks)]
+    parts = [f(df, scope, block, order, keep).select(*cols) for f in (trade_breaks, depth_breaks, bookticker_breaks)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -62,7 +64,7 @@ def cross_source_breaks(df: DataFrame) -> DataFrame:
     """pu chain over the depth rows of all sources merged by (received_at, row_id), per exchange and symbol.
 
     Gives the time of the row before and of the break."""
-    d = _in_file_order(df, "depth", "u", "pu").withColumn("block", floor_div("received_at", HOUR_NS))
+    d = _in_file_order(df, "depth", ["u", "pu"], ["exchange", "symbol", "row_id", "received_at"]).withColumn("block", floor_div("received_at", HOUR_NS))
     d = ordered.previous(d, ["exchange", "symbol"], "block", ["received_at", "row_id"], {"k_u": "last_u", "received_at": "last_received"})
     return d.where("k_pu <> last_u").select("exchange", "symbol", "row_id", "last_received", "received_at", F.col("last_u").alias("expected"), F.col("k_pu").alias("actual"))
 
@@ -85,6 +87,7 @@ def session_changes(df: DataFrame) -> DataFrame:
     """Gap [previous, this] where a source's session changes within a stream, in storing order; a switch between
     sources is none."""
     d = df.where("type = 'data' AND collector_session_id IS NOT NULL").withColumn("source", source_of()).where("source IS NOT NULL")
+    d = d.select(*KEYS, "source", "row_id", "collector_session_id", "received_at")
     d = d.withColumn("block", floor_div("row_id", 100_000))
     d = ordered.previous(d, [*KEYS, "source"], "block", ["row_id"], {"collector_session_id": "last_session", "received_at": "last_received"})
     text = F.concat(F.lit("collector_session_id changed from "), "last_session", F.lit(" to "), "collector_session_id")

@@ -67,5 +67,6 @@ def duplicate_offsets(df: DataFrame, per_file: bool = False) -> DataFrame:
 def ordering_violations(df: DataFrame, keys: list[str], block: str, order: list[str]) -> DataFrame:
     """Data rows whose sort key lies below that of the data row before; gap rows are exempt."""
     d = df.where("type = 'data'").withColumn("key", sort_key("stream", "raw_text", "exchange_ts"))
+    d = d.select(*dict.fromkeys([*keys, block, *order, "key"]))
     d = ordered.previous(d, keys, block, order, {"key": "last_key"})
     return d.where("key < last_key")

@@ -46,18 +46,18 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def trade_id_breaks(spark, sf):
-    d = continuity.trade_breaks(in_files(spark, sf), DAY, "file", ["row_id"])
+    d = continuity.trade_breaks(in_files(spark, sf), DAY, "file", ["row_id"], ["received_at"])
     return d.select(*DAY, "file", "row_id", "expected", "actual", "missing", "received_at")
 
 
 @query
 def depth_chain_breaks(spark, sf):
-    return continuity.depth_breaks(in_files(spark, sf), DAY, "file", ["row_id"]).select(*DAY, "file", "row_id", "expected", "actual", "received_at")
+    return continuity.depth_breaks(in_files(spark, sf), DAY, "file", ["row_id"], ["received_at"]).select(*DAY, "file", "row_id", "expected", "actual", "received_at")
 
 
 @query
 def bookticker_backward(spark, sf):
-    return continuity.bookticker_breaks(in_files(spark, sf), DAY, "file", ["row_id"]).select(*DAY, "file", "row_id", "expected", "actual", "received_at")
+    return continuity.bookticker_breaks(in_files(spark, sf), DAY, "file", ["row_id"], ["received_at"]).select(*DAY, "file", "row_id", "expected", "actual", "received_at")
 
 
 @query
