@@ -76,7 +76,7 @@ def test_trade_breaks(spark):
 def test_sequence_records_tell_missing(spark):
     e = env(spark, *({"raw_text": f'{{"a":{a}}}'} for a in (1, 4, 4)))
     b = continuity.all_breaks(e, ["symbol"], "file", ["row_id"], ["exchange", "symbol", "stream", "row_id", "received_at"])
-    assert {r.detail for r in continuity.sequence_gap_records(b).collect()} == {"a: expected 2, got 4, 2 missing", "a: expected 5, got 4"}
+    assert {r.detail for r in continuity.sequence_gap_records(b).collect()} == {"a: expected 2, got 4 (missing 2)", "a: expected 5, got 4 (chain break)"}
 
 
 def test_session_and_source(spark):
@@ -235,9 +235,10 @@ def test_day_manifest(spark):
 
 
 def test_coverage(spark):
-    g = spark.createDataFrame([(1, "x", "s", "t", "primary", 100 * S, 105 * S), (2, "x", "s", "t", "backup", 100 * S, 105 * S), (3, "x", "s", "t", "primary", 130 * S, 131 * S), (4, "x", "s", "t", "primary", None, 1)], "gap_no long, exchange string, symbol string, stream string, source string, gap_start_ts long, received_at long")
+    rows_ = [(1, "primary", "x", 100, 105), (2, "backup", "x", 100, 105), (3, "primary", "x", 130, 131), (4, "primary", "x", None, 1), (5, "primary", "restart_gap", 101, 105), (6, "primary", "x", 101, 111), (7, "primary", "x", 101, 120)]
+    g = spark.createDataFrame([(i, "x", "s", "t", src, why, a and a * S, z * S) for i, src, why, a, z in rows_], "gap_no long, exchange string, symbol string, stream string, source string, reason string, gap_start_ts long, received_at long")
     d = spark.createDataFrame([("x", "s", "t", "backup", 100 * S), ("x", "s", "t", "backup", 112 * S), ("x", "s", "t", "primary", 116 * S)], "exchange string, symbol string, stream string, source string, received_at long")
-    assert {r.gap_no: r.covered for r in coverage.suppress_covered(g, d).collect()} == {1: True, 2: False, 3: False, 4: False}
+    assert {r.gap_no: r.covered for r in coverage.suppress_covered(g, d).collect()} == {1: True, 2: False, 3: False, 4: False, 5: True, 6: False, 7: True}
 
 
 def test_failover(spark):

@@ -210,17 +210,17 @@ def test_archive_stream_keeps_late_rows(spark, tmp_path):
 
 def test_coverage_stream(spark, tmp_path):
     S = 10**9
-    schema = "exchange string, symbol string, stream string, type string, source string, received_at long, gap_start_ts long, gap_end_ts long"
+    schema = "exchange string, symbol string, stream string, type string, source string, received_at long, gap_start_ts long, gap_end_ts long, reason string"
     k = ("x", "s", "t")
     batches = [
-        [(*k, "data", "backup", 50 * S, None, None), (*k, "gap", "primary", 105 * S, 100 * S, 104 * S), (*k, "gap", "primary", 106 * S, 100 * S, 105 * S), (*k, "gap", "primary", 107 * S, 40 * S, 41 * S), (*k, "gap", "backup", 107 * S, 107 * S, 107 * S)],
-        [(*k, "data", "backup", 110 * S, None, None), (*k, "data", "backup", 130 * S, None, None)],
+        [(*k, "data", "backup", 50 * S, None, None, None), (*k, "gap", "primary", 105 * S, 100 * S, 104 * S, "restart_gap"), (*k, "gap", "primary", 106 * S, 100 * S, 105 * S, "restart_gap"), (*k, "gap", "primary", 107 * S, 40 * S, 41 * S, "x"), (*k, "gap", "backup", 107 * S, 107 * S, 107 * S, "restart_gap"), (*k, "gap", "primary", 108 * S, 101 * S, 102 * S, "x")],
+        [(*k, "data", "backup", 110 * S, None, None, None), (*k, "data", "backup", 130 * S, None, None, None)],
     ]
     for i, b in enumerate(batches):
         spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     out = pipelines.drain(pipelines.coverage_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))), spark)
     got = {(r.source, r.gap_start_ts // S, r.gap_end_ts // S, r.covered) for r in out.collect()}
-    assert got == {("primary", 100, 105, True), ("primary", 40, 41, True), ("backup", 107, 107, False)}
+    assert got == {("primary", 100, 105, True), ("primary", 40, 41, True), ("backup", 107, 107, False), ("primary", 101, 102, False)}
 
 
 def test_stream_dedup_and_hours(spark, tmp_path):

@@ -64,7 +64,7 @@ class Lake:
         miss = integrity.missing_fields_json("line")
         whole = rows.where("line IS NOT NULL").withColumn("missing", miss)
         parts = [
-            say(1, side.where("status <> 'ok'"), F.concat(F.lit("checksum "), "status"), None),
+            say(1, side.where("status <> 'ok'"), F.when(F.col("status") == "missing", F.concat(F.lit("Sidecar not found: "), "file_path", F.lit(".sha256"))).otherwise(F.concat(F.lit("Checksum mismatch for "), F.substring_index("file_path", "/", -1))), None),
             say(2, rows.where("error IS NOT NULL"), F.col("error")),
             say(3, whole.where(F.size("missing") > 0), F.concat(F.lit("Line "), "line_no", F.lit(": missing fields: "), integrity.listed(F.col("missing")))),
             say(4, integrity.hash_mismatches(whole.where(F.size("missing") == 0)), F.concat(F.lit("Line "), "line_no", F.lit(": raw_sha256 mismatch at offset "), "_offset")),
@@ -76,7 +76,8 @@ class Lake:
 
         def duplicates(per_file: bool) -> DataFrame:
             d = integrity.duplicate_offsets(rows, per_file)
-            tell = F.format_string("duplicate offset (%s, %s, %s)", F.col("_topic"), F.col("_partition").cast("string"), F.col("_offset").cast("string"))
+            none = lambda c: F.coalesce(c, F.lit("None"))
+            tell = F.format_string("Duplicate broker record: (%s, %s, %s)", none(F.concat(F.lit("'"), "_topic", F.lit("'"))), none(F.col("_partition").cast("string")), F.col("_offset").cast("string"))
             return at(d.withColumn("message", tell))
 
         parts.append(say(5, duplicates(True), F.col("message")))
@@ -84,7 +85,7 @@ class Lake:
             parts.append(say(6, duplicates(False), F.col("message")))
             books = depth.depth_rows(rows)
             parts.append(say(7, at(depth.replay_any(books, ["exchange", "symbol"]).withColumnRenamed("error", "message")), F.col("message")))
-            cross = continuity.cross_source_breaks(rows).withColumn("message", F.format_string("[%s] cross-source pu chain break: expected pu=%d, got pu=%d", "symbol", "expected", "actual"))
+            cross = continuity.cross_source_breaks(rows).withColumn("message", F.format_string("cross_source_pu_chain_break: %s expected pu=%d, got pu=%d", "symbol", "expected", "actual"))
             parts.append(say(8, at(cross), F.col("message")))
             beats = rows.where(F.col("type").isin("data", "heartbeat"))
             quiet = continuity.uncovered_silences(beats, rows.where("type = 'gap'")).join(rows.where("type = 'heartbeat'").select(*KEYS).distinct(), KEYS, "left_semi")
@@ -151,15 +152,16 @@ class Lake:
         if ledger is not None:
             p = gaps.paired_sessions(ledger, ["collector_session_id"], ["line_no"])
             why = F.when(F.coalesce("planned", F.lit(False)), "collector_restart").otherwise("restart_gap")
-            wide.append(p.select(F.lit("ledger").alias("source"), F.col("start_ts").alias("start_ms"), F.col("ts").alias("end_ms"), why.alias("reason"), F.col("collector_session_id").alias("detail")))
+            wide.append(p.select(F.lit("ledger").alias("source"), F.col("start_ts").alias("start_ms"), F.col("ts").alias("end_ms"), why.alias("reason"), gaps.described(p, "collector_id", "collector_session_id", "host_boot_id", "maintenance_id").alias("detail")))
         if outages is not None:
-            wide.append(gaps.outage_gaps(outages, self.now_ms, end_ms).select(F.lit("ledger.outage").alias("source"), "start_ms", "end_ms", "reason", F.lit("producer outage").alias("detail")))
+            o = gaps.outage_gaps(outages, self.now_ms, end_ms)
+            wide.append(o.select(F.lit("kafka_outage").alias("source"), "start_ms", "end_ms", "reason", gaps.described(o, "collector_id", "outage_started_at_ns").alias("detail")))
         out = None
         for w in wide:
             w = _fan(w, streams, strict)
             out = w if out is None else out.unionByName(w)
         if manifests is not None:
-            m = gaps.manifest_gaps(manifests).withColumn("detail", F.concat(F.lit("hour "), "hour_no")).select(*gaps.GAP)
+            m = gaps.manifest_gaps(manifests).select(*gaps.GAP)
             out = m if out is None else out.unionByName(m)
         if out is None:
             out = self.spark.createDataFrame([], "source string, exchange string, symbol string, stream string, start_ms bigint, end_ms bigint, reason string, detail string")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Components whose unclean end outranks other evidence, in this order.
 PROMOTABLE = ("redpanda", "postgres", "writer")
 
 

@@ -56,8 +56,10 @@ def all_breaks(df: DataFrame, scope: list[str], block: str, order: list[str], ke
 def sequence_gap_records(breaks: DataFrame) -> DataFrame:
     """Breaks as gap records of one instant (session_seq_skip); the text tells missing ids from other breaks."""
     ms = floor_div("received_at", 1_000_000)
-    text = F.when(F.col("missing") > 0, F.format_string("%s: expected %d, got %d, %d missing", "field", "expected", "actual", "missing")).otherwise(F.format_string("%s: expected %d, got %d", "field", "expected", "actual"))
-    return breaks.select(F.lit("file.sequence").alias("source"), *KEYS, ms.alias("start_ms"), ms.alias("end_ms"), F.lit("session_seq_skip").alias("reason"), text.alias("detail"), "row_id")
+    # The texts of sequence records.
+    some = F.format_string("%s: expected %d, got %d (missing %d)", "field", "expected", "actual", "missing")
+    text = F.when(F.col("missing") > 0, some).otherwise(F.format_string("%s: expected %d, got %d (chain break)", "field", "expected", "actual"))
+    return breaks.select(F.lit("file.sequence_id").alias("source"), *KEYS, ms.alias("start_ms"), ms.alias("end_ms"), F.lit("session_seq_skip").alias("reason"), text.alias("detail"), "row_id")
 
 
 def cross_source_breaks(df: DataFrame) -> DataFrame:

@@ -15,11 +15,15 @@ HOUR_NS = 3600 * S
 
 
 def suppress_covered(gaps: DataFrame, data: DataFrame, grace_ns: int = 10 * S) -> DataFrame:
-    """gaps with covered: whether the other source delivered data of the stream after the gap's start and until
-    the grace after its arrival has run out.
+    """gaps with covered: whether the gap was parked and the other source then turned out to bridge it.
 
-    gaps: gap_no, names, source, gap_start_ts, received_at. data: names, source, received_at. The next row of
-    the other source after the start decides; it is found by an as-of pass over both, hour by hour.
+    A gap is parked if it is a restart_gap, or if at its arrival the other source has delivered on the stream after
+    the gap's start or within the grace; it is covered if that source has data after the start until the grace
+    after its arrival has run out. Others are archived at once.
+
+    gaps: gap_no, names, source, reason, gap_start_ts, received_at. data: names, source, received_at. The other
+    source's next row after the start and last row before the arrival decide; both come from as-of passes over
+    both tables, hour by hour.
     """
     other = F.when(F.col("source") == "primary", "backup").otherwise("primary")
     g = gaps.where("gap_start_ts IS NOT NULL").select("gap_no", *KEYS, other.alias("source"), F.col("gap_start_ts").alias("t"), F.lit(None).cast("long").alias("hit"))
@@ -28,8 +32,14 @@ def suppress_covered(gaps: DataFrame, data: DataFrame, grace_ns: int = 10 * S) -
     u = g.unionByName(d).withColumn("rt", -F.col("t")).withColumn("block", floor_div("rt", HOUR_NS)).withColumn("is_data", F.col("hit").isNotNull().cast("int"))
     u = ordered.last_known(u, [*KEYS, "source"], "block", ["rt", "is_data", "gap_no"], "hit", "next_other")
     found = u.where("gap_no IS NOT NULL").select("gap_no", "next_other")
-    out = gaps.join(found, "gap_no", "left")
-    return out.withColumn("covered", F.coalesce(F.col("next_other") <= F.col("received_at") + grace_ns, F.lit(False)))
+    a = gaps.where("received_at IS NOT NULL").select("gap_no", *KEYS, other.alias("source"), F.col("received_at").alias("t"), F.lit(None).cast("long").alias("hit"))
+    a = a.unionByName(d).withColumns({"block": floor_div("t", HOUR_NS), "is_gap": F.col("hit").isNull().cast("int")})
+    a = ordered.last_known(a, [*KEYS, "source"], "block", ["t", "is_gap", "gap_no"], "hit", "last_other")
+    seen = a.where("gap_no IS NOT NULL").select("gap_no", "last_other")
+    out = gaps.join(found, "gap_no", "left").join(seen, "gap_no", "left")
+    start, at = F.col("gap_start_ts"), F.col("received_at")
+    parked = (F.col("reason") == "restart_gap") | (F.col("last_other") > start) | (F.col("last_other") > at - grace_ns)
+    return out.withColumn("covered", F.coalesce(parked & (F.col("next_other") <= at + grace_ns), F.lit(False)))
 
 
 def failover_intervals(arrivals: DataFrame, silence_ns: int = 5 * S, recovery_ns: int = 10 * S) -> DataFrame:

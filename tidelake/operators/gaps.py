@@ -44,13 +44,13 @@ def missing_hours(files: DataFrame, now_ms: int | None = None) -> DataFrame:
     out = out.withColumn("start_ms", date_ms("utc_date") + F.col("hour_no").cast("long") * HOUR_MS)
     if now_ms is not None:
         out = out.where(F.col("start_ms") <= now_ms)
-    return out.select(F.lit("file.missing_hour").alias("source"), *DAY, "hour_no", "start_ms", (F.col("start_ms") + HOUR_MS - 1).alias("end_ms"), F.lit("missing_hour").alias("reason"), F.concat(F.lit("no file for hour "), "hour_no").alias("detail"))
+    return out.select(F.lit("file.missing_hour").alias("source"), *DAY, "hour_no", "start_ms", (F.col("start_ms") + HOUR_MS - 1).alias("end_ms"), F.lit("missing_hour").alias("reason"), F.concat(F.lit("hour "), "hour_no", F.lit(" file absent")).alias("detail"))
 
 
 def missing_hour_envelopes(missing: DataFrame) -> DataFrame:
     """Gap envelopes for missing hours: the whole hour in ns, marked as injected."""
     start = F.col("start_ms") * 1_000_000
-    return missing.select(F.lit(1).alias("v"), F.lit("gap").alias("type"), *KEYS, start.alias("gap_start_ts"), (start + HOUR_MS * 1_000_000 - 1).alias("gap_end_ts"), F.lit("missing_hour").alias("reason"), F.concat(F.lit("No data files found for hour "), "hour_no").alias("detail"), F.lit(-1).cast("long").alias("session_seq"), F.lit(-1).cast("long").alias("_offset"))
+    return missing.select(F.lit(1).alias("v"), F.lit("gap").alias("type"), *KEYS, start.alias("gap_start_ts"), (start + HOUR_MS * 1_000_000 - 1).alias("gap_end_ts"), F.lit("missing_hour").alias("reason"), F.concat(F.lit("No data files found for hour "), "hour_no", F.lit("; not recoverable via backfill")).alias("detail"), F.lit(-1).cast("long").alias("session_seq"), F.lit(-1).cast("long").alias("_offset"))
 
 
 def backfillable(missing: DataFrame, streams: tuple[str, ...] = BACKFILLABLE) -> DataFrame:
@@ -80,19 +80,26 @@ def merge_same_start(gaps: DataFrame, arrival: str = "row_id") -> DataFrame:
     return gaps.groupBy(*KEYS, "gap_start_ts").agg(first, F.max("gap_end_ts").alias("gap_end_ts"), F.count("*").alias("n_merged")).select(*KEYS, "gap_start_ts", "gap_end_ts", "f.reason", "f.detail", F.col(f"f.{arrival}").alias("first_row"), "n_merged")
 
 
+def described(df: DataFrame, *names: str) -> Column:
+    """'a=1; b=-': the named columns as text, - for nulls and for columns that df hasn't."""
+    value = lambda n: F.coalesce(F.col(n).cast("string"), F.lit("-")) if n in df.columns else F.lit("-")
+    return F.concat_ws("; ", *(F.concat(F.lit(f"{n}="), value(n)) for n in names))
+
+
 def component_gaps(state: DataFrame, now_ms: int) -> DataFrame:
     """[last heartbeat, clean shutdown or now] of each component; planned: collector_restart, else restart_gap.
 
-    state: component, last_heartbeat_ms, clean_shutdown_ms, planned. Without a heartbeat no row."""
+    state: component, last_heartbeat_ms, clean_shutdown_ms, planned, and for the text instance_id, host_boot_id
+    and maintenance_id if they are there. Without a heartbeat no row."""
     reason = F.when(F.coalesce("planned", F.lit(False)), "collector_restart").otherwise("restart_gap")
     end = F.coalesce("clean_shutdown_ms", F.lit(now_ms).cast("long"))
-    return state.where("last_heartbeat_ms IS NOT NULL").select(F.lit("pg.component_runtime").alias("source"), "component", F.col("last_heartbeat_ms").alias("start_ms"), end.alias("end_ms"), reason.alias("reason"), F.concat(F.lit("component="), "component").alias("detail"))
+    return state.where("last_heartbeat_ms IS NOT NULL").select(F.lit("pg.component_runtime").alias("source"), "component", F.col("last_heartbeat_ms").alias("start_ms"), end.alias("end_ms"), reason.alias("reason"), described(state, "component", "instance_id", "host_boot_id", "maintenance_id").alias("detail"))
 
 
 def maintenance_gaps(intents: DataFrame, now_ms: int) -> DataFrame:
     """[created, consumed or expiry or now] of each maintenance intent."""
     end = F.coalesce("consumed_ms", "expires_ms", F.lit(now_ms).cast("long"))
-    return intents.select(F.lit("pg.maintenance_intent").alias("source"), "maintenance_id", F.col("created_ms").alias("start_ms"), end.alias("end_ms"), F.lit("collector_restart").alias("reason"), F.concat(F.lit("maintenance_id="), F.col("maintenance_id").cast("string")).alias("detail"))
+    return intents.select(F.lit("pg.maintenance_intent").alias("source"), "maintenance_id", F.col("created_ms").alias("start_ms"), end.alias("end_ms"), F.lit("collector_restart").alias("reason"), described(intents, "maintenance_id", "scope", "reason", "planned_by").alias("detail"))
 
 
 def outage_gaps(outages: DataFrame, now_ms: int, scope_end_ms: int) -> DataFrame:
@@ -115,7 +122,7 @@ def manifest_gaps(manifests: DataFrame) -> DataFrame:
     """The missing hours that manifests list, as gap records."""
     d = manifests.select(*DAY, F.explode("missing_hours").alias("hour_no"))
     start = date_ms("utc_date") + F.col("hour_no").cast("long") * HOUR_MS
-    return d.select(F.lit("manifest").alias("source"), *DAY, "hour_no", start.alias("start_ms"), (start + HOUR_MS - 1).alias("end_ms"), F.lit("missing_hour").alias("reason"))
+    return d.select(F.lit("manifest").alias("source"), *DAY, "hour_no", start.alias("start_ms"), (start + HOUR_MS - 1).alias("end_ms"), F.lit("missing_hour").alias("reason"), F.concat(F.lit("manifest="), "utc_date", F.lit("; hour="), "hour_no").alias("detail"))
 
 
 def fan_out(state_gaps: DataFrame, streams: DataFrame, on: list[str], strict: bool = False) -> DataFrame:

@@ -428,7 +428,7 @@ def coverage_suppression(spark, sf):
     """Gap envelopes, told apart as covered by the other collector or not. Gaps of no broker count as the
     primary's."""
     e = _sourced(spark, sf)
-    g = e.where("type = 'gap'").select(F.col("row_id").alias("gap_no"), *KEYS, F.coalesce("source", F.lit("primary")).alias("source"), "gap_start_ts", "received_at")
+    g = e.where("type = 'gap'").select(F.col("row_id").alias("gap_no"), *KEYS, F.coalesce("source", F.lit("primary")).alias("source"), norm("reason").alias("reason"), "gap_start_ts", "received_at")
     d = e.where("type = 'data' AND source IS NOT NULL").select(*KEYS, "source", "received_at")
     return coverage.suppress_covered(g, d).select("gap_no", *KEYS, "source", "gap_start_ts", "covered")
 

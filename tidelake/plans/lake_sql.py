@@ -55,8 +55,8 @@ SQL["depth_chain_breaks"] = f"WITH {E} SELECT {DAY}, file, row_id, last AS expec
 SQL["bookticker_backward"] = f"WITH {E} SELECT {DAY}, file, row_id, last AS expected, val AS actual, received_at FROM ({_BREAKS['bookticker'].format(DAY)}) WHERE val < last"
 SQL["continuity_summary"] = f"""WITH {E}, {_all_breaks(DAY)} SELECT {DAY}, n AS records, coalesce(m, 0) AS breaks FROM
  (SELECT {DAY}, count(*) AS n FROM f WHERE type = 'data' AND stream IN ('trades', 'depth', 'bookticker') GROUP BY ALL) LEFT JOIN (SELECT {DAY}, count(*) AS m FROM b GROUP BY ALL) USING ({DAY})"""
-SQL["sequence_gap_records"] = f"""WITH {E}, {_all_breaks(K + ', file_path')} SELECT 'file.sequence' AS source, {K}, ms AS start_ms, ms AS end_ms, 'session_seq_skip' AS reason,
- field || ': expected ' || expected || ', got ' || val || CASE WHEN missing > 0 THEN ', ' || missing || ' missing' ELSE '' END AS detail, row_id FROM b"""
+SQL["sequence_gap_records"] = f"""WITH {E}, {_all_breaks(K + ', file_path')} SELECT 'file.sequence_id' AS source, {K}, ms AS start_ms, ms AS end_ms, 'session_seq_skip' AS reason,
+ field || ': expected ' || expected || ', got ' || val || CASE WHEN missing > 0 THEN ' (missing ' || missing || ')' ELSE ' (chain break)' END AS detail, row_id FROM b"""
 SQL["cross_source_chain_breaks"] = f"""WITH {E}, d AS (SELECT exchange, symbol, row_id, received_at, {_j('$.pu')} AS pu, lag({_j('$.u')}) OVER w AS u, lag(received_at) OVER w AS last_received FROM e
  WHERE type = 'data' AND stream = 'depth' AND {_j('$.u')} >= 0 AND {_j('$.pu')} >= 0 WINDOW w AS (PARTITION BY exchange, symbol ORDER BY received_at, row_id))
 SELECT exchange, symbol, row_id, last_received, received_at, u AS expected, pu AS actual FROM d WHERE pu <> u"""
@@ -105,9 +105,9 @@ FROM e WHERE type = 'data' AND _topic IS NOT NULL GROUP BY ALL"""
 M = f"""{L}, hrs AS (SELECT unnest(generate_series(0, 23))::INTEGER AS hour_no), days AS (SELECT DISTINCT {DAY} FROM l WHERE kind <> 'other'),
 m AS (SELECT {DAY}, hour_no, epoch_ms(utc_date::TIMESTAMP) + hour_no * 3600000 AS start_ms FROM days, hrs
   WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.exchange = days.exchange AND l.symbol = days.symbol AND l.stream = days.stream AND l.utc_date = days.utc_date AND (l.kind = 'daily' OR (l.kind <> 'other' AND l.hour_no = hrs.hour_no))))"""
-SQL["missing_hours"] = f"WITH {M} SELECT 'file.missing_hour' AS source, {DAY}, hour_no, start_ms, start_ms + 3599999 AS end_ms, 'missing_hour' AS reason, 'no file for hour ' || hour_no AS detail FROM m WHERE start_ms <= {NOW_MS}"
+SQL["missing_hours"] = f"WITH {M} SELECT 'file.missing_hour' AS source, {DAY}, hour_no, start_ms, start_ms + 3599999 AS end_ms, 'missing_hour' AS reason, 'hour ' || hour_no || ' file absent' AS detail FROM m WHERE start_ms <= {NOW_MS}"
 SQL["missing_hour_envelopes"] = f"""WITH {M} SELECT 1 AS v, 'gap' AS type, {K}, start_ms * 1000000 AS gap_start_ts, (start_ms + 3600000) * 1000000 - 1 AS gap_end_ts, 'missing_hour' AS reason,
- 'No data files found for hour ' || hour_no AS detail, -1::BIGINT AS session_seq, -1::BIGINT AS _offset FROM m WHERE start_ms <= {NOW_MS}"""
+ 'No data files found for hour ' || hour_no || '; not recoverable via backfill' AS detail, -1::BIGINT AS session_seq, -1::BIGINT AS _offset FROM m WHERE start_ms <= {NOW_MS}"""
 SQL["backfillable_hours"] = f"WITH {M} SELECT {DAY}, hour_no, start_ms, start_ms + 3599999 AS end_ms FROM m WHERE start_ms <= {NOW_MS} AND stream IN ('trades', 'funding_rate', 'open_interest')"
 
 H = f"""{L}, h AS (SELECT {DAY}, hour_no, min(file_path) FILTER (kind = 'base') AS base, list(file_path ORDER BY seq, file_path) FILTER (kind = 'late') AS late, list(file_path ORDER BY seq, file_path) FILTER (kind = 'backfill') AS backfill
@@ -125,11 +125,11 @@ FROM e WHERE type = 'gap' AND gap_start_ts IS NOT NULL GROUP BY {K}, gap_start_t
 R = f"""r AS (SELECT * FROM (SELECT * EXCLUDE (exchange, symbol, stream), {_NAMES} FROM consolidate_results WHERE consolidated_at IS NOT NULL)
  QUALIFY row_number() OVER (PARTITION BY {DAY} ORDER BY consolidated_at DESC, coalesce(success, false) DESC) = 1)"""
 SQL["manifest_missing_hours"] = f"""WITH {R}, x AS (SELECT {DAY}, unnest(missing_hours) AS hour_no FROM r)
-SELECT 'manifest' AS source, {DAY}, hour_no, epoch_ms(utc_date::TIMESTAMP) + hour_no * 3600000 AS start_ms, epoch_ms(utc_date::TIMESTAMP) + hour_no * 3600000 + 3599999 AS end_ms, 'missing_hour' AS reason FROM x"""
+SELECT 'manifest' AS source, {DAY}, hour_no, epoch_ms(utc_date::TIMESTAMP) + hour_no * 3600000 AS start_ms, epoch_ms(utc_date::TIMESTAMP) + hour_no * 3600000 + 3599999 AS end_ms, 'missing_hour' AS reason, 'manifest=' || utc_date || '; hour=' || hour_no AS detail FROM x"""
 SQL["component_runtime_gaps"] = f"""SELECT 'pg.component_runtime' AS source, collector_session_id AS component, max(received_at // 1000000) AS start_ms,
  CASE WHEN contains(collector_session_id, '-a_') THEN max(received_at // 1000000) + 1000 ELSE {NOW_MS} END AS end_ms, CASE WHEN contains(collector_session_id, '-a_') THEN 'collector_restart' ELSE 'restart_gap' END AS reason,
- 'component=' || collector_session_id AS detail FROM envelopes WHERE type = 'data' AND collector_session_id IS NOT NULL AND received_at IS NOT NULL GROUP BY collector_session_id"""
-SQL["maintenance_gaps"] = f"""SELECT 'pg.maintenance_intent' AS source, gap_id AS maintenance_id, min(start_ms) AS start_ms, coalesce(max(end_ms), {NOW_MS}) AS end_ms, 'collector_restart' AS reason, 'maintenance_id=' || gap_id AS detail
+ 'component=' || collector_session_id || '; instance_id=-; host_boot_id=-; maintenance_id=-' AS detail FROM envelopes WHERE type = 'data' AND collector_session_id IS NOT NULL AND received_at IS NOT NULL GROUP BY collector_session_id"""
+SQL["maintenance_gaps"] = f"""SELECT 'pg.maintenance_intent' AS source, gap_id AS maintenance_id, min(start_ms) AS start_ms, coalesce(max(end_ms), {NOW_MS}) AS end_ms, 'collector_restart' AS reason, 'maintenance_id=' || gap_id || '; scope=-; reason=-; planned_by=-' AS detail
 FROM gap_state WHERE {_n('source')} = 'pg.maintenance_intent' GROUP BY gap_id"""
 SQL["outage_gaps"] = f"SELECT {_NAMES}, max(start_ms) AS start_ms, {NOW_MS - 3_600_000}::BIGINT AS end_ms, 'kafka_producer_outage' AS reason FROM gap_records WHERE {_n('reason')} = 'kafka_producer_outage' GROUP BY 1, 2, 3 HAVING max(start_ms) IS NOT NULL"
 SQL["state_fanout"] = f"""WITH {E}, s AS (SELECT DISTINCT gap_id, {_n('exchange')} AS exchange, start_ms, end_ms, detail FROM gap_state WHERE {_n('source')} = 'pg.maintenance_intent')
@@ -200,9 +200,10 @@ SELECT k AS o_orderkey, coalesce(dead, split_part(c, ',', 1)) AS component, CASE
   CASE WHEN valid THEN 'maintenance_intent_valid' END, CASE WHEN expired THEN 'maintenance_intent_expired' END, CASE WHEN c LIKE 'unknown%' THEN 'no_clear_signal' END, 'component_die:' || dead], '|') AS evidence FROM y"""
 
 S = 1_000_000_000
-SQL["coverage_suppression"] = f"""WITH {E}, g AS (SELECT row_id AS gap_no, {K}, coalesce(source, 'primary') AS source, gap_start_ts, received_at FROM e WHERE type = 'gap')
-SELECT gap_no, {K}, source, gap_start_ts, EXISTS (SELECT 1 FROM e WHERE e.type = 'data' AND e.source IS NOT NULL AND e.source <> g.source AND e.exchange = g.exchange AND e.symbol = g.symbol AND e.stream = g.stream
-  AND e.received_at > g.gap_start_ts AND e.received_at <= g.received_at + {10 * S}) AS covered FROM g"""
+SQL["coverage_suppression"] = f"""WITH {E}, g AS (SELECT row_id AS gap_no, {K}, coalesce(source, 'primary') AS source, {_n('reason')} AS reason, gap_start_ts, received_at FROM e WHERE type = 'gap'),
+o AS (SELECT g.gap_no, bool_or(e.received_at > g.gap_start_ts AND e.received_at <= g.received_at + {10 * S}) AS bridged, max(e.received_at) FILTER (e.received_at <= g.received_at) AS last FROM g JOIN e ON e.type = 'data' AND e.source <> g.source
+  AND e.exchange = g.exchange AND e.symbol = g.symbol AND e.stream = g.stream GROUP BY g.gap_no)
+SELECT gap_no, {K}, source, gap_start_ts, coalesce(bridged, false) AND coalesce(reason = 'restart_gap' OR last > gap_start_ts OR last > received_at - {10 * S}, false) AS covered FROM g LEFT JOIN o USING (gap_no)"""
 FO = f"""a AS (SELECT DISTINCT {K}, received_at AS t FROM e WHERE type = 'data' AND source = 'primary' AND received_at IS NOT NULL),
 b AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY {K} ORDER BY t) <= {600 * S} THEN 0 ELSE 1 END AS nw FROM a), i AS (SELECT *, sum(nw) OVER (PARTITION BY {K} ORDER BY t) AS island FROM b),
 runs AS (SELECT {K}, island, min(t) AS a, max(t) AS z FROM i GROUP BY ALL), lng AS (SELECT * FROM runs WHERE island = 1 OR z - a >= {1200 * S}),

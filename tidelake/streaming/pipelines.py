@@ -90,10 +90,11 @@ COVER_STATE = "last_primary bigint, last_backup bigint, parked array<struct<sour
 
 
 def coverage_stream(rows: DataFrame, grace_ns: int = 10_000_000_000) -> DataFrame:
-    """Gaps parked for a grace: covered as soon as the other source delivers on the stream after the gap's start,
-    else given as uncovered when the grace is over by the stream's own clock (received_at of whatever comes).
+    """Gaps parked for a grace, as in coverage.suppress_covered: covered as soon as the other source delivers on the
+    stream after the gap's start, else given as uncovered when the grace is over by the stream's own clock
+    (received_at of whatever comes). A gap that isn't parked is given as uncovered at once.
 
-    rows: names, type, source, received_at, gap_start_ts, gap_end_ts. One state for each stream: the sources'
+    rows: names, type, source, received_at, gap_start_ts, gap_end_ts, reason. One state for each stream: the sources'
     last times and the parked gaps; equal starts of a source merge to the greatest end.
     """
 
@@ -103,7 +104,7 @@ def coverage_stream(rows: DataFrame, grace_ns: int = 10_000_000_000) -> DataFram
         wait = {(p["source"], p["start"]): [p["end"], p["until"]] for p in (x if isinstance(x, dict) else x.asDict() for x in parked)}
         out = []
         pdf = pd.concat(list(frames)).sort_values("received_at", kind="stable")
-        for kind, source, at, start, end in zip(pdf["type"], pdf["source"], pdf["received_at"], pdf["gap_start_ts"], pdf["gap_end_ts"]):
+        for kind, source, at, start, end, reason in zip(pdf["type"], pdf["source"], pdf["received_at"], pdf["gap_start_ts"], pdf["gap_end_ts"], pdf["reason"]):
             for k in [k for k, v in wait.items() if v[1] < at]:
                 out.append((*key, *k, wait.pop(k)[0], False))
             if kind == "data":
@@ -114,6 +115,8 @@ def coverage_stream(rows: DataFrame, grace_ns: int = 10_000_000_000) -> DataFram
                 other = last["backup" if source == "primary" else "primary"]
                 if other > start:
                     out.append((*key, source, int(start), int(end), True))
+                elif (source, int(start)) not in wait and reason != "restart_gap" and (other < 0 or at - other >= grace_ns):
+                    out.append((*key, source, int(start), int(end), False))
                 else:
                     old = wait.get((source, int(start)), [int(end), int(at) + grace_ns])
                     wait[(source, int(start))] = [max(old[0], int(end)), old[1]]
