@@ -288,13 +288,13 @@ def test_depth_replay(spark):
 
 def test_depth_online():
     d = depth.DepthDetector()
-    assert d.diff(1, 2, 0) == "need_sync"
+    assert d.diff(1, 2, 0) == "no_sync_point"
     d.sync(10)
-    assert [d.diff(1, 10, 0), d.diff(9, 12, 0), d.diff(13, 14, 12), d.diff(20, 21, 19), d.diff(22, 23, 21)] == ["stale", "ok", "ok", "gap", "need_sync"]
+    assert [d.diff(1, 9, 0), d.diff(1, 10, 0), d.diff(9, 12, 0), d.diff(13, 14, 12), d.diff(20, 21, 19), d.diff(22, 23, 21)] == ["stale", "no_sync_diff_found", "ok", "ok", "pu_chain_break", "no_sync_point"]
     b = depth.DepthBuffer(2)
     for i in range(4):
         assert b.diff(i, i, i, i - 1) == []
-    assert list(b.sync(2)) == [(1, "dropped_from:0"), (2, "stale"), (3, "ok")]
+    assert list(b.sync(2)) == [(1, "dropped_from:0"), (2, "no_sync_diff_found"), (3, "ok")]
 
 
 # --- backfill, metrics, state, time ---

@@ -122,18 +122,18 @@ class DepthDetector:
         self.lid, self.last_u = lid, None
 
     def diff(self, first_u: int, u: int, pu: int) -> str:
-        """need_sync, stale (before the snapshot), ok, or gap (the chain broke; a new sync is needed)."""
+        """no_sync_point, stale (before the snapshot), no_sync_diff_found (it doesn't span the snapshot; the next may),
+        pu_chain_break (a new sync is needed), or ok."""
         if self.lid is None:
-            return "need_sync"
+            return "no_sync_point"
         if self.last_u is None:
-            if u < self.lid + 1:
+            if u < self.lid:
                 return "stale"
-            if first_u > self.lid + 1:
-                self.lid = None
-                return "gap"
+            if not first_u <= self.lid + 1 <= u:
+                return "no_sync_diff_found"
         elif pu != self.last_u:
             self.lid = self.last_u = None
-            return "gap"
+            return "pu_chain_break"
         self.last_u = u
         return "ok"
 
@@ -150,7 +150,7 @@ class DepthBuffer:
 
     def diff(self, at: int, first_u: int, u: int, pu: int) -> list[tuple[int, str]]:
         said = self.detector.diff(first_u, u, pu)
-        if said == "need_sync":
+        if said == "no_sync_point":
             self.waiting.append((at, first_u, u, pu))
             if len(self.waiting) > self.size:
                 gone = self.waiting.popleft()[0]

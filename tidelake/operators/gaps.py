@@ -20,13 +20,13 @@ def date_ms(c: Column | str) -> Column:
 
 
 def hour_status(files: DataFrame) -> DataFrame:
-    """One row for each stream-day and hour with files: status (present with a base file, else backfilled, else
-    late_only), base path, late and backfill paths by number. files: path_columns and file_path, listed once."""
+    """One row for each stream-day and hour with files: status (backfilled with backfill but no base
+    file, else present), base path, late and backfill paths by number. files: path_columns and file_path, listed once."""
     d = files.where(F.col("kind").isin("base", "late", "backfill"))
     one = lambda k: F.when(F.col("kind") == k, F.struct("seq", "file_path"))
     paths = lambda k: F.transform(F.sort_array(F.collect_list(one(k))), lambda x: x["file_path"])
     out = d.groupBy(*DAY, "hour_no").agg(F.min(F.when(F.col("kind") == "base", F.col("file_path"))).alias("base"), paths("late").alias("late"), paths("backfill").alias("backfill"))
-    status = F.when(F.col("base").isNotNull(), "present").when(F.size("backfill") > 0, "backfilled").otherwise("late_only")
+    status = F.when(F.col("base").isNull() & (F.size("backfill") > 0), "backfilled").otherwise("present")
     return out.withColumn("status", status)
 
 

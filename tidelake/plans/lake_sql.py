@@ -112,7 +112,7 @@ SQL["backfillable_hours"] = f"WITH {M} SELECT {DAY}, hour_no, start_ms, start_ms
 
 H = f"""{L}, h AS (SELECT {DAY}, hour_no, min(file_path) FILTER (kind = 'base') AS base, list(file_path ORDER BY seq, file_path) FILTER (kind = 'late') AS late, list(file_path ORDER BY seq, file_path) FILTER (kind = 'backfill') AS backfill
  FROM l WHERE kind IN ('base', 'late', 'backfill') GROUP BY ALL)"""
-_STATUS = "CASE WHEN base IS NOT NULL THEN 'present' WHEN len(backfill) > 0 THEN 'backfilled' ELSE 'late_only' END"
+_STATUS = "CASE WHEN base IS NULL AND len(backfill) > 0 THEN 'backfilled' ELSE 'present' END"
 SQL["hour_status"] = f"WITH {H} SELECT {DAY}, hour_no, {_STATUS} AS status, base, coalesce(array_to_string(late, '|'), '') AS late, coalesce(array_to_string(backfill, '|'), '') AS backfill FROM h"
 SQL["hour_groups_check"] = f"""WITH {H}, g AS (SELECT {_NAMES}, utc_date, hour_no, bool_or(base IS NOT NULL) AS g_base, max(len(late))::INTEGER AS g_late, max(len(backfill))::INTEGER AS g_backfill FROM hour_file_groups GROUP BY ALL),
 c AS (SELECT {DAY}, hour_no, base IS NOT NULL AS has_base, coalesce(len(late), 0)::INTEGER AS n_late, coalesce(len(backfill), 0)::INTEGER AS n_backfill FROM h)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,10 +29,13 @@ def build_session(app: str = "tidelake", master: str | None = None, shuffle_part
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, set here only where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir, set here only where it is unset (then a folder of
+    this machine, removed at the end)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="tidelake-")
+        own = tempfile.mkdtemp(prefix="tidelake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        at = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", at)
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.components import min_labels
-from tidelake.runtime import scratch, write_cut
+from tidelake.runtime import remove_path, scratch, write_cut
 
 OUT = "kind string, h1 long, h2 long, row_id long, owner long"
 STATE = "h1 binary, h2 binary, owner binary, seen_ms binary, old binary, n_old long"
@@ -128,7 +128,10 @@ def repeated_rows(spark: SparkSession, stream: DataFrame, row_id: str, received_
     be; rows with null row_id are left out; a row that comes twice with the same row_id is one row; other
     columns are ignored; an empty stream gives none.
     """
-    links = write_cut(message_links(spark, stream, row_id, received_ns, identifiers, **options), "links", spark)
+    base = options.pop("checkpoint", None) or scratch(spark, "exactly-once")
+    links = write_cut(message_links(spark, stream, row_id, received_ns, identifiers, checkpoint=base, **options), "links", spark)
+    if "exactly-once-" in base:
+        remove_path(spark, base)  # nothing goes on from it
     return min_labels(links, "row_id", "owner").select(F.col("node").alias("row_id"), F.col("label").alias("kept"))
 
 
