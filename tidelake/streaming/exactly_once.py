@@ -128,9 +128,10 @@ def repeated_rows(spark: SparkSession, stream: DataFrame, row_id: str, received_
     be; rows with null row_id are left out; a row that comes twice with the same row_id is one row; other
     columns are ignored; an empty stream gives none.
     """
-    base = options.pop("checkpoint", None) or scratch(spark, "exactly-once")
+    given = options.pop("checkpoint", None)
+    base = given or scratch(spark, "exactly-once")
     links = write_cut(message_links(spark, stream, row_id, received_ns, identifiers, checkpoint=base, **options), "links", spark)
-    if "exactly-once-" in base:
+    if given is None:
         remove_path(spark, base)  # nothing goes on from it
     return min_labels(links, "row_id", "owner").select(F.col("node").alias("row_id"), F.col("label").alias("kept"))
 
