@@ -229,3 +229,20 @@ def test_stream_dedup_and_hours(spark, tmp_path):
     assert pipelines.dedup_offsets(spark, str(tmp_path / "in")).first().n == 10
     h = pipelines.hourly_counts(spark, str(tmp_path / "in"))
     assert h.agg(F.sum("n")).first()[0] == 30 and h.count() == len({i * 10**12 // 3_600_000_000_000 for i in range(30)})
+
+
+def test_replayed_frames_are_routed(spark, tmp_path):
+    from tidelake.functions.frames import route_frames
+    from tidelake.sources.replay import ReplaySource
+
+    frames = [f'{{"stream":"btcusdt@aggTrade","data":{{"a":{i}}}}}' for i in range(25)]
+    put(str(tmp_path / "frames"), ("\n".join(frames) + "\n").encode())
+    spark.dataSource.register(ReplaySource)
+    d = spark.readStream.format("frames_replay").option("path", str(tmp_path / "frames")).option("batch", 10).load()
+    q = route_frames(d, "frame", ["btcusdt"]).writeStream.format("memory").queryName("replayed").start()
+    try:
+        q.processAllAvailable()
+        got = spark.sql("SELECT line_no, stream, raw_text FROM replayed ORDER BY line_no").collect()
+    finally:
+        q.stop()
+    assert [(r.line_no, r.raw_text) for r in got] == [(i, f'{{"a":{i}}}') for i in range(25)] and {r.stream for r in got} == {"trades"}
