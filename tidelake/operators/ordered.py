@@ -3,7 +3,7 @@
 Rows are cut into blocks that follow the order (a file, an hour): the work inside a block is a window over
 (keys, block); what a block hands to the next is one row each, and only those rows meet in a window over keys.
 The large side is shuffled once, by (keys, block). Null keys are keys. Callers select the columns
-they need beforehand.
+they need before and after.
 """
 
 from __future__ import annotations
@@ -15,54 +15,57 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def _within(df: DataFrame, keys: list[str], block: str, order: list[str]) -> tuple[DataFrame, WindowSpec]:
-    """df with its keys and block as one struct (equal where its fields are, nulls too), and the window inside it."""
-    d = df.withColumn("_kb", F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.col(block).alias("b")))
-    return d, W.partitionBy("_kb").orderBy(*order)
+def _within(df: DataFrame, keys: list[str], block: str, order: list[str]) -> tuple[DataFrame, WindowSpec, str]:
+    """df with its keys and block as one struct (equal where its fields are, nulls too), the window inside it, and its
+    name. It stays in the result, so that a further operator on the same keys finds its rows in place."""
+    at = "_".join(["_at", *keys, block])
+    if at not in df.columns:
+        df = df.withColumn(at, F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.col(block).alias("b")))
+    return df, W.partitionBy(at).orderBy(*order), at
 
 
-def _carry(inside: DataFrame, order: list[str], n_keys: int, what: Callable[[WindowSpec], Column]) -> DataFrame:
+def _carry(inside: DataFrame, at: str, order: list[str], n_keys: int, what: Callable[[WindowSpec], Column]) -> DataFrame:
     """inside with _b: what(window over the last rows of the key's earlier blocks).
 
     The last row of a block is kept whole (_end): as both uses of `inside` then need the same columns, one shuffle
     serves both, and the source is read and its payload parsed once, if the caller has selected what it needs.
     """
-    ends = inside.groupBy("_kb").agg(F.max_by(F.struct(*inside.columns), F.struct(*order)).alias("_end"))
-    over = W.partitionBy(*(F.col(f"_kb.k{i}") for i in range(n_keys))).orderBy("_kb.b")
-    return inside.join(ends.select("_kb", what(over).alias("_b")), "_kb").drop("_kb")
+    ends = inside.groupBy(at).agg(F.max_by(F.struct(*inside.columns), F.struct(*order)).alias("_end"))
+    over = W.partitionBy(*(F.col(f"{at}.k{i}") for i in range(n_keys))).orderBy(f"{at}.b")
+    return inside.join(ends.select(at, what(over).alias("_b")), at)
 
 
 def previous(df: DataFrame, keys: list[str], block: str, order: list[str], values: dict[str, str]) -> DataFrame:
     """df with, for each (column: name) of values, the value in the row before in (block, order) of the keys."""
-    d, own = _within(df, keys, block, order)
+    d, own, at = _within(df, keys, block, order)
     inside = d.withColumn("_p", F.lag(F.struct(*values)).over(own))
     last = F.struct(*(F.col(f"_end.{c}").alias(c) for c in values))
-    out = _carry(inside, order, len(keys), lambda w: F.lag(last).over(w)).withColumn("_p", F.coalesce("_p", "_b"))
+    out = _carry(inside, at, order, len(keys), lambda w: F.lag(last).over(w)).withColumn("_p", F.coalesce("_p", "_b"))
     return out.withColumns({n: F.col(f"_p.{c}") for c, n in values.items()}).drop("_p", "_b")
 
 
 def running_max(df: DataFrame, keys: list[str], block: str, order: list[str], value: str, name: str) -> DataFrame:
     """df with the greatest value of all rows before."""
-    d, own = _within(df, keys, block, order)
+    d, own, at = _within(df, keys, block, order)
     inside = d.withColumn("_p", F.max(value).over(own.rowsBetween(W.unboundedPreceding, -1)))
     top = F.greatest(F.col("_end._p"), F.col(f"_end.{value}"))
-    out = _carry(inside, order, len(keys), lambda w: F.max(top).over(w.rowsBetween(W.unboundedPreceding, -1)))
+    out = _carry(inside, at, order, len(keys), lambda w: F.max(top).over(w.rowsBetween(W.unboundedPreceding, -1)))
     return out.withColumn(name, F.greatest("_p", "_b")).drop("_p", "_b")
 
 
 def running_sum(df: DataFrame, keys: list[str], block: str, order: list[str], value: str, name: str) -> DataFrame:
     """df with the sum of value over all rows up to and with this one (numbering: the sum of ones)."""
-    d, own = _within(df, keys, block, order)
+    d, own, at = _within(df, keys, block, order)
     inside = d.withColumn("_p", F.sum(value).over(own.rowsBetween(W.unboundedPreceding, 0)))
-    out = _carry(inside, order, len(keys), lambda w: F.sum("_end._p").over(w.rowsBetween(W.unboundedPreceding, -1)))
+    out = _carry(inside, at, order, len(keys), lambda w: F.sum("_end._p").over(w.rowsBetween(W.unboundedPreceding, -1)))
     return out.withColumn(name, F.coalesce("_p", F.lit(0)) + F.coalesce("_b", F.lit(0))).drop("_p", "_b")
 
 
 def last_known(df: DataFrame, keys: list[str], block: str, order: list[str], value: str, name: str) -> DataFrame:
     """df with the last non-null value up to and with this row (as-of join of a union of two kinds of rows)."""
-    d, own = _within(df, keys, block, order)
+    d, own, at = _within(df, keys, block, order)
     inside = d.withColumn("_p", F.last(value, ignorenulls=True).over(own.rowsBetween(W.unboundedPreceding, 0)))
-    out = _carry(inside, order, len(keys), lambda w: F.last("_end._p", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1)))
+    out = _carry(inside, at, order, len(keys), lambda w: F.last("_end._p", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1)))
     return out.withColumn(name, F.coalesce("_p", "_b")).drop("_p", "_b")
 
 

@@ -9,7 +9,7 @@ from tidelake.functions.names import NAMES, norm_names, path_columns
 from tidelake.functions.timeutil import DAY_MS, HOUR_MS, floor_div, ns_to_ms
 from tidelake.operators import compact, diff, late_counts
 from tidelake.operators.intervals import covered_and_gaps
-from tidelake.runtime import scratch, table, write_cut
+from tidelake.runtime import drop_cut, remove_path, scratch, table, write_cut
 from tidelake.sources import archive, sink
 from tidelake.streaming import exactly_once
 
@@ -72,7 +72,11 @@ def p3_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = archive.count_lines(joined, "target_path", base)
     told = todo.groupBy("target_path").agg(F.sum("n_lines").alias("n_expected"))
     out = joined.select("target_path", "source_files", "error").join(told, "target_path").join(back.select("target_path", "n_lines"), "target_path")
-    return out.select("target_path", "source_files", "n_expected", "n_lines", "error")
+    done = write_cut(out.select("target_path", "source_files", "n_expected", "n_lines", "error"), "consolidated", spark)
+    for used in (small, joined):
+        drop_cut(used)
+    remove_path(spark, base.rstrip("/"))
+    return done
 
 
 FIELDS = ["exchange", "symbol", "stream", "start_ms", "end_ms", "reason", "detail"]
