@@ -17,7 +17,8 @@ KEYS = list(NAMES)
 DAY = [*KEYS, "utc_date"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-#: Instants that stand for "now" and for a restart, so that results don't depend on the clock.
+#: Instants that stand for "now" and for a restart, so that results don't depend on the clock. Where a table goes on
+#: after NOW_MS, now is what the table has last.
 NOW_MS = 1_612_400_000_000
 RESTART_NS = 1_612_180_800_000_000_000
 
@@ -41,6 +42,11 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
     return compact.latest_listing(table(spark, sf, "archive_files")).withColumns(path_columns("file_path"))
 
 
+def listed_until(spark: SparkSession, sf: str) -> int | None:
+    """The last listing's time in ms: the now of missing hours. None, so that no hour is cut, if no listing has a time."""
+    return table(spark, sf, "archive_files").where("file_path IS NOT NULL").agg(F.max(F.unix_millis(F.col("listed_at").cast("timestamp")))).first()[0]
+
+
 # --- continuity ---
 
 
@@ -183,17 +189,17 @@ def topics(spark, sf):
 
 @query
 def missing_hours(spark, sf):
-    return gaps.missing_hours(listing(spark, sf), NOW_MS)
+    return gaps.missing_hours(listing(spark, sf), listed_until(spark, sf))
 
 
 @query
 def missing_hour_envelopes(spark, sf):
-    return gaps.missing_hour_envelopes(gaps.missing_hours(listing(spark, sf), NOW_MS))
+    return gaps.missing_hour_envelopes(gaps.missing_hours(listing(spark, sf), listed_until(spark, sf)))
 
 
 @query
 def backfillable_hours(spark, sf):
-    return gaps.backfillable(gaps.missing_hours(listing(spark, sf), NOW_MS)).select(*DAY, "hour_no", "start_ms", "end_ms")
+    return gaps.backfillable(gaps.missing_hours(listing(spark, sf), listed_until(spark, sf))).select(*DAY, "hour_no", "start_ms", "end_ms")
 
 
 @query
@@ -233,11 +239,12 @@ def manifest_missing_hours(spark, sf):
 @query
 def component_runtime_gaps(spark, sf):
     """Collector sessions as components: last row as heartbeat; the end of a session that another of the same
-    collector follows is its planned shutdown."""
+    collector follows is its planned shutdown. Now is the last arrival of all, NOW_MS at least."""
+    last = table(spark, sf, "envelopes").agg(F.max(ns_to_ms("received_at"))).first()[0]
     e = envelopes(spark, sf).where("type = 'data' AND collector_session_id IS NOT NULL AND received_at IS NOT NULL")
     s = e.groupBy("collector_session_id").agg(F.max(ns_to_ms("received_at")).alias("last_heartbeat_ms"))
     s = s.withColumns({"component": F.col("collector_session_id"), "clean_shutdown_ms": F.when(F.col("collector_session_id").contains("-a_"), F.col("last_heartbeat_ms") + 1000), "planned": F.col("collector_session_id").contains("-a_")})
-    return gaps.component_gaps(s, NOW_MS)
+    return gaps.component_gaps(s, max(NOW_MS, last or NOW_MS))
 
 
 @query
@@ -332,7 +339,7 @@ def _day_manifest(spark, sf):
     counts = consolidate.hour_counts(in_files(spark, sf).where("hour_no IS NOT NULL"), [*DAY, "hour_no"])
     status = gaps.hour_status(files).select(*DAY, "hour_no", "status", F.array_sort(F.concat(F.array_compact(F.array("base")), "late", "backfill")).alias("sources"))
     hours = status.join(counts, [*DAY, "hour_no"], "left").na.fill(0, ["data_records", "gap_records"])
-    return consolidate.day_manifest(hours, gaps.missing_hours(files, NOW_MS))
+    return consolidate.day_manifest(hours, gaps.missing_hours(files, listed_until(spark, sf)))
 
 
 @query
