@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from tidelake.plans import lake
+from tidelake.plans import lake, problems
 
 S = 1_000_000_000
 ENV = "row_id long, type string, exchange string, symbol string, stream string, received_at long, exchange_ts long, collector_session_id string, session_seq long, raw_text string, _topic string, _partition int, _offset long, gap_start_ts long, gap_end_ts long, reason string, detail string, file_path string"
@@ -31,3 +31,14 @@ def test_component_gaps_end_after_they_start(spark, tmp_path):
     at = write_env(spark, tmp_path, *({"collector_session_id": c, "received_at": (DAY + ms) * 1_000_000} for c, ms in (("p-b_1", 0), ("q-b_1", 7000))))
     got = {r.component: (r.start_ms, r.end_ms) for r in lake.component_runtime_gaps(spark, at).collect()}
     assert got == {"p-b_1": (DAY, DAY + 7000), "q-b_1": (DAY + 7000, DAY + 7000)}
+
+
+def test_copies_with_and_without_session_count_once(spark, tmp_path):
+    both = {"exchange_ts": 5, "collector_session_id": "c", "_topic": "x.trades", "_partition": 0}
+    lost = both | {"collector_session_id": None}
+    data = [both | {"session_seq": 1, "_offset": 7}, lost | {"_offset": 7}, lost | {"_offset": 7}, lost | {"session_seq": 1, "_offset": 8}, lost | {"_offset": 9}]
+    data += [both | {"session_seq": 2, "_offset": 9, "exchange_ts": None}, both | {"session_seq": 2, "_topic": None}]  # told by a row that isn't counted
+    data += [lost | {"_offset": 7, "stream": "depth"}, both | {"session_seq": 1, "_topic": None, "stream": "depth"}]  # another stream's numbers
+    at = write_env(spark, tmp_path, *data)
+    spark.createDataFrame([], "exchange string, symbol string, stream string, hour_start_ms long, last_received_at long").write.parquet(f"{tmp_path}/stream_checkpoint.parquet")
+    assert {r.stream: r.n_final for r in problems.p2_counts(spark, at).collect()} == {"trades": 3, "depth": 2}

@@ -74,3 +74,21 @@ def attach_checkpoints(rows: DataFrame, checkpoints: DataFrame, keys: list[str],
     best = checkpoints.groupBy(*keys, hour).agg(F.max(value).alias(value)).where(F.col(value).isNotNull())
     best = best.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.drop(value).join(best.hint("merge"), [*keys, hour, salt], "left")
+
+
+def with_known_session(rows: DataFrame, copies: DataFrame, keys: list[str], broker: list[str], by_session: Column, by_broker: Column) -> DataFrame:
+    """rows where those with broker coordinates only take the collector_session_id and session_seq of a copy, so that
+    all copies of a message have one identity.
+
+    copies: every row that may tell the session of coordinates, in any period. Only equal keys count, as session
+    numbers start anew in each stream; of several sessions the least. Null keys are keys. Always a merge join, by coordinates, which
+    spreads a hot stream; rows with a session or without coordinates aren't moved.
+    """
+    session = ["collector_session_id", "session_seq"]
+    lost = by_broker & ~F.coalesce(by_session, F.lit(False))
+    k = F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate([*keys, *broker]))).alias("_k")
+    known = copies.where(by_broker & by_session).select(k, F.struct(*session).alias("s")).groupBy("_k").agg(F.min("s").alias("_s"))
+    has = F.coalesce(lost, F.lit(False))
+    found = rows.where(has).withColumn("_k", k).join(known.hint("merge"), "_k", "left")
+    found = found.withColumns({c: F.coalesce(F.col(f"_s.{c}"), F.when(F.col("_s").isNull(), F.col(c))) for c in session}).drop("_k", "_s")
+    return rows.where(~has).unionByName(found)

@@ -14,6 +14,7 @@ from tidelake.sources import archive, sink
 from tidelake.streaming import exactly_once
 
 KEYS = list(NAMES)
+BROKER = ["_topic", "_partition", "_offset"]
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,13 +22,18 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covered_and_gaps(rows, KEYS, "start_ms", "end_ms", max_gap=DAY_MS)
 
 
-def _p2_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "envelopes").where("type = 'data' AND exchange_ts IS NOT NULL")
+def _p2_cells(spark: SparkSession, sf_dir: str, one_identity: bool = False) -> DataFrame:
+    """Counters by session, else by broker, else by row. one_identity: rows without session fields take the session
+    that another copy of theirs (equal broker coordinates in the stream) has kept."""
+    data = norm_names(table(spark, sf_dir, "envelopes").where("type = 'data'"))
     by_session = F.col("collector_session_id").isNotNull() & (F.col("session_seq") >= 0)
     by_broker = F.col("_topic").isNotNull() & F.col("_partition").isNotNull() & (F.col("_offset") >= 0)
+    e = data.where("exchange_ts IS NOT NULL").select(*NAMES, "exchange_ts", "received_at", "collector_session_id", "session_seq", *BROKER, "row_id")
+    if one_identity:
+        e = late_counts.with_known_session(e, data, KEYS, BROKER, by_session, by_broker)
     source = F.when(by_session, F.concat(F.lit("s:"), "collector_session_id")).when(by_broker, F.concat(F.lit("b:"), "_topic", F.lit(":"), "_partition")).otherwise("r")
     version = F.when(by_session, F.col("session_seq")).when(by_broker, F.col("_offset")).otherwise(F.col("row_id"))
-    e = norm_names(e).select(*NAMES, "exchange_ts", "received_at", source.alias("source"), version.alias("version"), (floor_div("exchange_ts", HOUR_MS) * HOUR_MS).alias("hour_start_ms"))
+    e = e.select(*NAMES, "exchange_ts", "received_at", source.alias("source"), version.alias("version"), (floor_div("exchange_ts", HOUR_MS) * HOUR_MS).alias("hour_start_ms"))
     e = e.withColumn("salt", F.pmod(floor_div("version", 64), F.lit(16)).cast("int"))
     marks = norm_names(table(spark, sf_dir, "stream_checkpoint").select(*NAMES, "hour_start_ms", "last_received_at"))
     e = late_counts.attach_checkpoints(e, marks, KEYS, "hour_start_ms", "last_received_at", "salt")
@@ -36,7 +42,7 @@ def _p2_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures per stream and hour: on time, corrected by late envelopes, cut off, and the corrected total."""
-    c = late_counts.period_counts(_p2_cells(spark, sf_dir), KEYS)
+    c = late_counts.period_counts(_p2_cells(spark, sf_dir, one_identity=True), KEYS)
     return c.select(*KEYS, F.col("period_ms").alias("hour_start_ms"), "n_on_time", "n_corrected", "n_cut_off", "n_final")
 
 
