@@ -42,3 +42,10 @@ def test_copies_with_and_without_session_count_once(spark, tmp_path):
     at = write_env(spark, tmp_path, *data)
     spark.createDataFrame([], "exchange string, symbol string, stream string, hour_start_ms long, last_received_at long").write.parquet(f"{tmp_path}/stream_checkpoint.parquet")
     assert {r.stream: r.n_final for r in problems.p2_counts(spark, at).collect()} == {"trades": 3, "depth": 2}
+
+
+def test_funding_on_every_second_between_all_readings(spark, tmp_path):
+    data = [{"stream": "funding_rate", "exchange_ts": 1000 * t + 500, "raw_text": f'{{"p":"{p}","i":"1","P":"1"}}'} for t, p in ((0, 10), (4, 50), (704, 50))]
+    at = write_env(spark, tmp_path, *data)
+    got = {r.t: r.mark for r in lake.QUERIES["funding_interpolation_whole"](spark, at).collect()}
+    assert sorted(got) == [1000 * t for t in range(1, 705)] and [got[1000 * t] for t in range(1, 6)] == [15, 25, 35, 45, 50]

@@ -581,18 +581,35 @@ def snapshot_asof(spark, sf):
     return d.where("kind = 'diff'").select("row_id", "exchange", "symbol", "snapshot_lid")
 
 
-@query
-def funding_interpolation(spark, sf):
-    """Mark and index prices on a one-minute grid between readings more than ten minutes apart."""
+def _funding_pairs(spark, sf) -> DataFrame:
+    """Successive readings of the mark and index prices as t0, t1 and each field at both."""
     num = lambda k: F.max(F.get_json_object("raw_text", f"$.{k}").try_cast("double"))
     e = envelopes(spark, sf).where("type = 'data' AND stream = 'funding_rate' AND exchange_ts IS NOT NULL")
     e = e.groupBy("exchange", "symbol", "exchange_ts").agg(num("p").alias("mark"), num("i").alias("idx"), num("P").alias("settle")).withColumn("block", floor_div("exchange_ts", HOUR_MS))
     names = ("mark", "idx", "settle")
     d = ordered.previous(e, ["exchange", "symbol"], "block", ["exchange_ts"], {"exchange_ts": "t0", **{n: f"{n}0" for n in names}}).withColumnsRenamed({"exchange_ts": "t1", **{n: f"{n}1" for n in names}})
-    g = backfill.interpolate_grid(d.where("t1 - t0 > 600000"), ["exchange", "symbol"], list(names), 60_000)
+    return d.where("t0 IS NOT NULL")
+
+
+def _funding_grid(pairs: DataFrame, *step_ms: int) -> DataFrame:
+    names = ("mark", "idx", "settle")
+    g = backfill.interpolate_grid(pairs, ["exchange", "symbol"], list(names), *step_ms)
     return g.select("exchange", "symbol", "t", *(F.round(n, 6).alias(n) for n in names), "next_funding")
 
 
+@query
+def funding_interpolation(spark, sf):
+    """Mark and index prices on a one-minute grid between readings more than ten minutes apart: the excerpt of
+    funding_interpolation_whole that the SQL gives."""
+    return _funding_grid(_funding_pairs(spark, sf).where("t1 - t0 > 600000"), 60_000)
+
+
+@query
+def funding_interpolation_whole(spark, sf):
+    """Mark and index prices on the operator's one-second grid between all successive readings."""
+    return _funding_grid(_funding_pairs(spark, sf))
+
+
 @query
 def backfill_envelopes(spark, sf):
     """Trades already archived by a backfill, wrapped again as if they had just been fetched."""
