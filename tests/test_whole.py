@@ -49,3 +49,13 @@ def test_funding_on_every_second_between_all_readings(spark, tmp_path):
     at = write_env(spark, tmp_path, *data)
     got = {r.t: r.mark for r in lake.QUERIES["funding_interpolation_whole"](spark, at).collect()}
     assert sorted(got) == [1000 * t for t in range(1, 705)] and [got[1000 * t] for t in range(1, 6)] == [15, 25, 35, 45, 50]
+
+
+def test_short_silences_and_failovers_are_found(spark, tmp_path):
+    data = [{"received_at": t * S, "_topic": "x.trades"} for t in (0, 40, 100, 101, 115, 200)] + [{"received_at": 60 * S, "_topic": "backup.x.trades"}]
+    gaps = [{"type": "gap", "symbol": o, "gap_start_ts": a * S, "gap_end_ts": z * S} for o, a, z in (("p", 41, 50), ("q", 45, 55), ("q", 10, 12), ("r", 0, 1))]
+    at, q = write_env(spark, tmp_path, *data, *gaps), lake.QUERIES
+    assert sorted(r.silent_from // S for r in q["silence_uncovered_by_any_whole"](spark, at).collect()) == [60, 115]
+    assert sorted(r.gap_start_ts // S for r in q["both_silent_whole"](spark, at).collect()) == [0, 60, 115]
+    assert [(r.active_from // S, r.active_to) for r in q["failover_intervals_whole"](spark, at).collect()] == [(5, None)]
+    assert {r.source: r.n_rows for r in q["source_routing_whole"](spark, at).collect()} == {"primary": 6, "backup": 1}

@@ -9,6 +9,7 @@ from tidelake.functions.names import NAMES
 from tidelake.functions.payload import json_long
 from tidelake.functions.timeutil import floor_div
 from tidelake.operators import ordered
+from tidelake.operators.intervals import covered_and_gaps
 from tidelake.operators.overlap import overlapping
 
 HOUR_NS = 3_600_000_000_000
@@ -106,10 +107,21 @@ def silences(df: DataFrame, threshold_ns: int) -> DataFrame:
 def uncovered_silences(signs: DataFrame, gaps: DataFrame, threshold_ns: int = 30_000_000_000, keyed: bool = True) -> DataFrame:
     """Silences that no gap envelope touches. keyed: only gaps of the same stream cover; else any gap does."""
     s = silences(signs, threshold_ns)
-    keys = KEYS if keyed else ["all"]
     g = gaps.where("gap_start_ts <= gap_end_ts").select(*KEYS, "gap_start_ts", "gap_end_ts").distinct()
-    if not keyed:
-        s, g = s.withColumn("all", F.lit(1)), g.withColumn("all", F.lit(1)).drop(*KEYS)
-    covered = overlapping(s, g, keys, ("silent_from", "silent_to"), ("gap_start_ts", "gap_end_ts"), 6 * HOUR_NS)
-    out = s.join(covered.select(*KEYS, "silent_from").distinct(), [*KEYS, "silent_from"], "left_anti").drop("all")
+    if keyed:
+        covered = overlapping(s, g, KEYS, ("silent_from", "silent_to"), ("gap_start_ts", "gap_end_ts"), 6 * HOUR_NS)
+        out = s.join(covered.select(*KEYS, "silent_from").distinct(), [*KEYS, "silent_from"], "left_anti")
+    else:
+        out = _outside(s, covered_and_gaps(g.withColumn("all", F.lit(1)), ["all"], "gap_start_ts", "gap_end_ts", block=HOUR_NS).where("kind = 'period'"))
     return out.withColumn("duration_ms", F.expr("(silent_to - silent_from) div 1000000"))
+
+
+def _outside(silent: DataFrame, periods: DataFrame) -> DataFrame:
+    """Silences that touch none of the periods, which lie apart: the last one that starts before a silence's end also
+    ends last, so one as-of pass decides, without pairs."""
+    none = F.lit(None).cast("long")
+    p = periods.select(*(F.lit(None).cast("string").alias(c) for c in KEYS), none.alias("silent_from"), none.alias("silent_to"), F.col("gap_start_ts").alias("t"), F.col("gap_end_ts").alias("upto"))
+    u = silent.withColumns({"t": F.col("silent_to"), "upto": none}).unionByName(p)
+    u = u.withColumns({"all": F.lit(1), "block": floor_div("t", HOUR_NS), "is_silence": F.col("silent_to").isNotNull().cast("int")})
+    u = ordered.last_known(u, ["all"], "block", ["t", "is_silence"], "upto", "covered_to")
+    return u.where("silent_to IS NOT NULL AND (covered_to IS NULL OR covered_to < silent_from)").select(*KEYS, "silent_from", "silent_to")

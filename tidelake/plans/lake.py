@@ -106,11 +106,19 @@ def silence_uncovered(spark, sf):
 
 @query
 def silence_uncovered_by_any(spark, sf):
-    """The same where a gap of any stream counts, for silences of at least ten minutes."""
+    """The same where a gap of any stream counts, for silences of at least ten minutes: the excerpt of
+    silence_uncovered_by_any_whole that the SQL gives."""
     e = envelopes(spark, sf)
     return continuity.uncovered_silences(e.where("type = 'data'"), e.where("type = 'gap'"), 600_000_000_000, keyed=False)
 
 
+@query
+def silence_uncovered_by_any_whole(spark, sf):
+    """The same for every silence beyond the operator's threshold."""
+    e = envelopes(spark, sf)
+    return continuity.uncovered_silences(e.where("type = 'data'"), e.where("type = 'gap'"), keyed=False)
+
+
 @query
 def sequence_numbers(spark, sf):
     """Consecutive numbers from 0 for the rows of a stream, in storing order."""
@@ -440,21 +448,39 @@ def coverage_suppression(spark, sf):
     return coverage.suppress_covered(g, d).select("gap_no", *KEYS, "source", "gap_start_ts", "covered")
 
 
-def _failovers(spark, sf):
+def _failovers(spark, sf, *ns: int):
     e = _sourced(spark, sf).where("type = 'data' AND source = 'primary'").select(*KEYS, "received_at")
-    return coverage.failover_intervals(e, 600 * coverage.S, 1200 * coverage.S)
+    return coverage.failover_intervals(e, *ns)
+
+
+def _routed(spark, sf, failovers: DataFrame) -> DataFrame:
+    d = coverage.route(_sourced(spark, sf).where("source IS NOT NULL AND received_at IS NOT NULL").select("row_id", "type", *KEYS, "source", "received_at"), failovers)
+    return d.groupBy(*KEYS, "source").agg(F.count("*").alias("n_rows"), F.sum(F.col("row_id").cast("decimal(38,0)")).cast("bigint").alias("row_sum"))
+
+
+#: Silence and recovery of the SQL; the queries named whole take the operators' own thresholds.
+SLOW = (600 * coverage.S, 1200 * coverage.S)
 
 
 @query
 def failover_intervals(spark, sf):
+    return _failovers(spark, sf, *SLOW)
+
+
+@query
+def failover_intervals_whole(spark, sf):
     return _failovers(spark, sf)
 
 
 @query
 def source_routing(spark, sf):
     """Rows that would be archived, by stream and source."""
-    d = coverage.route(_sourced(spark, sf).where("source IS NOT NULL AND received_at IS NOT NULL").select("row_id", "type", *KEYS, "source", "received_at"), _failovers(spark, sf))
-    return d.groupBy(*KEYS, "source").agg(F.count("*").alias("n_rows"), F.sum(F.col("row_id").cast("decimal(38,0)")).cast("bigint").alias("row_sum"))
+    return _routed(spark, sf, _failovers(spark, sf, *SLOW))
+
+
+@query
+def source_routing_whole(spark, sf):
+    return _routed(spark, sf, _failovers(spark, sf))
 
 
 @query
@@ -462,6 +488,11 @@ def both_silent(spark, sf):
     return coverage.both_silent(_sourced(spark, sf).where("type = 'data'"), 600 * coverage.S)
 
 
+@query
+def both_silent_whole(spark, sf):
+    return coverage.both_silent(_sourced(spark, sf).where("type = 'data'"))
+
+
 def _last_seen(spark, sf):
     return envelopes(spark, sf).where(f"type = 'data' AND received_at <= {RESTART_NS}").groupBy(*KEYS).agg(F.max("received_at").alias("last_received"))
 
