@@ -59,3 +59,11 @@ def test_short_silences_and_failovers_are_found(spark, tmp_path):
     assert sorted(r.gap_start_ts // S for r in q["both_silent_whole"](spark, at).collect()) == [0, 60, 115]
     assert [(r.active_from // S, r.active_to) for r in q["failover_intervals_whole"](spark, at).collect()] == [(5, None)]
     assert {r.source: r.n_rows for r in q["source_routing_whole"](spark, at).collect()} == {"primary": 6, "backup": 1}
+
+
+def test_hours_of_one_side_only_disagree(spark, tmp_path):
+    files = [(f"archive/x/s/trades/2021-02-01/hour-{h}.jsonl.zst", 10, 1, None, datetime(2021, 2, 2)) for h in (0, 1)]
+    spark.createDataFrame(files, "file_path string, size_bytes long, n_records long, modified_at timestamp, listed_at timestamp").write.parquet(f"{tmp_path}/archive_files.parquet")
+    groups = [("x", "s", "trades", "2021-02-01", h, b, l, []) for h, b, l in ((0, "b", []), (2, None, ["l"]), (3, None, []))]
+    spark.createDataFrame(groups, "exchange string, symbol string, stream string, utc_date string, hour_no int, base string, late array<string>, backfill array<string>").write.parquet(f"{tmp_path}/hour_file_groups.parquet")
+    assert sorted(r.hour_no for r in lake.hour_groups_check(spark, str(tmp_path)).collect()) == [1, 2]

@@ -218,10 +218,13 @@ def hour_status(spark, sf):
 
 @query
 def hour_groups_check(spark, sf):
-    """Hours whose recorded grouping disagrees with the listing in the number of late or backfill files or the base."""
+    """Hours whose recorded grouping disagrees with the listing in the number of late or backfill files or the base;
+    an hour that only one side has counts as none of these on the other."""
     mine = gaps.hour_status(listing(spark, sf)).select(*DAY, "hour_no", F.col("base").isNotNull().alias("has_base"), F.size("late").alias("n_late"), F.size("backfill").alias("n_backfill"))
     g = norm_names(table(spark, sf, "hour_file_groups")).groupBy(*DAY, "hour_no").agg(F.max(F.col("base").isNotNull()).alias("g_base"), F.max(F.size("late")).alias("g_late"), F.max(F.size("backfill")).alias("g_backfill"))
-    return g.join(mine, [*DAY, "hour_no"]).where("has_base <> g_base OR n_late <> g_late OR n_backfill <> g_backfill")
+    absent = {"has_base": False, "g_base": False, "n_late": 0, "g_late": 0, "n_backfill": 0, "g_backfill": 0}
+    d = g.join(mine, [*DAY, "hour_no"], "full").na.fill(absent)
+    return d.where("has_base <> g_base OR n_late <> g_late OR n_backfill <> g_backfill")
 
 
 @query
