@@ -1,8 +1,12 @@
 """Reading level: parts of the formula, defined cases, and held-out agreement with readers."""
 
 import os
+from collections import Counter
 
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidelake.llm import reading
@@ -19,6 +23,31 @@ def test_words_sentences_and_machine_lines():
     assert reading.words_and_sentences(None) == ([], 0) == reading.words_and_sentences(" 　\n")
 
 
+PIECES = st.sampled_from([*"aBzİßéЖ夜²5_'’-.!?,;:#*>•()[]/=", " ", "  ", "\t", "\n", "\r\n", "\x85", "\u2028", "\u3000", "\u200b", "\xad", "\x1c", "1. ", "- ", "word", "don't", "x=1"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(PIECES, max_size=30).map("".join)), max_size=8))
+def test_many_texts_at_once_follow_the_rule(texts):
+    n, s, words, counts = reading.count_words(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        want, sentences = reading.words_and_sentences(text)
+        assert dict(zip(words[i].as_py(), counts[i].as_py())) == dict(Counter(want)) and (n[i], s[i]) == (len(want), sentences)
+
+
+def test_every_word_counts_and_no_language_is_seeded(spark):
+    """Words beyond any number or length take part, and languages that nothing was told about are told from English."""
+    long = "pneumono" + "ultra" * 10 + "ly"
+    docs = [(i, f"the {long} word w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)} is plain and we read it") for i in range(80)]
+    docs += [(900, "ja to nie wiem czy plik jest gotowy i kto go sprawdzi"), (901, "dit is een lijst met namen die niemand meer kent")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "r", 1 + i % 5, None) for i in range(80)], "doc_id long, rater string, level int, rated_at timestamp")
+    f = reading.train(d, labels)
+    assert long in f.words and {"waa", "wdb"} <= set(f.words) and not {"plik", "lijst"} & {w for w, m in zip(f.words, f.masks) if m & reading.KNOWN}
+    by = {r.doc_id: r for r in reading.reading_levels(d, labels).collect()}
+    assert by[0].is_english_prose and not by[900].is_english_prose and not by[901].is_english_prose
+
+
 def corpus(spark, n=60):
     docs, labels = [], []
     for i in range(n):
