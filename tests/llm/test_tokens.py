@@ -49,3 +49,16 @@ def test_every_row_comes_out(spark):
     assert tokens.encode_texts(d.limit(0), "doc_id", "text").count() == 0
     assert sorted(r.n_tokens for r in tokens.count_tokens(d, "text").collect()) == [0, 0, 1, 2, 2]
     assert sorted(r.ids for r in tokens.count_tokens(d, "text", "ids").collect()) == [0, 0, 1, 2, 2]
+
+
+def test_ids_of_a_table_decode(spark):
+    d = spark.createDataFrame([(i, s, None) for i, s in enumerate(SAMPLES[:20])] + [(90, None, None)], "doc_id long, text string, bytes string")
+    back = {r.doc_id: bytes(r.bytes) for r in tokens.decode_ids(tokens.encode_texts(d, "doc_id", "text"), "doc_id", "ids").collect()}
+    assert back == {i: s.encode() for i, s in enumerate(SAMPLES[:20])} | {90: b""}
+    none = spark.createDataFrame([(1, None)], "k long, ids array<int>")
+    assert [tuple(r) for r in tokens.decode_ids(none, "k", "ids").collect()] == [(1, None)]
+    assert tokens.decode_ids(none.limit(0), "k", "ids").count() == 0
+
+
+def test_rank_file_by_uri():
+    assert tokens.encoder(f"file://{tokens.RANK_FILE}")("a b") == [64, 275]

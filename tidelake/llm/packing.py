@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections import Counter
 from collections.abc import Iterable
@@ -65,12 +66,16 @@ class Bins:
             self.rooms |= 1 << room
 
 
-def pack(items: Iterable[tuple[int, int, int, int]], capacity: int) -> list[tuple[int, int, int, int, int]]:
+def pack(items: Iterable[tuple[int, int, int, int]], capacity: int, relaxed: bool = False) -> list[tuple[int, int, int, int, int]]:
     """(doc_id, size, source, cluster) into (bin, doc_id, piece, start, size); no item of 0 size.
 
-    Best fit, largest first. Copies of a text keep apart as long as that costs no room: where no bin without the
-    text has room, a new one is opened only while there are fewer bins than the tokens need; beyond that the
-    copy goes into the tightest bin of all.
+    Best fit: first the items of clusters with several members, largest first, then all others, largest first, which
+    fill what room is left. Two items of a cluster never share a bin; where every bin with room holds the cluster, a
+    new one is opened. Sources only decide between equally tight bins.
+
+    relaxed: no second pass for others; and where no bin without the cluster has room, a new one is opened only while
+    there are fewer bins than the tokens need; beyond that the item goes into the tightest bin of all. So no room is
+    lost to a text that has more copies than there are bins.
     """
     out, rest, n_full, total = [], [], 0, 0
     for doc, size, source, cluster in items:
@@ -81,9 +86,9 @@ def pack(items: Iterable[tuple[int, int, int, int]], capacity: int) -> list[tupl
         if tail:
             rest.append((tail, cluster, doc, full, source))
             total += tail
-    rest.sort(key=lambda x: (-x[0], x[1], x[2]))
     copies = Counter(x[1] for x in rest)
-    needed = math.ceil(total / capacity)
+    rest.sort(key=lambda x: (not relaxed and copies[x[1]] == 1, -x[0], x[1], x[2]))
+    needed = math.ceil(total / capacity) if relaxed else math.inf
     bits: dict[int, int] = {}
     sources: dict[int, int] = {}
     bins = Bins(capacity)
@@ -110,32 +115,31 @@ def pack(items: Iterable[tuple[int, int, int, int]], capacity: int) -> list[tupl
     return out
 
 
-def pack_documents(sizes: DataFrame, budgets: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def pack_documents(sizes: DataFrame, budgets: DataFrame, shard_tokens: int = SHARD_TOKENS, relaxed: bool = False) -> DataFrame:
     """Every document's place in the sequences of every budget.
 
     Input: sizes (doc_id, n_tokens, source, cluster), written beforehand as it is read twice; budgets
     (budget_name, capacity_tokens). Output: budget_name, sequence_id, doc_id, piece, start_token, n_tokens.
 
     The documents are spread by a hash of doc_id over shards of about shard_tokens tokens; each shard is packed
-    by itself, largest first, into the tightest sequence that holds no copy of the same text (see pack). A shard
-    wastes about one sequence; at 8,000,000 tokens and 8,192 a sequence that is 0.1 %. Copies of one text, however
-    many, spread over all shards like any other documents.
+    by itself into the tightest sequence that holds nothing of the same cluster (see pack, also for relaxed). A shard
+    wastes about one sequence; at 8,000,000 tokens and 8,192 a sequence that is 0.1 %. Members of one cluster (exact
+    copies, or near-duplicates if cluster says so), however many, spread over all shards like any other documents; a
+    text with more copies than sequences takes a sequence for each copy, unless relaxed.
 
     Defined cases: a document of more than the capacity is cut into full sequences and a rest; documents of no
     tokens (null or empty text) have one row with null sequence_id, piece 0 and n_tokens 0; a null source is a
     source; a null cluster is a text without copies; a null doc_id stays null (the least long stands for it
-    meanwhile); budgets with null or non-positive capacity are left out; repeated doc_ids are packed as items of
+    meanwhile); budgets with null or non-positive capacity are left out, and any number of budgets is taken; repeated doc_ids are packed as items of
     their own; an empty table gives no rows.
     """
     total = sizes.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(1, math.ceil(total / shard_tokens))
     b = budgets.where("capacity_tokens > 0").select("budget_name", "capacity_tokens").distinct()
-    caps = [tuple(r) for r in b.limit(1001).collect()]
-    if len(caps) > 1000:
-        raise ValueError("more than 1,000 budgets")
+    caps = [(r[0], r[1]) for r in b.collect()]
     if not caps:
         return sizes.sparkSession.createDataFrame([], OUT)
-    every = F.explode(F.array(*(F.struct(F.lit(n).cast("string").alias("budget_name"), F.lit(c).alias("capacity")) for n, c in caps)))
+    every = F.explode(F.from_json(F.lit(json.dumps([{"budget_name": n, "capacity": c} for n, c in caps])), "array<struct<budget_name:string,capacity:int>>"))
     doc = F.coalesce("doc_id", F.lit(NO_ID).cast("long")).alias("doc_id")
     cluster = F.coalesce("cluster", F.xxhash64(F.lit("own"), "doc_id")).alias("cluster")
     rows = sizes.select(doc, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.xxhash64("source"), F.lit(0)).alias("source"), cluster, F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(shards)).alias("shard"), every.alias("b"))
@@ -143,7 +147,7 @@ def pack_documents(sizes: DataFrame, budgets: DataFrame, shard_tokens: int = SHA
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         name, shard, capacity = key
-        placed = pack(zip(pdf["doc_id"].tolist(), pdf["n_tokens"].tolist(), pdf["source"].tolist(), pdf["cluster"].tolist()), int(capacity))
+        placed = pack(zip(pdf["doc_id"].tolist(), pdf["n_tokens"].tolist(), pdf["source"].tolist(), pdf["cluster"].tolist()), int(capacity), relaxed)
         out = pd.DataFrame(placed, columns=["sequence_id", "doc_id", "piece", "start_token", "n_tokens"])
         out["sequence_id"] += int(shard) << 32
         out.insert(0, "budget_name", name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -10,6 +11,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidelake.sources.sink import open_read
+
 RANK_FILE = os.environ.get("TIDELAKE_RANK_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 
 # Fixed value: the pre-splitting pattern of the byte_bpe_50k vocabulary.
@@ -27,13 +30,19 @@ _BLANK_RUN = re.compile(f"[{_WS}]{{{LONG_BLANK},}}")
 _SAFE = re.compile(r"(?<=[!-~])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 
 
+@functools.lru_cache(maxsize=2)
+def _ranks(rank_file: str) -> dict[bytes, int]:
+    """Bytes and id of each token, read once in a process. rank_file: a path of this machine or a URI of a shared
+    folder, so that no executor needs a copy of its own."""
+    with open_read(rank_file) as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f.read().splitlines())}
+
+
 def encoder(rank_file: str = RANK_FILE) -> Callable[[str | None], list[int]]:
     """A function from a text to its ids. Null and empty text give an empty list."""
     import tiktoken
 
-    with open(rank_file, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    enc = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    enc = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=_ranks(rank_file), special_tokens={})
 
     def encode(text: str | None) -> list[int]:
         if not text:
@@ -74,13 +83,30 @@ def _cut(text: str, a: int, z: int) -> Iterator[tuple[str, bool]]:
         yield text[a:z], False
 
 
+@functools.lru_cache(maxsize=2)
+def _parts(rank_file: str) -> dict[int, bytes]:
+    return {i: part for part, i in _ranks(rank_file).items()}
+
+
 def decode(ids: list[int], rank_file: str = RANK_FILE) -> bytes:
     """The bytes of ids; raw, for a cut between two ids may lie inside a character."""
-    with open(rank_file, "rb") as f:
-        parts = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
+    parts = _parts(rank_file)
     return b"".join(parts[i] for i in ids)
 
 
+def decode_ids(df: DataFrame, key: str, ids: str, rank_file: str = RANK_FILE) -> DataFrame:
+    """key and bytes (binary) of every row: the reverse of encode_texts. Null ids give null; an id that the
+    vocabulary hasn't raises."""
+    d = df.select(df[key].alias("k"), df[ids].alias("i"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = [None if x is None else decode(x, rank_file) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary())], [key, "bytes"])
+
+    return d.mapInArrow(run, f"`{key}` {d.schema['k'].dataType.simpleString()}, bytes binary")
+
+
 def encode_texts(df: DataFrame, key: str, text: str, rank_file: str = RANK_FILE) -> DataFrame:
     """key and ids (array of int) of every row of df; one row for each row, repeated keys too.
 
