@@ -240,14 +240,50 @@ def test_exactly_once_of_an_empty_table(spark, tmp_path):
     assert exactly_once.repeated_rows(spark, stream, "row_id", "at", [exactly_once.identifier("s", F.col("s"))]).count() == 0
 
 
-def test_expired_identifiers_are_always_found():
-    import numpy as np
-
-    g = np.random.default_rng(1)
-    h1, h2 = (g.integers(-(2**63), 2**63 - 1, 70_000, dtype=np.int64) for _ in range(2))
-    old, n = exactly_once._add_old(np.zeros(0, np.uint8), 0, h1[:60_000], h2[:60_000])
-    assert n == 60_000 and exactly_once._in_old(old, h1[:60_000], h2[:60_000]).all()
-    assert exactly_once._in_old(old, h1[60_000:], h2[60_000:]).mean() < 0.01
+def test_state_is_bounded_by_the_watermark(spark, tmp_path):
+    """Ten times the history: the state holds what lies within the watermark, and copies of any age are found."""
+    hour = 3_600_000_000_000
+    ids, base, n = [exactly_once.identifier("s", F.col("s"))], str(tmp_path / "base"), 0
+    for batches in (1, 3, 6):
+        for _ in range(batches):
+            part = [(n * 100 + i, n * 2 * hour, "s0-1" if i == 0 and n % 4 == 0 else f"s{n}-{i}", None) for i in range(100)]
+            spark.createDataFrame(part, IDS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            n += 1
+        stream = exactly_once.read_stream(spark, str(tmp_path / "in"), 1)
+        out = exactly_once.message_links(spark, stream, "row_id", "at", ids, watermark="1 hour", shards=2, checkpoint=base)
+        with exactly_once.state_store(spark):
+            held = spark.read.format("statestore").load(f"{base}/state").agg(F.sum(F.length("value.groupState.h1") / 8)).first()[0]
+        assert held <= 300
+    assert rows(out) == Counter({(1, 0): 1, (800, 400): 1, (400, 0): 1})
+    with pytest.raises(ValueError, match="shards"):
+        exactly_once.message_links(spark, stream, "row_id", "at", ids, shards=3, checkpoint=base)
+
+
+def test_one_row_of_each_message_is_kept(spark):
+    d = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c"), (None, "x"), (None, "x")], "row_id long, v string")
+    gone = spark.createDataFrame([(3, 1)], "row_id long, kept long")
+    assert rows(exactly_once.exactly_once(d, gone, "row_id")) == Counter({(1, "a"): 1, (2, "b"): 1, (None, "x"): 2})
+
+
+def test_rows_of_a_hot_identifier_pass_in_portions(monkeypatch):
+    """However many rows an identifier has, a shard takes them in one portion after the other."""
+    import pandas as pd
+
+    class State:
+        exists, kept = False, None
+
+        def getCurrentWatermarkMs(self):  # noqa: N802
+            return 5
+
+        def update(self, v):
+            self.kept = v
+
+    monkeypatch.setattr(exactly_once, "FOLD", 10)
+    frames = [pd.DataFrame({"h1": [7] * 6, "h2": [8] * 6, "row_id": range(i * 6, i * 6 + 6), "seen_ms": [i] * 6}) for i in range(9)]
+    state = State()
+    out = pd.concat(exactly_once._seen((0,), iter(frames), state))
+    assert len(out[out.kind == "link"]) == 53 and out[out.kind == "opened"].row_id.tolist() == [0]
+    assert set(out[out.kind == "link"].owner) == {0} and all(len(x) == 8 for x in state.kept)
 
 
 def test_counters_follow_a_stream(spark, tmp_path):

@@ -100,9 +100,22 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("gap_id", what.alias("difference"))
 
 
+def _p5_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "envelopes").where("type = 'data'").select("row_id", "received_at", *NAMES, "collector_session_id", "session_seq", *BROKER)
+    stream, arrivals = exactly_once.as_arrivals(rows, "row_id")
+    out = exactly_once.repeated_rows(spark, stream, "row_id", "received_at", exactly_once.envelope_identifiers())
+    remove_path(spark, arrivals)
+    return out
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = exactly_once.read_stream(spark, f"{sf_dir}/envelopes.parquet").where("type = 'data'")
-    return exactly_once.repeated_rows(spark, rows, "row_id", "received_at", exactly_once.envelope_identifiers()).select("row_id")
+    return _p5_repeated(spark, sf_dir).select("row_id")
+
+
+def p5_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one row of each message that stays."""
+    rows = table(spark, sf_dir, "envelopes").where("type = 'data'").select("row_id", "collector_session_id", "session_seq", *BROKER)
+    return exactly_once.exactly_once(rows, _p5_repeated(spark, sf_dir), "row_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_counts, p3_found, p3_plan, p3_consolidated, p4_found, p4_differences, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_counts, p3_found, p3_plan, p3_consolidated, p4_found, p4_differences, p5_found, p5_kept)}

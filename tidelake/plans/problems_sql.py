@@ -76,4 +76,6 @@ y AS (SELECT a, b FROM x UNION SELECT b, a FROM x),
 r(a, b) AS (SELECT a, a FROM y UNION SELECT r.a, y.b FROM r JOIN y ON r.b = y.a)
 SELECT a AS row_id FROM r GROUP BY a HAVING min(b) < a"""
 
-SQL = {"p1_found": _P1, "p2_found": _P2_FOUND, "p2_counts": _P2_COUNTS, "p3_found": _P3, "p3_plan": _P3_PLAN, "p3_consolidated": _P3_DONE, "p4_found": _P4, "p4_differences": _P4_DIFF, "p5_found": _P5}
+_P5_KEPT = f"SELECT row_id, collector_session_id, session_seq, _topic, _partition, _offset FROM envelopes WHERE type = 'data' AND row_id NOT IN (SELECT row_id FROM ({_P5}))"
+
+SQL = {"p1_found": _P1, "p2_found": _P2_FOUND, "p2_counts": _P2_COUNTS, "p3_found": _P3, "p3_plan": _P3_PLAN, "p3_consolidated": _P3_DONE, "p4_found": _P4, "p4_differences": _P4_DIFF, "p5_found": _P5, "p5_kept": _P5_KEPT}

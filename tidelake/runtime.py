@@ -29,10 +29,13 @@ def build_session(app: str = "tidelake", master: str | None = None, shuffle_part
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, set here only where it is unset (then a folder of
-    this machine, removed at the end)."""
+    """The folder that all executors share: spark.checkpoint.dir, or what was set as the checkpoint folder. Only a
+    session of one machine may do without: it gets a folder of this machine, removed at the end. A cluster without
+    one is an error, as every executor would write to a disk of its own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         own = tempfile.mkdtemp(prefix="tidelake-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         at = f"file://{own}"
@@ -41,9 +44,24 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_SCRATCH: set[str] = set()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses. What is left there is removed when this process ends."""
+    at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_clean, spark)
+    _SCRATCH.add(at)
+    return at
+
+
+def _clean(spark: SparkSession) -> None:
+    for at in list(_SCRATCH):
+        try:
+            remove_path(spark, at)
+        except Exception:  # noqa: BLE001 - the session may be gone; the folder is the cluster's then
+            return
 
 
 def write_cut(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
@@ -63,10 +81,32 @@ def drop_cut(df: DataFrame) -> None:
         remove_path(df.sparkSession, at)
 
 
-def remove_path(spark: SparkSession, at: str) -> None:
+def _hadoop(spark: SparkSession, at: str):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(at)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_path(spark: SparkSession, at: str) -> None:
+    path, fs = _hadoop(spark, at)
+    fs.delete(path, True)
+    _SCRATCH.discard(at)
+
+
+def path_exists(spark: SparkSession, at: str) -> bool:
+    path, fs = _hadoop(spark, at)
+    return fs.exists(path)
+
+
+def list_dirs(spark: SparkSession, at: str) -> list[str]:
+    """Names of the folders in a folder; none if there is no such folder."""
+    path, fs = _hadoop(spark, at)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()) if fs.exists(path) else []
+
+
+def make_dir(spark: SparkSession, at: str) -> None:
+    path, fs = _hadoop(spark, at)
+    fs.mkdirs(path)
 
 
 def spread(df: DataFrame, by: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -10,13 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.components import min_labels
-from tidelake.runtime import remove_path, scratch, write_cut
+from tidelake.runtime import list_dirs, make_dir, path_exists, remove_path, scratch, write_cut
 
 OUT = "kind string, h1 long, h2 long, row_id long, owner long"
-STATE = "h1 binary, h2 binary, owner binary, seen_ms binary, old binary, n_old long"
-SEGMENT = 1 << 16  # bytes of one filter of expired identifiers
-PER_SEGMENT = SEGMENT * 8 // 16  # identifiers in it: 16 bits each, about one false hit in a thousand
-HASHES = 6
+STATE = "h1 binary, h2 binary, owner binary, seen_ms binary"
+FOLD = 200_000  # rows of a shard that are taken into its state at once
+COLUMNS = ("h1", "h2", "row_id", "seen_ms")
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def identifier(kind: str, *parts: Column) -> Column:
@@ -29,51 +30,11 @@ def identifier(kind: str, *parts: Column) -> Column:
     return F.when(whole, F.struct(h1.alias("h1"), h2.alias("h2")))
 
 
-def _bits(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        a, b = (h1.view(np.uint64) >> np.uint64(20)), h2.view(np.uint64) | np.uint64(1)
-        at = [(a + np.uint64(i) * b) >> np.uint64(7) & np.uint64(SEGMENT * 8 - 1) for i in range(HASHES)]
-    return np.stack(at).astype(np.int64)
-
-
-def _in_old(old: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    """Whether an identifier may be among the expired; never false for one that is."""
-    hit = np.zeros(len(h1), bool)
-    if len(old) and len(h1):
-        at = _bits(h1, h2)
-        for seg in old.reshape(-1, SEGMENT):
-            hit |= ((seg[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
-    return hit
-
-
-def _add_old(old: np.ndarray, n_old: int, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, int]:
-    while len(h1):
-        room = len(old) // SEGMENT * PER_SEGMENT - n_old
-        if room <= 0:
-            old, room = np.concatenate([old, np.zeros(SEGMENT, np.uint8)]), PER_SEGMENT
-        at = _bits(h1[:room], h2[:room]).ravel()
-        np.bitwise_or.at(old[-SEGMENT:], at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-        n_old += len(h1[:room])
-        h1, h2 = h1[room:], h2[room:]
-    return old, n_old
-
-
-def _seen(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterable[pd.DataFrame]:
-    """One shard of the state store in one micro-batch: sorted identifiers with the row that owns each.
-
-    link: a row whose identifier an earlier row owns. cold: an identifier that the watermark has passed leaves
-    the state. probe: a new identifier that may have left it before.
-    """
-    parts = [f for f in frames if len(f)]
-    new = {c: np.concatenate([f[c].to_numpy(np.int64) for f in parts]) if parts else np.zeros(0, np.int64) for c in ("h1", "h2", "row_id", "seen_ms")}
-    old, n_old = np.zeros(0, np.uint8), 0
-    hot = {c: np.zeros(0, np.int64) for c in ("h1", "h2", "row_id", "seen_ms")}
-    if state.exists:
-        s = state.get
-        hot = dict(zip(hot, (np.frombuffer(x, np.int64) for x in s[:4])))
-        old, n_old = np.frombuffer(s[4], np.uint8).copy(), s[5]
-    n = len(hot["h1"])
-    h1, h2, row, ms = (np.concatenate([hot[c], new[c]]) for c in hot)
+def _fold(hot: list[np.ndarray], parts: list[pd.DataFrame]) -> tuple[list[np.ndarray], tuple, tuple]:
+    """The sorted identifiers of a shard with new rows taken in: (identifiers, links, identifiers that are new)."""
+    new = [np.concatenate([f[c].to_numpy(np.int64) for f in parts]) for c in COLUMNS]
+    n = len(hot[0])
+    h1, h2, row, ms = (np.concatenate([a, b]) for a, b in zip(hot, new))
     fresh = np.arange(len(h1)) >= n
     order = np.lexsort((row, fresh, h2, h1))  # of an identifier the state's entry first, else its least row
     h1, h2, row, ms, fresh = h1[order], h2[order], row[order], ms[order], fresh[order]
@@ -81,43 +42,102 @@ def _seen(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterable[pd.Data
     first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
     at = np.flatnonzero(first)
     owner = row[at][np.cumsum(first) - 1] if len(at) else row
-    ms = np.maximum.reduceat(ms, at) if len(at) else ms[:0]
     extra = fresh & ~first & (row != owner)
-    links = (h1[extra], h2[extra], row[extra], owner[extra])
+    opened = fresh & first
+    ms = np.maximum.reduceat(ms, at) if len(at) else ms[:0]
+    return [h1[at], h2[at], row[at], ms], (h1[extra], h2[extra], row[extra], owner[extra]), (h1[opened], h2[opened], row[opened], row[opened])
+
+
+def _seen(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterable[pd.DataFrame]:
+    """One shard of the state store in one micro-batch: sorted identifiers with the row that owns each.
 
-    h1, h2, row, fresh = h1[at], h2[at], row[at], fresh[at]
-    again = fresh.copy()
-    again[fresh] = _in_old(old, h1[fresh], h2[fresh])
-    gone = ms < state.getCurrentWatermarkMs()
-    old, n_old = _add_old(old, n_old, h1[gone], h2[gone])
-    keep = ~gone
-    state.update((h1[keep].tobytes(), h2[keep].tobytes(), row[keep].tobytes(), ms[keep].tobytes(), old.tobytes(), int(n_old)))
-    for kind, (a, b, r, o) in (("link", links), ("cold", (h1[gone], h2[gone], row[gone], row[gone])), ("probe", (h1[again], h2[again], row[again], row[again]))):
-        if len(r):
-            yield pd.DataFrame({"kind": kind, "h1": a, "h2": b, "row_id": r, "owner": o})
+    link: a row whose identifier an earlier row owns. opened: an identifier that the state doesn't hold, with its
+    first row as owner. Identifiers that the watermark has passed leave the state; one that comes again after that
+    is opened again, which the lookup finds.
+    """
+    hot = [np.frombuffer(x, np.int64) for x in state.get] if state.exists else [np.zeros(0, np.int64) for _ in COLUMNS]
+    waiting: list[pd.DataFrame] = []
+    rows = 0
+
+    def take() -> Iterator[pd.DataFrame]:
+        nonlocal hot, waiting, rows
+        hot, links, opened = _fold(hot, waiting)
+        waiting, rows = [], 0
+        for kind, (a, b, r, o) in (("link", links), ("opened", opened)):
+            if len(r):
+                yield pd.DataFrame({"kind": kind, "h1": a, "h2": b, "row_id": r, "owner": o})
+
+    for f in frames:
+        if len(f):
+            waiting.append(f)
+            rows += len(f)
+        if rows >= FOLD:
+            yield from take()
+    if waiting:
+        yield from take()
+    keep = hot[3] >= state.getCurrentWatermarkMs()
+    state.update(tuple(x[keep].tobytes() for x in hot))
 
 
 def message_links(spark: SparkSession, stream: DataFrame, row_id: str, received_ns: str, identifiers: list[Column], watermark: str = "6 hours", shards: int = 256, checkpoint: str | None = None) -> DataFrame:
     """(row_id, owner) for each row that shares an identifier with an owner, of a streaming DataFrame.
 
-    Runs what is available and returns; with `checkpoint` a later call goes on where this one ended. The state
-    holds the identifiers whose last copy isn't older than the watermark, in `shards` sorted blocks, so a
-    micro-batch rewrites only what is recent. An identifier that leaves it is written out (cold) and marked in
-    a filter; one that comes up again after that is looked up there (probe), so late copies of any age are
-    found and none is dropped. State, offsets and output commit together for each micro-batch: the output is
-    exactly once, whatever is restarted. A hot identifier is bounded by the rows of one micro-batch.
+    Runs what is available and returns all links so far; with `checkpoint` a later call goes on where this one ended.
+
+    The state (RocksDB, unless the session names another store) holds the identifiers whose last copy isn't older
+    than the watermark, in `shards` sorted blocks, and nothing else: it is as large as what arrives within the
+    watermark, whatever came before. `shards` should leave a block some 100,000 identifiers; it can't change with a
+    checkpoint. Each identifier that enters the state is written out with its first row (opened). One that comes
+    again after it left is opened a second time; the lookup, an equi-join of what a run opened with what all runs
+    opened (whose files are never changed), links the two, so late copies of any age are found and none is dropped.
+    State, offsets and output commit together for each micro-batch: the output is exactly once, whatever is
+    restarted. Rows of a hot identifier pass through its shard in portions; their number needs no memory.
     """
     base = checkpoint or scratch(spark, "exactly-once")
+    run = _next_run(spark, base, shards)
     ms = F.coalesce(F.call_function("div", F.col(received_ns), F.lit(1_000_000).cast("long")), F.lit(0).cast("long"))
     ids = stream.where(F.col(row_id).isNotNull()).select(F.col(row_id).cast("long").alias("row_id"), ms.alias("seen_ms"), F.timestamp_millis(ms).alias("at"), F.explode(F.array_compact(F.array(*identifiers))).alias("i"))
     ids = ids.select("row_id", "seen_ms", "at", "i.h1", "i.h2", F.pmod("i.h1", F.lit(shards).cast("long")).alias("shard")).withWatermark("at", watermark)
-    kept = ids.groupBy("shard").applyInPandasWithState(_seen, OUT, STATE, "append", "NoTimeout")
-    q = kept.writeStream.format("parquet").partitionBy("kind").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    out = spark.read.schema(OUT).parquet(f"{base}/out")
-    cold = out.where("kind = 'cold'").select("h1", "h2", F.col("row_id").alias("owner"))
-    late = out.where("kind = 'probe'").select("h1", "h2", "row_id").join(cold, ["h1", "h2"]).where("row_id <> owner")
-    return out.where("kind = 'link'").select("row_id", "owner").unionByName(late.select("row_id", "owner"))
+    kept = ids.groupBy("shard").applyInPandasWithState(_seen, OUT, STATE, "append", "NoTimeout").withColumn("run", F.lit(run))
+    with state_store(spark):
+        q = kept.writeStream.format("parquet").partitionBy("kind", "run").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+    out = spark.read.schema(f"{OUT}, run int").parquet(f"{base}/out")
+    opened = out.where("kind = 'opened'").select("h1", "h2", "owner", "run")
+    new = opened.where(F.col("run") == run)
+    firsts = new.groupBy("h1", "h2").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
+    late = new.join(firsts.where("first <> last").select("h1", "h2", "first"), ["h1", "h2"]).where("owner <> first").select(F.col("owner").alias("row_id"), F.col("first").alias("owner"))
+    if run:
+        before = opened.where(F.col("run") < run).select("h1", "h2", "owner").join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).where("owner <> first")
+        late = late.unionByName(before.groupBy(F.col("first").alias("row_id")).agg(F.min("owner").alias("owner")))
+    late.write.mode("overwrite").parquet(f"{base}/late/run={run}")
+    every = spark.read.schema("row_id long, owner long, run int").parquet(f"{base}/late")
+    return out.where("kind = 'link'").select("row_id", "owner").unionByName(every.where(F.col("run") <= run).select("row_id", "owner"))
+
+
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """RocksDB as the state store of queries started inside, unless the session names one."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    given = spark.conf.getAll.get(name) or spark.sparkContext.getConf().get(name)
+    if not given:
+        spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        if not given:
+            spark.conf.unset(name)
+
+
+def _next_run(spark: SparkSession, base: str, shards: int) -> int:
+    """The number of the run that begins: runs whose lookup was written are over. The folder of run 0 names the shards."""
+    done = [x for x in list_dirs(spark, f"{base}/late") if path_exists(spark, f"{base}/late/{x}/_SUCCESS")]
+    told = list_dirs(spark, f"{base}/shards")
+    if told and told != [str(shards)]:
+        raise ValueError(f"the checkpoint has {told[0]} shards, not {shards}")
+    if not told:
+        make_dir(spark, f"{base}/shards/{shards}")
+    return len(done)
 
 
 def repeated_rows(spark: SparkSession, stream: DataFrame, row_id: str, received_ns: str, identifiers: list[Column], **options) -> DataFrame:
@@ -136,6 +156,15 @@ def repeated_rows(spark: SparkSession, stream: DataFrame, row_id: str, received_
     return min_labels(links, "row_id", "owner").select(F.col("node").alias("row_id"), F.col("label").alias("kept"))
 
 
+def exactly_once(rows: DataFrame, repeated: DataFrame, row_id: str) -> DataFrame:
+    """Exactly one row of each message: rows without those of repeated_rows, and one of rows that have a row_id twice.
+    Rows with null row_id are messages of their own and stay. Both joins are by row_id, which spreads any hot message."""
+    known = F.col(row_id).isNotNull()
+    gone = repeated.select(F.col("row_id").alias("_gone"))
+    one = rows.where(known).dropDuplicates([row_id]).join(gone, F.col(row_id) == F.col("_gone"), "left_anti")
+    return one.unionByName(rows.where(~known))
+
+
 def read_stream(spark: SparkSession, path: str, batch_bytes: int = 64 << 20) -> DataFrame:
     """A Parquet folder or file as a stream of micro-batches of about so many bytes of files."""
     schema = spark.read.parquet(path).schema
@@ -144,6 +173,15 @@ def read_stream(spark: SparkSession, path: str, batch_bytes: int = 64 << 20) ->
     return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(batch_bytes)).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
+def as_arrivals(rows: DataFrame, order: str, batches: int = 6) -> tuple[DataFrame, str]:
+    """(stream, folder): rows as a stream of so many micro-batches in the order in which they were stored. They are
+    written once, with the columns they have; the folder may be removed after the stream has run."""
+    spark = rows.sparkSession
+    at = scratch(spark, "arrivals")
+    rows.repartitionByRange(batches, order).sortWithinPartitions(order).write.parquet(at)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(at), at
+
+
 def envelope_identifiers() -> list[Column]:
     """An envelope's identities: session and sequence number of its stream, and broker coordinates."""
     from tidelake.functions.names import NAMES, norm
