@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions.names import NAMES, norm_names, path_columns
@@ -62,29 +62,50 @@ def p3_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact.plan(_p3_listing(spark, sf_dir)).select("file_path", "target_path", "source_no", "size_bytes", "target_offset")
 
 
+def _p3_joined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """(joined targets with their members, written; the folder they lie in): the plan carried out on real bytes. Each
+    planned file is written with its envelopes as one compressed file (a file of which the table has no rows as an
+    empty frame), and the files are joined byte by byte; every member's bytes are checked at their place."""
+    files = compact.plan(_p3_listing(spark, sf_dir)).select("file_path", "target_path", "source_no")
+    e = table(spark, sf_dir, "envelopes")
+    e = e.select(F.col("file_path").alias("of"), "row_id", F.to_json(F.struct(*e.columns)).alias("line"))
+    rows = files.join(e, files.file_path == e.of, "left").select("file_path", "row_id", "line")
+    base = scratch(spark, "archive") + "/"
+    small = write_cut(sink.write_json_lines(rows, base, ["row_id"], base=base, line="line"), "small", spark)
+    todo = files.join(small.select(F.col("target").alias("file_path"), F.col("bytes").alias("size_bytes")), "file_path")
+    joined = write_cut(sink.join_planned(todo, base), "joined", spark)
+    drop_cut(small)
+    return joined, base
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compact.plan(_p3_listing(spark, sf_dir)).select("file_path")
+    """The files that were taken, as members of the joined files: found at their offset with their own checksum."""
+    joined, base = _p3_joined(spark, sf_dir)
+    remove_path(spark, base.rstrip("/"))
+    members = joined.where("error IS NULL").select(F.explode("members").alias("m")).select("m.*")
+    return members.where("bytes > 0 AND sha256 IS NOT NULL AND target_offset >= 0").select("file_path")
 
 
 def p3_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carries the plan out on real bytes: each planned file that has envelopes is written as a small compressed
-    file, the files are joined byte by byte as planned, and the joined files are read back."""
-    files = compact.plan(_p3_listing(spark, sf_dir)).select("file_path", "target_path", "source_no")
-    rows = table(spark, sf_dir, "envelopes").join(files.select("file_path"), "file_path", "left_semi")
-    base = scratch(spark, "archive") + "/"
-    small = write_cut(sink.write_json_lines(rows, base, ["row_id"], base=base), "small", spark)
-    todo = files.join(small.select(F.col("target").alias("file_path"), F.col("bytes").alias("size_bytes"), "n_lines"), "file_path")
-    joined = write_cut(sink.join_planned(todo, base), "joined", spark)
-    back = archive.count_lines(joined, "target_path", base)
-    told = todo.groupBy("target_path").agg(F.sum("n_lines").alias("n_expected"))
-    out = joined.select("target_path", "source_files", "error").join(told, "target_path").join(back.select("target_path", "n_lines"), "target_path")
-    done = write_cut(out.select("target_path", "source_files", "n_expected", "n_lines", "error"), "consolidated", spark)
-    for used in (small, joined):
-        drop_cut(used)
+    """What the joined files hold when they are read back: files, lines, and a sum of checksums of all records (their
+    number and payload), which a lost, doubled or altered record would change."""
+    joined, base = _p3_joined(spark, sf_dir)
+    lines = archive.read_strict(spark, joined.where("error IS NULL").select(F.concat(F.lit(base), "target_path").alias("file_path"), F.col("bytes").alias("size_bytes")))
+    r = lines.select(F.substring("file_path", len(base) + 1, 2**30).alias("target_path"), "error", F.from_json("line", "row_id bigint, raw_text string").alias("r"))
+    sums = r.groupBy("target_path").agg(F.count("r").alias("n_lines"), F.count("error").alias("n_torn"), F.sum(_record_sum(F.col("r.row_id"), F.col("r.raw_text"))).cast("string").alias("record_sum"))
+    out = joined.select("target_path", "source_files", "error").join(sums, "target_path", "left").na.fill(0, ["n_lines", "n_torn"])
+    done = write_cut(out.select("target_path", "source_files", "n_lines", "n_torn", F.coalesce("record_sum", F.lit("0")).alias("record_sum"), "error"), "consolidated", spark)
+    drop_cut(joined)
     remove_path(spark, base.rstrip("/"))
     return done
 
 
+def _record_sum(row_id: Column, text: Column) -> Column:
+    """60 bits of the MD5 of a record, as a decimal that doesn't overflow when summed."""
+    h = F.md5(F.concat_ws("|", row_id.cast("string"), F.coalesce(text, F.lit(""))).cast("binary"))
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("decimal(38,0)")
+
+
 FIELDS = ["exchange", "symbol", "stream", "start_ms", "end_ms", "reason", "detail"]
 
 

@@ -45,8 +45,10 @@ SELECT file_path, target_path, row_number() OVER w AS source_no, size_bytes, (su
 WINDOW w AS (PARTITION BY target_path ORDER BY hour, rank, CASE rank WHEN 0 THEN 0 ELSE n END, file_path ROWS UNBOUNDED PRECEDING)"""
 
 _P3_DONE = f"""WITH t AS ({_P3}), p AS (SELECT file_path, string_split(file_path, '/') AS a FROM t),
-k AS (SELECT file_path, 'archive/' || lower(trim(a[-5])) || '/' || lower(trim(a[-4])) || '/' || lower(trim(a[-3])) || '/' || a[-2] || '/part-00000.jsonl.zst' AS target_path FROM p)
-SELECT target_path, count(DISTINCT file_path) AS source_files, count(*) AS n_expected, count(*) AS n_lines, NULL::VARCHAR AS error FROM k JOIN envelopes USING (file_path) GROUP BY target_path"""
+k AS (SELECT file_path, 'archive/' || lower(trim(a[-5])) || '/' || lower(trim(a[-4])) || '/' || lower(trim(a[-3])) || '/' || a[-2] || '/part-00000.jsonl.zst' AS target_path FROM p),
+e AS (SELECT file_path, ('0x' || substr(md5(row_id || '|' || coalesce(raw_text, '')), 1, 15))::BIGINT AS h FROM envelopes WHERE file_path IS NOT NULL)
+SELECT target_path, count(DISTINCT file_path) AS source_files, count(h) AS n_lines, 0::BIGINT AS n_torn, coalesce(sum(h::HUGEINT), 0)::VARCHAR AS record_sum, NULL::VARCHAR AS error
+FROM k LEFT JOIN e USING (file_path) GROUP BY target_path"""
 
 _FIELDS = ["exchange", "symbol", "stream", "start_ms", "end_ms", "reason", "detail"]
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions.names import path_columns
+from tidelake.operators import ordered
 from tidelake.runtime import spread
 from tidelake.sources.sink import open_read
-from tidelake.sources.zstd_files import read_frames, read_lines
+from tidelake.sources.zstd_files import read_frames, read_lines, sha256_of
 
 #: An archived line: data and gap envelopes in one schema; unknown fields are ignored.
 ENVELOPE = (
@@ -25,11 +27,37 @@ HOST_EVENTS = "type string, component string, clean_exit boolean, timestamp stri
 OUTAGE = "outage_started_at_ns bigint"
 
 
-def list_files(spark: SparkSession, base: str, glob: str = "*.jsonl.zst") -> DataFrame:
-    """file_path, size_bytes, modified_at and path_columns of every file below base, listed by the cluster; no
-    content is read. base may have the wildcards of a Hadoop path."""
-    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(base)
-    d = d.select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
+LISTED = "file_path string, size_bytes bigint, modified_at timestamp"
+
+
+def _any_case(name: str | list[str] | None) -> str:
+    """A path pattern for a name however it is spelled (case, outer blanks); what else it lets in is filtered later."""
+    if not name:
+        return "*"
+    one = lambda n: "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c if c.isalnum() or c in "-_." else "?" for c in n.strip()) + "*"
+    names = [name] if isinstance(name, str) else name
+    return one(names[0]) if len(names) == 1 else "{" + ",".join(map(one, names)) + "}"
+
+
+def folders(base: str, dates: list[str] | None = None, exchange=None, symbol=None, stream=None) -> list[str]:
+    """Path patterns of the stream-day folders below base with the given dates and names (a name, several, or None for
+    any): what is listed, so a date costs its own folders and not the tree."""
+    names = "/".join(map(_any_case, (exchange, symbol, stream)))
+    return [f"{base.rstrip('/')}/{names}/*{d}*" for d in dates] if dates else [f"{base.rstrip('/')}/{names}/*"]
+
+
+def list_files(spark: SparkSession, base: str | list[str], glob: str = "*.jsonl.zst") -> DataFrame:
+    """file_path, size_bytes, modified_at and path_columns of every file below base (a folder or patterns, see
+    folders), listed by the cluster; no content is read. A pattern that nothing matches gives nothing."""
+    found = []
+    for at in [base] if isinstance(base, str) else base:
+        try:
+            d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(at)
+            found.append(d.select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")))
+        except Exception as e:
+            if isinstance(base, str) or "PATH_NOT_FOUND" not in str(e):
+                raise
+    d = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], LISTED)
     return d.withColumns(path_columns("file_path"))
 
 
@@ -54,29 +82,43 @@ def _paths(spark: SparkSession, paths: str | list[str] | DataFrame, glob: str =
     """file_path and size_bytes, spread over the cluster; a listing is taken as it is."""
     if not isinstance(paths, DataFrame):
         paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(paths).select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"))
-    return spread(paths.select("file_path", "size_bytes"), "file_path")
+    return spread(paths.select("file_path", "size_bytes", *[c for c in ("file_no",) if c in paths.columns]), "file_path")
+
+
+def numbered(files: DataFrame) -> DataFrame:
+    """files with file_no, their place in the order of paths from 0: counted in each folder and over the folders, so
+    only folders meet in one task."""
+    d = files.withColumns({"_all": F.lit(1), "_folder": F.regexp_replace("file_path", "/[^/]*$", ""), "_one": F.lit(1).cast("long")})
+    d = ordered.running_sum(d, ["_all"], "_folder", ["file_path"], "_one", "file_no")
+    return d.select(*files.columns, (F.col("file_no") - 1).alias("file_no"))
 
 
 def read_strict(spark: SparkSession, paths: str | list[str] | DataFrame, batch: int = 10_000) -> DataFrame:
     """file_path, line_no (from 0), line, error of every non-empty line. A file that ends inside a frame gives the
     lines of its whole frames and one row with the error. A task reads its files one after the other, frame by
-    frame; paths is a folder, a list or a listing (file_path, size_bytes)."""
+    frame; paths is a folder, a list or a listing (file_path, size_bytes). If the listing is numbered (file_no), each
+    line has a row_id that rises with file and line, without any sort of lines."""
+    listing = _paths(spark, paths, "*.zst")
+    has_no = "file_no" in listing.columns
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def part(rows: dict, no: int) -> pd.DataFrame:
+            return pd.DataFrame(rows | ({"row_id": [(int(no) << 32) + i for i in rows["line_no"]]} if has_no else {}))
+
         for f in frames:
-            for path, size in zip(f["file_path"], f["size_bytes"]):
+            for path, size, no in zip(f["file_path"], f["size_bytes"], f["file_no"] if has_no else f["size_bytes"]):
                 n, good = 0, 0
                 with open_read(path) as src:
                     for good, content in read_frames(src):
                         lines = [x.decode("utf-8", "replace") for x in content.split(b"\n") if x.strip()]
                         for k in range(0, len(lines), batch):
-                            part = lines[k : k + batch]
-                            yield pd.DataFrame({"file_path": path, "line_no": range(n, n + len(part)), "line": part, "error": None})
-                            n += len(part)
+                            some = lines[k : k + batch]
+                            yield part({"file_path": path, "line_no": range(n, n + len(some)), "line": some, "error": None}, no)
+                            n += len(some)
                 if good < size:
-                    yield pd.DataFrame({"file_path": [path], "line_no": [n], "line": [None], "error": [f"torn tail after {good} of {size} bytes"]})
+                    yield part({"file_path": [path], "line_no": [n], "line": [None], "error": [f"torn tail after {good} of {size} bytes"]}, no)
 
-    return _paths(spark, paths, "*.zst").mapInPandas(run, "file_path string, line_no bigint, line string, error string")
+    return listing.mapInPandas(run, "file_path string, line_no bigint, line string, error string" + ", row_id bigint" * has_no)
 
 
 def read_tolerant(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
@@ -136,8 +178,6 @@ def check_sidecars(spark: SparkSession, paths: str | DataFrame) -> DataFrame:
     d = _paths(spark, paths).where(F.col("file_path").rlike(r"\.(zst|jsonl)$"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-
         for f in frames:
             out = []
             for path in f["file_path"]:
@@ -147,11 +187,8 @@ def check_sidecars(spark: SparkSession, paths: str | DataFrame) -> DataFrame:
                 except OSError:
                     out.append((path, "missing"))
                     continue
-                sha = hashlib.sha256()
                 with open_read(path) as src:
-                    while piece := src.read(1 << 20):
-                        sha.update(piece)
-                out.append((path, "ok" if told[:1] == [sha.hexdigest()] else "mismatch"))
+                    out.append((path, "ok" if told[:1] == [sha256_of(src)] else "mismatch"))
             yield pd.DataFrame(out, columns=["file_path", "status"])
 
     return d.mapInPandas(run, "file_path string, status string")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import json
 import os
 import tarfile
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.runtime import spread
-from tidelake.sources.zstd_files import compress_frame, good_length, join_files, sidecar_text
+from tidelake.sources.zstd_files import compress_frame, join_files, read_frames, sha256_of
 
 
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -56,21 +55,22 @@ def remove(path: str) -> None:
 def write_json_lines(rows: DataFrame, path: str, order: list[str], target: str = "file_path", base: str = "", frame_lines: int = 10_000, line: str | None = None) -> DataFrame:
     """Each target file of rows as zstandard frames of JSON lines, in order; (target, n_lines, bytes, sha256).
 
-    Null fields are left out of a line. One task writes a file at a time, in frames of frame_lines; a repeated
-    task writes the same bytes again. Rows of a file arrive sorted by Spark, so no file is held in memory.
+    Null fields are left out of a line; with `line` (a column with the text itself) a null line writes nothing, so
+    that a file of null lines only is one empty frame. One task writes a file at a time, in frames of frame_lines; a
+    repeated task writes the same bytes again. Rows of a file arrive sorted by Spark, so no file is held in memory.
     """
     text = F.col(line) if line else F.to_json(F.struct(*[c for c in rows.columns if c not in (target, *[o for o in order if o.startswith("_o_")])]))
     d = rows.select(F.col(target).alias("t"), *(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), text.alias("line"))
-    d = d.repartition("t").sortWithinPartitions("t", *(f"o{i}" for i in range(len(order)))).select("t", "line")
+    d = spread(d, "t").sortWithinPartitions("t", *(f"o{i}" for i in range(len(order)))).select("t", "line")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
         now, out, lines, n, size, sha = None, None, [], 0, 0, None
 
-        def flush() -> None:
+        def flush(last: bool = False) -> None:
             nonlocal lines, size
-            if lines:
+            if lines or (last and not size):
                 data = compress_frame(lines)
                 out.write(data)
                 sha.update(data)
@@ -78,7 +78,7 @@ def write_json_lines(rows: DataFrame, path: str, order: list[str], target: str =
                 lines = []
 
         def close() -> pd.DataFrame:
-            flush()
+            flush(last=True)
             out.close()
             publish(f"{base}{now}.tmp", f"{base}{now}")
             return pd.DataFrame([(now, n, size, sha.hexdigest())], columns=["target", "n_lines", "bytes", "sha256"])
@@ -90,8 +90,9 @@ def write_json_lines(rows: DataFrame, path: str, order: list[str], target: str =
                         yield close()
                     now, n, size, sha = t, 0, 0, hashlib.sha256()
                     out = open_write(f"{base}{t}.tmp")
-                lines.append(text.encode())
-                n += 1
+                if text is not None:
+                    lines.append(text.encode())
+                    n += 1
                 if len(lines) >= frame_lines:
                     flush()
         if out is not None:
@@ -100,9 +101,13 @@ def write_json_lines(rows: DataFrame, path: str, order: list[str], target: str =
     return d.mapInPandas(run, "target string, n_lines bigint, bytes bigint, sha256 string")
 
 
+MEMBER = "file_path string, target_offset bigint, bytes bigint, sha256 string"
+
+
 def join_planned(plan: DataFrame, base: str = "", reader: Callable[[str], BinaryIO] = open_read) -> DataFrame:
     """Carries out a compaction plan (file_path, target_path, source_no, size_bytes): one row for each target file
-    with source_files, bytes, sha256 and error (null if it was published). Targets are joined in parallel, each
+    with source_files, bytes, sha256, members (file_path, target_offset, bytes, sha256 of each source's bytes in it,
+    all checked in the written file) and error (null if it was published). Targets are joined in parallel, each
     in one task; a task sees paths and sizes only and reads one small file at a time. A target that fails leaves
     its sources as they are. A lost task is run again and writes the same bytes.
     """
@@ -115,41 +120,77 @@ def join_planned(plan: DataFrame, base: str = "", reader: Callable[[str], Binary
             for target, paths, sizes in zip(f["target_path"], f["paths"], f["sizes"]):
                 try:
                     r = join_files([(base + p, int(s)) for p, s in zip(paths, sizes)], base + target, reader, open_write, publish)
-                    out.append((target, r["source_files"], r["bytes"], r["sha256"], None))
+                    members = [{"file_path": m[0][len(base) :], "target_offset": m[1], "bytes": m[2], "sha256": m[3]} for m in r["members"]]
+                    out.append((target, r["source_files"], r["bytes"], r["sha256"], members, None))
                 except (OSError, ValueError) as e:
-                    out.append((target, len(paths), None, None, str(e)))
-            yield pd.DataFrame(out, columns=["target_path", "source_files", "bytes", "sha256", "error"])
+                    out.append((target, len(paths), None, None, [], str(e)))
+            yield pd.DataFrame(out, columns=["target_path", "source_files", "bytes", "sha256", "members", "error"])
 
-    return d.mapInPandas(run, "target_path string, source_files bigint, bytes bigint, sha256 string, error string")
+    return d.mapInPandas(run, f"target_path string, source_files bigint, bytes bigint, sha256 string, members array<struct<{MEMBER.replace(' ', ':').replace(',:', ',')}>>, error string")
 
 
-def write_sidecar(path: str) -> str:
-    with open_read(path) as f:
-        text = sidecar_text(f.read(), os.path.basename(path))
+def on_paths(paths: DataFrame, path: str, what: Callable[[str], int | str | None]) -> DataFrame:
+    """(path, done, error): what(path) for every path, spread over the executors; an exception is the path's error."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for p in f[path]:
+                try:
+                    done, error = what(p), None
+                except (OSError, ValueError) as e:
+                    done, error = None, str(e)
+                out.append((p, None if done is None else str(done), error))
+            yield pd.DataFrame(out, columns=[path, "done", "error"])
+
+    return spread(paths.select(path), path).mapInPandas(run, f"`{path}` string, done string, error string")
+
+
+def write_sidecar(path: str, sha256: str | None = None) -> str:
+    """The checksum file of a file, which is hashed piece by piece unless its checksum is known."""
+    if sha256 is None:
+        with open_read(path) as f:
+            sha256 = sha256_of(f)
+    text = f"{sha256}  {os.path.basename(path)}\n"
     write_bytes(path + ".sha256", text.encode())
     return text
 
 
+def size_of(path: str) -> int | None:
+    """Bytes of a file; null if there is none."""
+    fs, p = _fs(path)
+    info = fs.get_file_info(p)
+    return info.size if info.type.name == "File" else None
+
+
+def repair_sidecar(path: str) -> int:
+    """Writes the sidecar of a file that lacks one (1); an empty file is skipped (0)."""
+    if not size_of(path):
+        return 0
+    write_sidecar(path)
+    return 1
+
+
 def repair_sidecars(missing: list[str]) -> int:
-    """Writes the sidecars of files that lack one; empty files are skipped."""
-    n = 0
-    for path in missing:
-        fs, p = _fs(path)
-        if fs.get_file_info(p).size:
-            write_sidecar(path)
-            n += 1
-    return n
+    return sum(map(repair_sidecar, missing))
 
 
 def repair_tail(path: str) -> int:
-    """Cuts a file back to its whole frames and renews its sidecar; bytes cut off (a wholly torn file becomes empty)."""
+    """Cuts a file back to its whole frames and renews its sidecar; bytes cut off (a wholly torn file becomes empty).
+    Both passes go piece by piece."""
+    size, good = size_of(path) or 0, 0
     with open_read(path) as f:
-        data = f.read()
-    good, _ = good_length(data)
-    if good < len(data):
-        write_bytes(path, data[:good])
+        for good, _ in read_frames(f):
+            pass
+    if good < size:
+        with open_read(path) as f, open_write(path + ".tmp") as out:
+            left = good
+            while left and (piece := f.read(min(left, 1 << 20))):
+                out.write(piece)
+                left -= len(piece)
+        publish(path + ".tmp", path)
         write_sidecar(path)
-    return len(data) - good
+    return size - good
 
 
 def append_frame(path: str, lines: list[bytes]) -> None:
@@ -185,19 +226,35 @@ def seal_name(hour: int, existing: set[str]) -> str:
     return f"hour-{hour}.late-{n}.jsonl.zst"
 
 
+class _Tee:
+    """A writable stream over a compressor over a file."""
+
+    def __init__(self, out: BinaryIO):
+        self.out, self.z = out, zstandard.ZstdCompressor(level=3).compressobj()
+
+    def write(self, data: bytes) -> int:
+        self.out.write(self.z.compress(data))
+        return len(data)
+
+    def close(self) -> None:
+        self.out.write(self.z.flush())
+
+
 def seal_day(folder: str, target: str) -> str:
-    """All files below a folder as one tar.zst with sidecar; names sorted, times zeroed, so the bytes repeat."""
-    raw = io.BytesIO()
-    with tarfile.open(fileobj=raw, mode="w") as tar:
-        for root, dirs, names in os.walk(folder):
-            dirs.sort()
-            for n in sorted(names):
-                full = os.path.join(root, n)
-                info = tar.gettarinfo(full, os.path.relpath(full, folder))
-                info.mtime, info.uid, info.gid, info.uname, info.gname = 0, 0, 0, "", ""
-                with open(full, "rb") as f:
+    """All files below a folder as one tar.zst with sidecar; names sorted, times zeroed, so the bytes repeat. Files
+    stream through the compressor; neither they nor the tar are held. folder and target may be URIs."""
+    fs, root = _fs(folder)
+    found = sorted((i for i in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if i.type.name == "File"), key=lambda i: i.path)
+    with open_write(target + ".tmp") as out:
+        tee = _Tee(out)
+        with tarfile.open(fileobj=tee, mode="w|") as tar:
+            for i in found:
+                info = tarfile.TarInfo(os.path.relpath(i.path, root))
+                info.size = i.size
+                with fs.open_input_stream(i.path, compression=None) as f:
                     tar.addfile(info, f)
-    write_bytes(target, zstandard.ZstdCompressor(level=3).compress(raw.getvalue()))
+        tee.close()
+    publish(target + ".tmp", target)
     return write_sidecar(target)
 
 

@@ -123,6 +123,14 @@ def is_compressed(head: bytes) -> bool:
     return head[:4] == MAGIC or (len(head) >= 4 and int.from_bytes(head[:4], "little") in _SKIP)
 
 
+def sha256_of(source: BinaryIO) -> str:
+    """Checksum of a file, piece by piece."""
+    sha = hashlib.sha256()
+    while piece := source.read(PIECE):
+        sha.update(piece)
+    return sha.hexdigest()
+
+
 def sidecar_text(data: bytes, name: str) -> str:
     return f"{hashlib.sha256(data).hexdigest()}  {name}\n"
 
@@ -142,12 +150,14 @@ def join_files(sources: list[tuple[str, int | None]], target: str, open_read: Ca
 
     sources: (path, expected bytes or None), in order. Each source must have its expected length, and a
     compressed one must consist of whole frames; compressed and plain files don't mix. The joined bytes go to a
-    temporary name, are read again, must have the summed length and checksum, and are then published under
-    the target's name: a reader sees the whole file or none, and a repeated run replaces it by the same bytes.
-    Source files are not deleted here. Empty sources are skipped.
+    temporary name and are read again: each member's bytes at its offset must have the checksum of what was read
+    from its source, and nothing may follow. Then the file is published under the target's name: a reader sees the
+    whole file or none, and a repeated run replaces it by the same bytes. Source files are not deleted here. Empty
+    sources are skipped. members: (source, offset, bytes, sha256, whether a newline was added) of the others.
     """
-    total, digest, count = 0, hashlib.sha256(), 0
+    members: list[tuple[str, int, int, str, bool]] = []
     kind: bool | None = None
+    at = 0
     temporary = f"{target}.joining"
     with open_write(temporary) as out:
         for path, expected in sources:
@@ -163,18 +173,23 @@ def join_files(sources: list[tuple[str, int | None]], target: str, open_read: Ca
             kind = packed
             if packed and good_length(data)[0] != len(data):
                 raise JoinError(f"{path}: torn tail after {good_length(data)[0]} bytes")
-            if not packed and not data.endswith(b"\n"):
+            ended = packed or data.endswith(b"\n")
+            if not ended:
                 data += b"\n"
             out.write(data)
-            digest.update(data)
-            total += len(data)
-            count += 1
-    again, size = hashlib.sha256(), 0
+            members.append((path, at, len(data), hashlib.sha256(data).hexdigest(), not ended))
+            at += len(data)
+    whole = hashlib.sha256()
     with open_read(temporary) as f:
-        while piece := f.read(PIECE):
-            again.update(piece)
-            size += len(piece)
-    if size != total or again.digest() != digest.digest():
-        raise JoinError(f"{target}: what was written differs from what was read")
+        for path, _, size, told, _ in members:
+            own = hashlib.sha256()
+            while size and (piece := f.read(min(size, PIECE))):
+                own.update(piece)
+                whole.update(piece)
+                size -= len(piece)
+            if size or own.hexdigest() != told:
+                raise JoinError(f"{target}: what was written of {path} differs from what was read")
+        if f.read(1):
+            raise JoinError(f"{target}: bytes follow the last member")
     publish(temporary, target)
-    return {"target_path": target, "source_files": count, "bytes": total, "sha256": digest.hexdigest()}
+    return {"target_path": target, "source_files": len(members), "bytes": at, "sha256": whole.hexdigest(), "members": members}

@@ -173,7 +173,7 @@ def read_stream(spark: SparkSession, path: str, batch_bytes: int = 64 << 20) ->
     return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(batch_bytes)).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def as_arrivals(rows: DataFrame, order: str, batches: int = 6) -> tuple[DataFrame, str]:
+def as_arrivals(rows: DataFrame, order: str, batches: int = 4) -> tuple[DataFrame, str]:
     """(stream, folder): rows as a stream of so many micro-batches in the order in which they were stored. They are
     written once, with the columns they have; the folder may be removed after the stream has run."""
     spark = rows.sparkSession
