@@ -85,6 +85,45 @@ def test_torn_source_stops_its_day_only(lake):
     assert [r["success"] for r in lake.consolidate(DATE)] == [True]
 
 
+@pytest.mark.parametrize("damage", ["corrupt", "swap", "lost", "gone"])
+def test_a_file_that_fails_its_check_keeps_all_sources(lake, damage):
+    """What was written is read back before anything is deleted: altered, reordered, shortened or missing files never
+    appear under the daily name, and nothing but the staged file goes."""
+    paths = [put(lake.base, "hour-5.jsonl.zst", [envelope(100, 5, 0), envelope(101, 5, 1)]), put(lake.base, "hour-5.late-1.jsonl.zst", [envelope(99, 5, 2)])]
+    before = sorted(os.listdir(os.path.dirname(paths[0])))
+    staged, _ = lake.stage_days(DATE)
+    at = staged.first().target.removeprefix("file:") + ".staged"
+    with open(at, "rb") as f:
+        lines = list(read_lines(f))
+    if damage == "gone":
+        os.remove(at)
+    else:
+        if damage == "swap":
+            lines[5], lines[6] = lines[6], lines[5]
+        data = compress_frame(lines[:-1] if damage == "lost" else lines)
+        with open(at, "wb") as f:
+            f.write(data[:-5] if damage == "corrupt" else data)
+        if damage in ("swap", "lost"):  # the checksum would tell; here the other checks must
+            staged = staged.withColumn("sha256", F.lit(hashlib.sha256(data).hexdigest()))
+    (r,) = lake.seal_days(staged)
+    assert not r["success"] and {"swap": "after", "lost": "25 lines instead of 26", "corrupt": "checksum", "gone": "o such file"}[damage] in r["error"]
+    assert sorted(os.listdir(os.path.dirname(paths[0]))) == before
+    assert [r["success"] for r in lake.consolidate(DATE)] == [True] and not os.path.exists(paths[0])
+
+
+def test_a_date_lists_its_own_folders(lake, spark):
+    put(lake.base, "hour-5.jsonl.zst", [envelope(1, 5, 0)])
+    other = os.path.join(lake.base, "X ", "S", "depth", "2021-01-02")
+    os.makedirs(other)
+    with open(os.path.join(other, "hour-1.jsonl.zst"), "wb") as f:
+        f.write(b"x")
+    assert lake.files().count() == 2
+    assert [r.utc_date for r in lake.files("2021-01-02", "x", "s").collect()] == ["2021-01-02"]
+    plan = lake.files(DATE)._jdf.queryExecution().toString()
+    assert DATE in plan and "2021-01-02" not in plan
+    assert lake.files("2020-01-01").count() == 0 and lake.files([DATE, "2021-01-02"], symbol=["s", "q"]).count() == 2
+
+
 def test_verify_finds_everything(lake):
     bad = envelope(5, 1, 7)
     bad["raw_sha256"] = "0"
@@ -131,6 +170,18 @@ def test_audit_and_backfill(lake, spark):
     def provider(exchange, symbol, stream, a, z):
         return [json.dumps({"T": a, "a": a})] if a < DAY0 + 3 * 3_600_000 else []
 
+    from tidelake.operators import backfill
+
+    def failing(exchange, symbol, stream, a, z):
+        if a >= DAY0 + 20 * 3_600_000:
+            raise backfill.Unavailable("too old")
+        if a >= DAY0 + 10 * 3_600_000:
+            raise OSError("down")
+        return []
+
+    told = lake.backfill_hours(failing, DATE)
+    assert {r.status: r["count"] for r in told.groupBy("status").count().collect()} == {"empty": 9, "failed": 10, "unavailable": 4}
+    assert backfill.summary(told).first().asDict() == {"attempted": 23, "written": 0, "records": 0, "empty": 9, "unavailable": 4, "failed": 10, "not_backfillable": 0}
     done = lake.backfill(provider, DATE)
     assert sorted(r.target.split("/")[-1] for r in done.collect()) == ["hour-1.backfill-1.jsonl.zst", "hour-2.backfill-1.jsonl.zst"]
     assert lake.missing_hours(DATE).count() == 21

@@ -6,20 +6,24 @@ and counts come to the driver.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions.names import NAMES, path_columns
-from tidelake.functions.timeutil import HOUR_MS, period
+from tidelake.functions.timeutil import DAY_MS, HOUR_MS, dates_in_scope, period
 from tidelake.operators import backfill, consolidate, continuity, depth, gaps, integrity, reconcile, state
-from tidelake.runtime import write_cut
+from tidelake.runtime import drop_cut, spread, write_cut
 from tidelake.sources import archive, sink
 
 KEYS = list(NAMES)
 DAY = [*KEYS, "utc_date"]
+STAGED = ".staged"
+FAN_LIMIT = 10_000
 CHECKS = ("trades", "depth", "bookticker")
 
 
@@ -35,20 +39,22 @@ class Lake:
 
     # --- reading ---
 
-    def files(self, date: str | None = None, exchange: str | None = None, symbol: str | None = None, stream: str | None = None, daily: bool = True) -> DataFrame:
-        """Data files by name, pruned on the listing before anything is opened."""
-        return archive.scan(archive.list_files(self.spark, self.base), date, exchange, symbol, stream, daily)
+    def files(self, date: str | list[str] | None = None, exchange: str | list[str] | None = None, symbol: str | list[str] | None = None, stream: str | list[str] | None = None, daily: bool = True) -> DataFrame:
+        """Data files by name (each a value, several, or None for any). Dates and names are part of the listed paths, so
+        only their folders are listed; nothing is opened."""
+        names = (exchange, symbol, stream)
+        at = self.base if date is None and not any(names) else archive.folders(self.base, [date] if isinstance(date, str) else date, *names)
+        return archive.scan(archive.list_files(self.spark, at), date, *names, daily)
 
     def rows(self, files: DataFrame) -> DataFrame:
         """Strictly read lines of the files with envelope columns, names by path, error where a line or tail is bad.
 
-        row_id rises with path and line; it is settled by writing the rows, which callers that join on it do.
+        row_id rises with path and line: the file's number and the line's, so rows aren't sorted.
         """
-        lines = archive.read_strict(self.spark, files)
+        lines = archive.read_strict(self.spark, archive.numbered(files.select("file_path", "size_bytes")))
         p = path_columns("file_path")
         d = archive.parse_lines(lines).drop(*NAMES)
-        d = d.withColumns({c: p[c] for c in (*DAY, "file", "kind", "hour_no", "seq")})
-        return d.sort("file_path", "line_no").withColumn("row_id", F.monotonically_increasing_id())
+        return d.withColumns({c: p[c] for c in (*DAY, "file", "kind", "hour_no", "seq")})
 
     # --- verification ---
 
@@ -57,7 +63,7 @@ class Lake:
         files = self.files(date, exchange, symbol, stream)
         side = archive.check_sidecars(self.spark, files)
         if repair_checksums:
-            sink.repair_sidecars([r.file_path for r in side.where("status = 'missing'").collect()])
+            sink.on_paths(side.where("status = 'missing'"), "file_path", sink.repair_sidecar).agg(F.count("error")).collect()
             side = archive.check_sidecars(self.spark, files)
         rows = write_cut(self.rows(files), "verify", self.spark)
         say = lambda no, df, text, line="line_no": df.select(F.lit(no).alias("check_no"), "file_path", (F.col(line) if line else F.lit(None)).cast("long").alias("line_no"), text.alias("message"))
@@ -116,33 +122,58 @@ class Lake:
     def backfillable(self, date: str | None = None, **names: str) -> DataFrame:
         return gaps.backfillable(self.missing_hours(date, **names))
 
-    def backfill(self, provider: Callable[[str, str, str, int, int], Iterable[str]], date: str | None = None, **names: str) -> DataFrame:
-        """Fetches missing hours and writes hour-H.backfill-1 files with sidecars; one row for each file. Hours for which
-        nothing comes stay missing."""
-        todo = self.backfillable(date, **names)
-        e = backfill.backfill_envelopes(backfill.fetch_pages(todo, provider), self.now_ms * 1_000_000, f"backfill_{self.now_ms}")
+    def backfill(self, provider: Callable[[str, str, str, int, int], Iterable[str]], date: str | list[str] | None = None, **names: str) -> DataFrame:
+        """The written files of backfill_hours."""
+        return self.backfill_hours(provider, date, **names).where("target IS NOT NULL")
+
+    def backfill_hours(self, provider: Callable[[str, str, str, int, int], Iterable[str]], date: str | list[str] | None = None, **names: str) -> DataFrame:
+        """Fetches missing hours and writes hour-H.backfill-1 files with sidecars; one row for each missing hour:
+        names, utc_date, hour_no, status (backfilled, empty, unavailable, failed, not_backfillable), records, target,
+        error. Hours for which nothing comes stay missing; none of the records lies outside its hour."""
+        gone = self.missing_hours(date, **names)
+        todo = write_cut(gaps.backfillable(gone), "todo", self.spark)
+        pages = write_cut(backfill.fetch_pages(todo, provider), "pages", self.spark)
+        e = backfill.backfill_envelopes(pages.where("error IS NULL AND raw_text IS NOT NULL"), self.now_ms * 1_000_000, f"backfill_{self.now_ms}")
         hour = F.floor(F.col("exchange_ts") / HOUR_MS).cast("long")
         day = F.date_format(F.timestamp_millis("exchange_ts"), "yyyy-MM-dd")
         target = F.concat_ws("/", *KEYS, day, F.concat(F.lit("hour-"), (hour % 24).cast("string"), F.lit(".backfill-1.jsonl.zst")))
-        done = write_cut(sink.write_json_lines(e.withColumn("target", target), "", ["session_seq"], target="target", base=f"{self.base}/"), "backfill", self.spark)
-        for r in done.select("target").collect():
-            sink.write_sidecar(f"{self.base}/{r.target}")
-        return done
+        base = f"{self.base}/"
+        written = write_cut(sink.write_json_lines(e.withColumn("target", target), "", ["session_seq"], target="target", base=base), "backfill", self.spark)
+        sealed = sink.on_paths(written.select("target"), "target", lambda t: sink.write_sidecar(base + t))
+        written = written.join(sealed.select("target", F.col("error").alias("seal_error")), "target")
+        mine = F.concat_ws("/", *KEYS, "utc_date", F.concat(F.lit("hour-"), "hour_no", F.lit(".backfill-1.jsonl.zst")))
+        told = pages.groupBy(*KEYS, F.col("hour_start_ms").alias("start_ms")).agg(F.max("error").alias("error"), F.max("unavailable").alias("unavailable"))
+        d = gone.select(*DAY, "hour_no", "start_ms").withColumn("target", mine).join(todo.select(*KEYS, "start_ms", F.lit(True).alias("asked")), [*KEYS, "start_ms"], "left")
+        d = d.join(told, [*KEYS, "start_ms"], "left").join(written.select("target", "n_lines", "seal_error"), "target", "left")
+        error = F.coalesce("seal_error", "error")
+        status = F.when(F.col("asked").isNull(), "not_backfillable").when(F.col("unavailable"), "unavailable").when(error.isNotNull(), "failed").when(F.col("n_lines").isNull(), "empty").otherwise("backfilled")
+        out = d.select(*DAY, "hour_no", status.alias("status"), F.coalesce("n_lines", F.lit(0)).alias("records"), F.when(F.col("n_lines").isNotNull(), F.col("target")).alias("target"), error.alias("error"))
+        out = write_cut(out, "backfilled", self.spark)
+        for used in (todo, pages):
+            drop_cut(used)
+        return out
+
+    def backfill_cycle(self, provider: Callable[[str, str, str, int, int], Iterable[str]], days: int = 2, **names: str) -> dict:
+        """A run over the last days: its summary (see backfill.summary) as a dict."""
+        return backfill.summary(self.backfill_hours(provider, dates_in_scope(self.now_ms - days * DAY_MS, self.now_ms), **names)).first().asDict()
 
     def audit_files(self, start_ms: int, end_ms: int, **names: list[str] | None) -> DataFrame:
-        """Gaps that the files show: archived envelopes, missing hours, sequence breaks."""
-        files = self.files()
-        rows = write_cut(self.rows(files), "audit", self.spark)
+        """Gaps that the files show: archived envelopes, missing hours, sequence breaks. Only folders of the scope's
+        dates and names are listed and read."""
+        files = self.files(dates_in_scope(start_ms, end_ms), **names)
+        cols = ["file_path", "line_no", "row_id", "type", *KEYS, "received_at", "raw_text", "gap_start_ts", "gap_end_ts", "reason", "detail", "kind"]
+        rows = write_cut(self.rows(files).select(*cols), "audit", self.spark)
         breaks = continuity.all_breaks(rows, [*KEYS, "file_path"], "kind", ["line_no"], [*KEYS, "row_id", "received_at"])
         every = gaps.archived_gaps(rows).unionByName(gaps.missing_hours(files, self.now_ms).select(*gaps.GAP)).unionByName(continuity.sequence_gap_records(breaks).select(*gaps.GAP))
-        return gaps.in_scope(every, start_ms, end_ms, **names)
+        out = write_cut(gaps.in_scope(every, start_ms, end_ms, **names), "file-gaps", self.spark)
+        drop_cut(rows)
+        return out
 
     def audit_state(self, start_ms: int, end_ms: int, components: DataFrame | None = None, intents: DataFrame | None = None, ledger: DataFrame | None = None, outages: DataFrame | None = None, manifests: DataFrame | None = None, strict: bool = False, **names: list[str] | None) -> DataFrame:
         """Gaps that the operational state records, fanned out to the archived streams. Inputs by column: see
         gaps.component_gaps, maintenance_gaps, paired_sessions (collector_session_id, line_no, event, ts in ms),
         outage_gaps (start_ms) and manifest_gaps."""
-        streams = self.files().select(*KEYS).distinct()
-        streams = gaps.in_scope(streams.withColumns({"start_ms": F.lit(start_ms), "end_ms": F.lit(end_ms)}), **names).select(*KEYS)
+        streams = self.files(**names).select(*KEYS).distinct()
         cols = ["source", "start_ms", "end_ms", "reason", "detail"]
         wide: list[DataFrame] = []
         if components is not None:
@@ -180,22 +211,18 @@ class Lake:
 
     # --- consolidation ---
 
-    def consolidate(self, date: str, exchange: str | None = None, symbol: str | None = None, stream: str | None = None, keep_sources: bool = False) -> list[dict]:
-        """Consolidates every stream-day of a date into its daily file; one result for each.
+    def stage_days(self, date: str, exchange: str | None = None, symbol: str | None = None, stream: str | None = None) -> tuple[DataFrame, DataFrame]:
+        """Merges every stream-day of a date that has no daily file yet into a staged file; (staged, broken).
 
-        A stream-day with a daily file is left alone. Hours 0 to 23 are merged (a single base file as it is), a
-        missing hour becomes a gap row. The daily file appears whole or not at all; its sidecar and manifest
-        follow; it is read again and checked (rows, order, checksum); only then its sources are deleted. A run
-        that is cut short leaves the sources and is simply run again.
+        Hours 0 to 23 are merged (a single base file as it is), a missing hour becomes a gap row. staged: stream-day,
+        target (the daily file to be), what the writer wrote (n_lines, bytes, sha256), the lines of each hour, the
+        manifest's figures and source_files. broken: stream-days with a torn source or a line that is no envelope.
         """
         files = self.files(date, exchange, symbol, stream).withColumn("folder", F.regexp_replace("file_path", "/[^/]*$", ""))
         sealed = files.where("kind = 'daily' AND size_bytes > 0").select(*DAY).distinct()
         files = write_cut(files.where("kind <> 'daily'").join(sealed, DAY, "left_anti"), "sources", self.spark)
         rows = self.rows(files)
-        if not files.limit(1).count():
-            return []
-        bad = [r.file_path for r in rows.where("error IS NOT NULL").select("file_path").distinct().collect()]
-        broken = files.where(F.col("file_path").isin(bad)).select(*DAY).distinct()
+        broken = write_cut(rows.where("error IS NOT NULL").select(*DAY).distinct(), "broken", self.spark)
         good = files.join(broken, DAY, "left_anti")
         rows = rows.join(broken, DAY, "left_anti")
 
@@ -208,33 +235,57 @@ class Lake:
         lost = lost.withColumns({"line": F.to_json(F.struct(*lost.columns)), "hour_no": F.call_function("div", F.pmod(F.col("gap_start_ts"), F.lit(24 * HOUR_MS * 1_000_000)), F.lit(HOUR_MS * 1_000_000)).cast("int"), "utc_date": F.date_format(F.timestamp_seconds(F.expr("gap_start_ts div 1000000000")), "yyyy-MM-dd"), "pos": F.lit(1)})
         both = merged.select(*DAY, "hour_no", "pos", "line", "type").unionByName(lost.select(*DAY, "hour_no", "pos", "line", "type"))
         folder = good.groupBy(*DAY).agg(F.min("folder").alias("folder"))
-        both = write_cut(both.join(folder, DAY).withColumn("target", F.concat("folder", F.lit("/"), "utc_date", F.lit(".jsonl.zst"))), "merged", self.spark)
+        both = write_cut(both.join(folder, DAY).withColumn("target", F.concat("folder", F.lit("/"), "utc_date", F.lit(".jsonl.zst"), F.lit(STAGED))), "merged", self.spark)
 
         written = write_cut(sink.write_json_lines(both, "", ["hour_no", "pos"], target="target", line="line"), "written", self.spark)
         counts = consolidate.hour_counts(both, [*DAY, "hour_no"])
+        as_is = single.select(*consolidate.HOUR, F.lit(True).alias("as_is"))
+        hours = counts.join(as_is, consolidate.HOUR, "left").groupBy(*DAY).agg(F.sort_array(F.collect_list(F.struct("hour_no", "total_records", F.coalesce("as_is", F.lit(False)).alias("as_is")))).alias("hour_lines"))
         st = gaps.hour_status(good).select(*DAY, "hour_no", "status", F.array_sort(F.concat(F.array_compact(F.array("base")), "late", "backfill")).alias("sources"))
         man = consolidate.day_manifest(st.join(counts, [*DAY, "hour_no"]), missing)
-        checked = archive.count_lines(written, "target").withColumnRenamed("n_lines", "lines_read")
-        results = written.join(checked, "target").join(both.select("target", *DAY).distinct(), "target").join(man, DAY).collect()
-
-        out = []
-        for r in results:
-            ok = r.error is None and r.lines_read == r.n_lines == r.total_records
-            sink.write_sidecar(r.target)
-            manifest = {
-                "version": 1, "exchange": r.exchange, "symbol": r.symbol, "stream": r.stream, "date": r.utc_date, "consolidated_at": self.now_ms, "daily_file": os.path.basename(r.target), "sha256": r.sha256,
-                "total_records": r.total_records, "data_records": r.data_records, "gap_records": r.gap_records, "missing_hours": r.missing_hours,
-                "hours": {k: v.asDict() for k, v in r.hours.items()}, "source_files": [os.path.basename(p) for p in r.source_files],
-            }
-            sink.write_manifest(r.target.removesuffix(".jsonl.zst") + ".manifest.json", manifest)
-            if ok and not keep_sources:
-                for p in r.source_files:
-                    sink.remove(p)
-                    if _exists(p + ".sha256"):
-                        sink.remove(p + ".sha256")
-            out.append(manifest | {"success": ok, "target": r.target, "source_files_count": len(r.source_files)})
-        out += [r.asDict() | {"success": False, "error": "a source file is torn or has a line that is no envelope"} for r in broken.collect()]
-        return out
+        staged = written.join(both.select("target", *DAY).distinct(), "target").join(man, DAY).join(hours, DAY)
+        staged = write_cut(staged.withColumn("target", F.regexp_replace("target", f"{STAGED}$", "")), "staged", self.spark)
+        for used in (files, both, written):
+            drop_cut(used)
+        return staged, broken
+
+    def seal_days(self, staged: DataFrame, keep_sources: bool = False) -> list[dict]:
+        """Checks each staged file where it lies, reading it back piece by piece: checksum as written, number of lines,
+        and data keys that don't fall within an hour that was merged. One that passes is published under its name with
+        sidecar and manifest, and then its sources are deleted; one that doesn't is removed, and nothing else changes.
+        All of it runs on the executors, a day in a task; one result for each."""
+        now, keep = self.now_ms, keep_sources
+        cols = [*DAY, "target", "n_lines", "sha256", "hour_lines", "total_records", "data_records", "gap_records", "missing_hours", "source_files", "hours"]
+
+        def run(frames):
+            for f in frames:
+                out = []
+                for r in f.to_dict("records"):
+                    day = json.loads(r["day"])
+                    day["error"] = sink.seal_staged(day, STAGED, now, keep)
+                    out.append((day["target"], day["error"]))
+                yield pd.DataFrame(out, columns=["target", "error"])
+
+        day = spread(staged.select("target", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("day")), "target")
+        done = write_cut(day.mapInPandas(run, "target string, error string"), "sealed", self.spark)
+        return [r.asDict(True) | {"date": r.utc_date, "success": r.error is None, "source_files": [os.path.basename(p) for p in r.source_files], "source_files_count": len(r.source_files)} for r in staged.drop("hour_lines", "bytes").join(done, "target").collect()]
+
+    def consolidate(self, date: str, exchange: str | None = None, symbol: str | None = None, stream: str | None = None, keep_sources: bool = False) -> list[dict]:
+        """Consolidates every stream-day of a date into its daily file; one result for each.
+
+        A stream-day with a daily file is left alone. The daily file appears whole, checked and with its sidecar and
+        manifest, or not at all (see stage_days and seal_days); only then its sources are deleted. A run that is cut
+        short leaves the sources and is simply run again.
+        """
+        staged, broken = self.stage_days(date, exchange, symbol, stream)
+        out = self.seal_days(staged, keep_sources)
+        return out + [r.asDict() | {"success": False, "error": "a source file is torn or has a line that is no envelope"} for r in broken.collect()]
+
+    def consolidation_cycle(self, keep_sources: bool = False) -> dict:
+        """The daily run: consolidates yesterday (UTC) and gives its totals."""
+        date = dates_in_scope(self.now_ms - DAY_MS, self.now_ms - DAY_MS)[0]
+        done = self.consolidate(date, keep_sources=keep_sources)
+        return {"date": date, "streams": len(done), "records": sum(r.get("total_records") or 0 for r in done), "missing_hours": sum(len(r.get("missing_hours") or ()) for r in done), "any_failed": not all(r["success"] for r in done)}
 
     # --- maintenance ---
 
@@ -247,11 +298,11 @@ class Lake:
         return archive.torn_files(self.spark, self.base).where("good_bytes < size_bytes")
 
     def repair_tails(self) -> int:
-        """Cuts torn files back to their whole frames; how many."""
-        bad = self.torn_tails().select("file_path").collect()
-        for r in bad:
-            sink.repair_tail(r.file_path)
-        return len(bad)
+        """Cuts torn files back to their whole frames, on the executors; how many."""
+        done = sink.on_paths(self.torn_tails(), "file_path", sink.repair_tail).agg(F.count("done"), F.first("error", True)).first()
+        if done[1]:
+            raise OSError(done[1])
+        return done[0]
 
     def against_state(self, file_state: DataFrame) -> DataFrame:
         """Files against the writer's state (sealed, uncommitted, oversized, short, missing_file, open)."""
@@ -260,12 +311,13 @@ class Lake:
 
 
 def _fan(w: DataFrame, streams: DataFrame, strict: bool) -> DataFrame:
-    """Every archived stream for every state gap: both are few (components, intents; streams), the streams are
-    joined on a constant and fall back to empty names in strict mode."""
-    one = F.lit(1).alias("one")
-    return gaps.fan_out(w.select("*", one), streams.select("*", one), ["one"], strict).select(*gaps.GAP)
-
-
-def _exists(path: str) -> bool:
-    fs, p = sink._fs(path)
-    return fs.get_file_info(p).type.name == "File"
+    """Every archived stream for every state gap (they concern the whole lake). The result is as large as asked for; the
+    gaps, a few for each component, are sent to the streams if they are fewer than FAN_LIMIT, else each of 64 groups of
+    gaps meets the streams in a task of its own."""
+    few = w.limit(FAN_LIMIT + 1).count() <= FAN_LIMIT
+    if few:
+        one = F.lit(1).alias("one")
+        d = gaps.fan_out(F.broadcast(w.select("*", one)), streams.select("*", one), ["one"]) if not strict else gaps.fan_out(w.select("*", one), F.broadcast(streams.select("*", one)), ["one"], True)
+        return d.select(*gaps.GAP)
+    g = F.pmod(F.xxhash64(*w.columns), F.lit(64)).alias("g")
+    return gaps.fan_out(w.select("*", g), streams.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long")))), ["g"], strict).select(*gaps.GAP)

@@ -80,6 +80,17 @@ def period(kind: str, value: str | None = None, since: str | None = None, until:
     raise ValueError(f"unknown period: {kind!r}")
 
 
+def dates_in_scope(start_ms: int, end_ms: int) -> list[str]:
+    """The UTC dates that an inclusive span touches."""
+    return [(dt.datetime(1970, 1, 1) + dt.timedelta(days=d)).strftime("%Y-%m-%d") for d in range(start_ms // DAY_MS, end_ms // DAY_MS + 1)]
+
+
+def scope_dates(start_ms: Column | str, end_ms: Column | str) -> Column:
+    """The same as an array of dates."""
+    day = lambda c: F.date_from_unix_date(floor_div(c, DAY_MS).cast("int"))
+    return F.sequence(day(start_ms), F.greatest(day(start_ms), day(end_ms)))
+
+
 def next_daily_run(now_ns: int, hour: int = 2, minute: int = 30) -> int:
     """Epoch ns of the next hour:minute UTC, strictly after now."""
     day = DAY_MS * 1_000_000

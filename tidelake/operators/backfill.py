@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Iterator
+from typing import TypeVar
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,6 +15,8 @@ from tidelake.functions.timeutil import HOUR_MS, floor_div, next_funding_ms
 from tidelake.operators.consolidate import KEYS
 from tidelake.runtime import spread
 
+T = TypeVar("T")
+
 #: Payload key of the event time by stream.
 TIME_KEYS = {"trades": "$.T", "funding_rate": "$.fundingTime", "open_interest": "$.timestamp"}
 
@@ -36,21 +40,63 @@ def backfill_envelopes(pages: DataFrame, received_at: int, session: str) -> Data
     )
 
 
-def fetch_pages(missing: DataFrame, provider: Callable[[str, str, str, int, int], Iterable[str]]) -> DataFrame:
+class Unavailable(Exception):
+    """The source has no data for the hour and never will (as opposed to a request that failed)."""
+
+
+class RateLimited(Exception):
+    """The source asks to wait; retry_after_s seconds if it says so. banned: further requests must stop."""
+
+    def __init__(self, retry_after_s: float | None = None, banned: bool = False):
+        super().__init__("banned by the source" if banned else "too many requests")
+        self.retry_after_s, self.banned = retry_after_s, banned
+
+
+def with_retries(call: Callable[[], T], tries: int = 3, first_s: float = 1.0, most_s: float = 60.0, sleep: Callable[[float], None] = time.sleep) -> T:
+    """What call gives, tried again after errors: a wait that doubles, or as long as the source asks for. What is
+    unavailable, or a ban, isn't tried again."""
+    for attempt in range(tries):
+        try:
+            return call()
+        except Unavailable:
+            raise
+        except RateLimited as e:
+            if e.banned or attempt == tries - 1:
+                raise
+            sleep(min(most_s, e.retry_after_s if e.retry_after_s is not None else first_s * 2**attempt))
+        except Exception:
+            if attempt == tries - 1:
+                raise
+            sleep(min(most_s, first_s * 2**attempt))
+    raise ValueError("tries must be 1 or more")
+
+
+def fetch_pages(missing: DataFrame, provider: Callable[[str, str, str, int, int], Iterable[str]], tries: int = 3, first_s: float = 1.0) -> DataFrame:
     """Payloads for missing hours: provider(exchange, symbol, stream, start_ms, end_ms) runs on the executors, one
-    call for each hour; an exception of the provider leaves the hour empty (it stays missing)."""
+    call (and its retries) for each hour. names, hour_start_ms, raw_text, error, unavailable: an hour whose calls fail
+    has one row with the error and no text, and so has one that the source hasn't (unavailable)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = []
+            rows: list[tuple] = []
             for r in f.itertuples(index=False):
+                at = (r.exchange, r.symbol, r.stream, r.start_ms)
                 try:
-                    rows += [(r.exchange, r.symbol, r.stream, r.start_ms, x) for x in provider(r.exchange, r.symbol, r.stream, r.start_ms, r.start_ms + HOUR_MS)]
-                except Exception:  # noqa: BLE001, S112 - what a source can't give stays missing
-                    continue
-            yield pd.DataFrame(rows, columns=[*NAMES, "hour_start_ms", "raw_text"])
+                    rows += [(*at, x, None, False) for x in with_retries(lambda: list(provider(*at, r.start_ms + HOUR_MS)), tries, first_s)]  # noqa: B023
+                except Unavailable as e:
+                    rows.append((*at, None, str(e) or "unavailable", True))
+                except Exception as e:  # noqa: BLE001 - reported for the hour
+                    rows.append((*at, None, str(e) or type(e).__name__, False))
+            yield pd.DataFrame(rows, columns=[*NAMES, "hour_start_ms", "raw_text", "error", "unavailable"])
+
+    return spread(missing.select(*NAMES, "start_ms"), "start_ms").mapInPandas(run, "exchange string, symbol string, stream string, hour_start_ms bigint, raw_text string, error string, unavailable boolean")
+
 
-    return spread(missing.select(*NAMES, "start_ms"), "start_ms").mapInPandas(run, "exchange string, symbol string, stream string, hour_start_ms bigint, raw_text string")
+def summary(done: DataFrame) -> DataFrame:
+    """One row over the hours of a backfill (status, records): attempted, written, records, empty, unavailable, failed,
+    and not_backfillable ones, which aren't attempted."""
+    n = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return done.agg(F.count_if(F.col("status") != "not_backfillable").alias("attempted"), F.count_if(F.col("status") == "backfilled").alias("written"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"), n("empty"), n("unavailable"), n("failed"), n("not_backfillable"))
 
 
 def fetch_by_id(page: Callable[[int], list[tuple[int, str]]], first: int, last: int, page_size: int = 1000) -> Iterator[tuple[int, str]]:

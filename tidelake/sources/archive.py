@@ -61,13 +61,13 @@ def list_files(spark: SparkSession, base: str | list[str], glob: str = "*.jsonl.
     return d.withColumns(path_columns("file_path"))
 
 
-def scan(files: DataFrame, date: str | None = None, exchange: str | None = None, symbol: str | None = None, stream: str | None = None, daily: bool = True) -> DataFrame:
-    """Data files of a listing with the given names (None: any), in order of their paths."""
+def scan(files: DataFrame, date: str | list[str] | None = None, exchange: str | list[str] | None = None, symbol: str | list[str] | None = None, stream: str | list[str] | None = None, daily: bool = True) -> DataFrame:
+    """Data files of a listing with the given names (one, several, or None for any)."""
     kinds = ["base", "late", "backfill"] + ["daily"] * daily
     d = files.where(F.col("kind").isin(kinds))
     for c, v in (("utc_date", date), ("exchange", exchange), ("symbol", symbol), ("stream", stream)):
-        if v is not None:
-            d = d.where(F.col(c) == v.strip().lower())
+        if v:
+            d = d.where(F.col(c).isin([x.strip().lower() for x in ([v] if isinstance(v, str) else v)]))
     return d
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.runtime import spread
-from tidelake.sources.zstd_files import compress_frame, join_files, read_frames, sha256_of
+from tidelake.sources.zstd_files import compress_frame, join_files, read_frames, read_lines, sha256_of
 
 
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -258,6 +258,77 @@ def seal_day(folder: str, target: str) -> str:
     return write_sidecar(target)
 
 
+def _key(stream: str, row: dict) -> int:
+    """Sort key of a data row, as functions.payload.sort_key."""
+    name = {"trades": "a", "depth": "u"}.get(stream)
+    if name:
+        try:
+            raw = json.loads(row.get("raw_text") or "{}")
+            if isinstance(raw, dict) and isinstance(raw.get(name), int):
+                return raw[name]
+        except ValueError:
+            pass
+    return row.get("exchange_ts") or 0
+
+
+def check_daily(path: str, sha256: str, stream: str, hours: list[dict]) -> str | None:
+    """Reads a daily file back: what is wrong with it, or null. It must have the checksum, as many lines as its hours
+    (hour_no, total_records, as_is) have, and data keys that don't fall within an hour; gap rows are exempt, and so are
+    hours that were taken as they are."""
+    with open_read(path) as f:
+        if sha256_of(f) != sha256:
+            return "checksum of the written file differs"
+    want = sum(h["total_records"] for h in hours)
+    n, left, last, as_is = 0, 0, None, False
+    todo = iter(hours)
+    with open_read(path) as f:
+        for line in read_lines(f):
+            n += 1
+            if n > want:
+                break
+            while not left:
+                h = next(todo)
+                left, last, as_is = h["total_records"], None, h["as_is"]
+            left -= 1
+            if as_is:
+                continue
+            row = json.loads(line)
+            if row.get("type") != "gap":
+                key = _key(stream, row)
+                if last is not None and key < last:
+                    return f"line {n - 1}: key {key} after {last}"
+                last = key
+    return None if n == want else f"{n} lines instead of {want}" if n < want else f"more than {want} lines"
+
+
+def seal_staged(day: dict, suffix: str, now_ms: int, keep_sources: bool) -> str | None:
+    """Publishes a staged daily file with sidecar and manifest if it passes check_daily, then deletes its sources; else
+    removes it. What is wrong, or null."""
+    target, staged = day["target"], day["target"] + suffix
+    try:
+        error = check_daily(staged, day["sha256"], day["stream"], day["hour_lines"])
+    except (OSError, ValueError, zstandard.ZstdError) as e:
+        error = str(e)
+    if error:
+        if size_of(staged) is not None:
+            remove(staged)
+        return error
+    manifest = {
+        "version": 1, "exchange": day["exchange"], "symbol": day["symbol"], "stream": day["stream"], "date": day["utc_date"], "consolidated_at": now_ms, "daily_file": os.path.basename(target), "sha256": day["sha256"],
+        "total_records": day["total_records"], "data_records": day["data_records"], "gap_records": day["gap_records"], "missing_hours": day["missing_hours"],
+        "hours": day["hours"], "source_files": [os.path.basename(p) for p in day["source_files"]],
+    }
+    write_sidecar(target, day["sha256"])
+    write_manifest(target.removesuffix(".jsonl.zst") + ".manifest.json", manifest)
+    publish(staged, target)
+    if not keep_sources:
+        for p in day["source_files"]:
+            for gone in (p, p + ".sha256"):
+                if size_of(gone) is not None:
+                    remove(gone)
+    return None
+
+
 def write_manifest(path: str, manifest: dict) -> None:
     write_bytes(path, (json.dumps(manifest, indent=2, sort_keys=True) + "\n").encode())
 
