@@ -250,6 +250,14 @@ def test_failover(spark):
     assert {r.row_id // S for r in coverage.route(e, coverage.failover_intervals(d)).collect()} == {10, 49, 90}
 
 
+def test_route_over_a_failover_of_any_length(spark):
+    day = 86_400 * S
+    f = spark.createDataFrame([("x", "s", "t", 10 * day, None), ("x", "s", "u", 0, 5 * day), ("x", "s", "u", 7 * day, 8 * day)], "exchange string, symbol string, stream string, active_from long, active_to long")
+    rows = [(i, "data", "x", "s", st, src, at * day) for i, (st, src, at) in enumerate([("t", "backup", 9), ("t", "backup", 110), ("t", "backup", 410), ("t", "backup", 9000), ("t", "primary", 3), ("u", "backup", 4), ("u", "backup", 5), ("u", "backup", 6), ("u", "backup", 7), ("v", "backup", 7)])]
+    d = spark.createDataFrame(rows, "row_id long, type string, exchange string, symbol string, stream string, source string, received_at long")
+    assert sorted(r.row_id for r in coverage.route(d, f).collect()) == [1, 2, 3, 4, 5, 8]
+
+
 def test_windows_and_status(spark):
     d = spark.createDataFrame([("k", t, f) for t, f in ((1, True), (2, True), (3, None), (4, False), (60, True), (130, True))], "k string, t long, f boolean")
     assert rows(coverage.condition_windows(d, ["k"], "t", "f", 50)) == Counter({("k", 1, 2, 2): 1, ("k", 60, 130, 2): 1})

@@ -218,15 +218,58 @@ def test_coverage_stream(spark, tmp_path):
     ]
     for i, b in enumerate(batches):
         spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    out = pipelines.drain(pipelines.coverage_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))), spark)
-    got = {(r.source, r.gap_start_ts // S, r.gap_end_ts // S, r.covered) for r in out.collect()}
+    parked = pipelines.ParkedGaps(spark, str(tmp_path / "gaps"))
+    parked.follow(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "cp")).awaitTermination()
+    got = {(r.source, r.gap_start_ts // S, r.gap_end_ts // S, r.covered) for r in parked.read().collect()}
     assert got == {("primary", 100, 105, True), ("primary", 40, 41, True), ("backup", 107, 107, False), ("primary", 101, 102, False)}
 
 
+def test_gap_of_a_stream_that_falls_silent(spark, tmp_path):
+    """Another stream's arrivals end the grace, the whole envelope comes out, and flush gives the rest."""
+    S = 10**9
+    schema = "exchange string, symbol string, stream string, type string, source string, received_at long, gap_start_ts long, gap_end_ts long, reason string, detail string"
+    silent, alive = ("x", "s", "a"), ("x", "s", "b")
+    for b in (
+        [(*silent, "gap", "primary", 100 * S, 90 * S, 99 * S, "restart_gap", "why"), (*alive, "data", "primary", 101 * S, None, None, None, None)],
+        [(*alive, "data", "primary", 108 * S, None, None, None, None)],
+        [(*alive, "data", "primary", 200 * S, None, None, None, None), (*alive, "gap", "backup", 199 * S, 198 * S, 199 * S, "restart_gap", None), (*silent, "data", "backup", 95 * S, None, None, None, None)],
+    ):
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    parked = pipelines.ParkedGaps(spark, str(tmp_path / "gaps"))
+    parked.follow(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "cp")).awaitTermination()
+    out = parked.read().collect()
+    # The backup's row of 95 s comes late but in time to show that the gap was covered.
+    assert {(r.stream, r.gap_end_ts // S, r.reason, r.detail, r.covered) for r in out} == {("a", 99, "restart_gap", "why", True), ("b", 199, "restart_gap", None, True)}
+    more = spark.createDataFrame([(*silent, "gap", "primary", 300 * S, 290 * S, 299 * S, "restart_gap", "q"), (*alive, "data", "primary", 320 * S, None, None, None, None), (*silent, "gap", "primary", 319 * S, 310 * S, 319 * S, "restart_gap", "end")], schema)
+    more.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    parked.follow(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "cp")).awaitTermination()
+    assert {(r.detail, r.covered) for r in parked.read().where("gap_start_ts >= 290000000000").collect()} == {("q", False)}
+    assert {(r.detail, r.covered) for r in parked.flush().where("gap_start_ts >= 290000000000").collect()} == {("q", False), ("end", False)}
+
+
+def test_caps_and_overflow_gaps(spark):
+    d = spark.createDataFrame([("x", "s", "t", i, i // 4) for i in range(10)], "exchange string, symbol string, stream string, at long, block long")
+    held = pipelines.within_caps(d, ["exchange", "symbol", "stream"], ["at"], "block", {"t": 7})
+    assert sorted(r["at"] for r in held.where("dropped").collect()) == [7, 8, 9]
+    rows = spark.createDataFrame([("x", "s", "t", i, i in (2, 3, 5, 9)) for i in range(10)], "exchange string, symbol string, stream string, at long, dropped boolean")
+    got = {(r.gap_start_ts, r.gap_end_ts, r.detail) for r in pipelines.overflow_gaps(rows, ["exchange", "symbol", "stream"], "at", 4).collect()}
+    tell = "Producer buffer was full; {} messages dropped for t/s".format
+    assert got == {(2, 4, tell(2)), (5, 6, tell(1)), (9, None, tell(1))}
+
+
 def test_stream_dedup_and_hours(spark, tmp_path):
-    d = spark.createDataFrame([("data", "x", "s", "t", "a", 0, i % 10, i * 10**12) for i in range(30)] + [("gap", "x", "s", "t", "a", 0, 1, 5)], "type string, exchange string, symbol string, stream string, _topic string, _partition int, _offset long, received_at long")
+    day = 86_400 * 10**9
+    some = [("data", "x", "s", "t", "a", 0, i % 10, i * 10**12) for i in range(30)] + [("gap", "x", "s", "t", "a", 0, 1, 5)]
+    synthetic = [("data", "x", "s", "t", None, None, -1, None), ("data", "x", "s", "t", "a", 0, -1, None)]
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate(some)], "row_id long, type string, exchange string, symbol string, stream string, _topic string, _partition int, _offset long, received_at long")
     d.coalesce(1).write.parquet(str(tmp_path / "in"))
-    assert pipelines.dedup_offsets(spark, str(tmp_path / "in")).first().n == 10
+    old = spark.createDataFrame([(100 + i, *r) for i, r in enumerate([*synthetic, ("data", "x", "s", "t", "b", 0, 7, 400 * day)])], d.schema)
+    old.coalesce(1).write.parquet(str(tmp_path / "more"))
+    older = spark.createDataFrame([(200, "data", "x", "s", "t", "b", 0, 8, 1), (201, "data", "x", "s", "t", "b", 0, 7, 2)], d.schema)
+    older.coalesce(1).write.mode("append").parquet(str(tmp_path / "more"))
+    assert pipelines.dedup_offsets(spark, str(tmp_path / "in")).count() == 10
+    # Rows without coordinates pass, and so does one that comes 400 days behind another.
+    assert sorted(r.row_id for r in pipelines.dedup_offsets(spark, str(tmp_path / "more")).collect()) == [100, 101, 102, 200]
     h = pipelines.hourly_counts(spark, str(tmp_path / "in"))
     assert h.agg(F.sum("n")).first()[0] == 30 and h.count() == len({i * 10**12 // 3_600_000_000_000 for i in range(30)})
 

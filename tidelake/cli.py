@@ -42,13 +42,12 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
-def _show(df: DataFrame, as_json: bool, limit: int = 1000) -> int:
-    """Prints up to limit rows (all are counted); how many there are."""
-    n = df.count()
-    for r in df.limit(limit).collect():
+def _show(df: DataFrame, as_json: bool) -> int:
+    """Prints every row, one partition after the other; how many there are."""
+    n = 0
+    for r in df.toLocalIterator():
         print(json.dumps(r.asDict(True), default=str) if as_json else "  ".join("" if x is None else str(x) for x in r))
-    if n > limit:
-        print(f"... {n - limit} more")
+        n += 1
     return n
 
 

@@ -27,7 +27,7 @@ def path_columns(path: Column | str) -> dict[str, Column]:
     """exchange, symbol, stream, utc_date, file, kind, hour_no, seq of an archive path.
 
     kind is base, late, backfill, daily or other (companions, temporary files, foreign paths);
-    hour_no and seq are null where the file has none. A null path gives kind other.
+    hour_no (int) and seq (long) are null where the file has none. A null path gives kind other.
     """
     p = F.col(path) if isinstance(path, str) else path
     part = lambda i: F.regexp_extract(p, _PARTS, i)
@@ -47,5 +47,5 @@ def path_columns(path: Column | str) -> dict[str, Column]:
         "file": file,
         "kind": F.coalesce(kind, F.lit("other")),
         "hour_no": number(hour(1)),
-        "seq": number(F.substring(hour(3), 1, 9)),
+        "seq": F.when(hour(3) != "", hour(3).try_cast("long")),
     }

@@ -14,8 +14,9 @@ S = 1_000_000_000
 HOUR_NS = 3600 * S
 
 
-def suppress_covered(gaps: DataFrame, data: DataFrame, grace_ns: int = 10 * S) -> DataFrame:
-    """gaps with covered: whether the gap was parked and the other source then turned out to bridge it.
+def suppress_covered(gaps: DataFrame, data: DataFrame, grace_ns: int = 10 * S, parked: str | None = None) -> DataFrame:
+    """gaps with covered: whether the gap was parked and the other source then turned out to bridge it; and with parked,
+    which a column of gaps (the parameter) may have settled before.
 
     A gap is parked if it is a restart_gap, or if at its arrival the other source has delivered on the stream after
     the gap's start or within the grace; it is covered if that source has data after the start until the grace
@@ -38,8 +39,11 @@ def suppress_covered(gaps: DataFrame, data: DataFrame, grace_ns: int = 10 * S) -
     seen = a.where("gap_no IS NOT NULL").select("gap_no", "last_other")
     out = gaps.join(found, "gap_no", "left").join(seen, "gap_no", "left")
     start, at = F.col("gap_start_ts"), F.col("received_at")
-    parked = (F.col("reason") == "restart_gap") | (F.col("last_other") > start) | (F.col("last_other") > at - grace_ns)
-    return out.withColumn("covered", F.coalesce(parked & (F.col("next_other") <= at + grace_ns), F.lit(False)))
+    waits = (F.col("reason") == "restart_gap") | (F.col("last_other") > start) | (F.col("last_other") > at - grace_ns)
+    if parked:
+        waits = waits | F.col(parked)
+    out = out.withColumn("parked", F.coalesce(waits, F.lit(False)))
+    return out.withColumn("covered", F.coalesce(F.col("parked") & (F.col("next_other") <= at + grace_ns), F.lit(False)))
 
 
 def failover_intervals(arrivals: DataFrame, silence_ns: int = 5 * S, recovery_ns: int = 10 * S) -> DataFrame:
@@ -63,14 +67,16 @@ def failover_intervals(arrivals: DataFrame, silence_ns: int = 5 * S, recovery_ns
 
 
 def route(df: DataFrame, failovers: DataFrame) -> DataFrame:
-    """Data rows that are archived: the primary's always, the backup's only while it is in charge (equality on
-    stream and hour, then the interval); heartbeats never."""
-    d = df.where("type = 'data'").withColumn("block", floor_div("received_at", HOUR_NS))
-    f = failovers.withColumn("stop", F.coalesce("active_to", F.lit(2**62)))
-    last = F.greatest(floor_div("active_from", HOUR_NS), F.least(floor_div("stop", HOUR_NS), floor_div("active_from", HOUR_NS) + 24 * 366))
-    f = f.withColumn("block", F.explode(F.sequence(floor_div("active_from", HOUR_NS), last)))
-    backup = d.where("source = 'backup'").join(f.select(*KEYS, "block", "active_from", "stop"), [*KEYS, "block"]).where("received_at >= active_from AND received_at < stop").drop("active_from", "stop").dropDuplicates(["row_id"])
-    return d.where("source <> 'backup'").unionByName(backup).drop("block")
+    """Data rows that are archived: the primary's always, the backup's only while it is in charge, however long that is;
+    heartbeats never. Failovers of a stream lie apart, so the last one that began by a backup row decides on it: one
+    as-of pass, hour by hour, without expanding intervals."""
+    d = df.where("type = 'data'").withColumn("_t", F.col("received_at"))
+    f = failovers.withColumn("_stop", F.coalesce("active_to", F.lit(2**63 - 1))).where("active_from < _stop").groupBy(*KEYS, "active_from").agg(F.max("_stop").alias("_stop"))
+    f = f.select(*KEYS, F.col("active_from").alias("_t"), "_stop", F.lit(0).alias("_row"))
+    backup = d.where("source = 'backup' AND received_at IS NOT NULL").withColumns({"_stop": F.lit(None).cast("long"), "_row": F.lit(1)})
+    u = backup.unionByName(f, allowMissingColumns=True).withColumn("_block", floor_div("_t", HOUR_NS))
+    u = ordered.last_known(u, KEYS, "_block", ["_t", "_row"], "_stop", "_until").where("_row = 1 AND _t < _until")
+    return d.where("source <> 'backup'").drop("_t").unionByName(u.select(*df.columns))
 
 
 def both_silent(signs: DataFrame, silence_ns: int = 30 * S, exempt: tuple[str, ...] = ("liquidations",)) -> DataFrame:

@@ -11,7 +11,7 @@ from tidelake.functions.names import NAMES, norm, norm_names, path_columns
 from tidelake.functions.payload import json_long, natural_key, payload_exchange_ts, sort_key
 from tidelake.functions.timeutil import HOUR_MS, floor_div, latency_ms, next_funding_ms, ns_date, ns_hour, ns_to_ms
 from tidelake.operators import backfill, classify, compact, consolidate, continuity, coverage, depth, gaps, health, integrity, metrics, ordered, reconcile, state
-from tidelake.runtime import table
+from tidelake.runtime import remove_path, scratch, table
 
 KEYS = list(NAMES)
 DAY = [*KEYS, "utc_date"]
@@ -736,7 +736,33 @@ def next_funding(spark, sf):
 def dedup_stream(spark, sf):
     from tidelake.streaming import pipelines
 
-    return pipelines.dedup_offsets(spark, f"{sf}/envelopes.parquet")
+    d = pipelines.dedup_offsets(spark, f"{sf}/envelopes.parquet").where("_offset >= 0 AND _topic IS NOT NULL AND _partition IS NOT NULL")
+    return d.groupBy("_topic", "_partition").agg(F.count("*").alias("n"), F.min("_offset").alias("first_offset"), F.max("_offset").alias("last_offset"))
+
+
+@query
+def dedup_bypass(spark, sf):
+    """Rows that no broker delivered: none of them is taken for a copy."""
+    from tidelake.streaming import pipelines
+
+    d = pipelines.dedup_offsets(spark, f"{sf}/envelopes.parquet").where("_offset < 0 OR _offset IS NULL OR _topic IS NULL OR _partition IS NULL")
+    return d.groupBy("_topic").agg(F.count("*").alias("n"))
+
+
+@query
+def parked_gaps_stream(spark, sf):
+    """coverage_suppression by the stream: gaps parked across micro-batches, all of them in the end."""
+    from tidelake.streaming import exactly_once, pipelines
+
+    e = _sourced(spark, sf).withColumn("source", F.when(F.col("type") == "gap", F.coalesce("source", F.lit("primary"))).otherwise(F.col("source")))
+    e = e.where("received_at IS NOT NULL").select("row_id", *KEYS, "type", "source", "received_at", "gap_start_ts", "gap_end_ts", norm("reason").alias("reason"))
+    stream, arrivals = exactly_once.as_arrivals(e, "row_id", 3)
+    base = scratch(spark, "parked")
+    parked = pipelines.ParkedGaps(spark, base)
+    parked.follow(stream, f"{base}/checkpoint").awaitTermination()
+    out = parked.flush()
+    remove_path(spark, arrivals)
+    return out.select(*KEYS, "source", "gap_start_ts").distinct()
 
 
 @query
