@@ -294,6 +294,55 @@ def test_depth_replay(spark):
     assert asof([(5, 200)], [(1, 1, 2, 0), (6, 50, 100, 0)]) == [(0, "no_snapshot"), (1, "not_spanning")]
 
 
+def walk(snaps, diffs, windows):
+    """The replay as a walk: numbers of the diffs with an error."""
+    lids, out, synced, last_u, last_at = [lid for _, lid in snaps], [], False, 0, 0
+    touches = lambda a, z: any(s <= z and e >= a for s, e in windows if s <= e)
+    for i, (at, a, u, pu) in sorted(enumerate(diffs), key=lambda x: (x[1][0], x[0])):
+        spans = any(a <= lid + 1 <= u for lid in lids)
+        if not synced:
+            synced = spans
+            if not spans and not touches(at, at):
+                out.append(i)
+        elif pu != last_u:
+            if touches(last_at, at):
+                synced = spans
+            else:
+                out.append(i)
+        last_u, last_at = u, at
+    return sorted(out)
+
+
+def test_depth_replay_is_the_walk(spark):
+    r, cases = random.Random(5), {}
+    hour, all_rows = 3_600_000_000_000, None
+    for k in range(12):
+        at, u, diffs = 0, 100, []
+        for _ in range(40):
+            at += r.choice([1, 5, hour])
+            size = r.randint(1, 4)
+            diffs.append((at, u + 1, u + size, u if r.random() < 0.7 else u - 7))
+            u += size
+        snaps = [(0, r.randint(95, u + 5)) for _ in range(r.choice([0, 1, 3]))]
+        windows = [(s, s + r.choice([-1, 0, 3, hour])) for s in (r.choice(diffs)[0] + r.choice([-1, 0, 1]) for _ in range(r.choice([0, 2, 5])))]
+        cases[f"s{k}"] = walk(snaps, diffs, windows)
+        b = book(spark, snaps, diffs, windows, f"s{k}")
+        all_rows = b if all_rows is None else all_rows.unionByName(b)
+    got = {k: [] for k in cases}
+    for x in depth.replay_any(all_rows, ["exchange", "symbol", "day"]).collect():
+        got[x.symbol].append(x.row_id)
+    assert {k: sorted(v) for k, v in got.items()} == cases and any(cases.values())
+
+
+def test_resync(spark):
+    b = spark.createDataFrame([("x", "a", 10 * S), ("x", "b", 10 * S), ("x", "c", 10 * S), ("x", "a", 500 * S)], "exchange string, symbol string, broken_at long")
+    probes = spark.createDataFrame([(9 * S, True), (12 * S, False), (20 * S, True), (561 * S, True)], "at long, good boolean")
+    backup = spark.createDataFrame([("x", "a", 15 * S, 7), ("x", "a", 18 * S, 6), ("x", "a", 21 * S, 9), ("x", "b", 30 * S, 1)], "exchange string, symbol string, received_at long, last_u long")
+    snaps = spark.createDataFrame([("x", "b", 19 * S, 50), ("x", "b", 25 * S, 51), ("x", "b", 26 * S, 52)], "exchange string, symbol string, received_at long, lid long")
+    got = {(r.symbol, r.broken_at // S, r.status, r.sync_id, r.synced_at and r.synced_at // S) for r in depth.resync_points(b, probes, backup, snaps).collect()}
+    assert got == {("a", 10, "backup", 7, 20), ("b", 10, "snapshot", 51, 25), ("c", 10, "snapshot_exhausted", None, None), ("a", 500, "producer_unhealthy", None, None)}
+
+
 def test_depth_online():
     d = depth.DepthDetector()
     assert d.diff(1, 2, 0) == "no_sync_point"

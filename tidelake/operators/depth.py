@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import bisect
 from collections import deque
 from collections.abc import Iterator
 
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.payload import json_long
 from tidelake.functions.timeutil import floor_div
 from tidelake.operators import ordered
+from tidelake.operators.intervals import covered_and_gaps
 
 HOUR_NS = 3_600_000_000_000
 BOOK = ["exchange", "symbol"]
@@ -32,60 +32,73 @@ def replay_any(rows: DataFrame, scope: list[str]) -> DataFrame:
     In order of received_at: an unsynced diff must span some snapshot (first_u <= lid + 1 <= last_u), else it is
     an error unless it lies in a gap; a synced one must continue the one before (prev_u = last u). A break that
     lies in a gap, or has one between the two diffs, syncs anew on any snapshot; else it is an error. The walk
-    goes on from the diff's u in any case. One group is a book of one scope (a day), never a whole history.
-    """
-    out = [*scope, "row_id", "error"]
-    kinds = rows.select(*scope, "row_id", "error" if "error" in rows.columns else F.lit("").alias("error")).schema
-    width = len(scope)
+    goes on from the diff's u in any case. Null ids and times count as 0.
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        symbol = key[width - 1] if "symbol" not in scope else key[scope.index("symbol")]
-        lids = sorted(int(x) for x in pdf.loc[pdf["kind"] == "snapshot", "lid"].dropna())
-        g = pdf[(pdf["kind"] == "gap") & pdf["gap_start_ts"].notna() & pdf["gap_end_ts"].notna()]
-        windows = _merged(zip(g["gap_start_ts"].astype("int64"), g["gap_end_ts"].astype("int64")))
-        diffs = pdf[pdf["kind"] == "diff"].sort_values(["received_at", "row_id"], kind="stable")
-        found, synced, last_u, last_at = [], False, 0, 0
-        cols = [diffs[c].astype("Int64") for c in ("row_id", "received_at", "first_u", "last_u", "prev_u")]
-        for rid, at, a, u, pu in zip(*(c.fillna(0).astype("int64") for c in cols)):
-            spans = _any_between(lids, a - 1, u - 1)
-            if not synced:
-                if spans:
-                    synced = True
-                elif not _touches(windows, at, at):
-                    text = "First diff does not span any snapshot sync point" if lids else "Depth diff has no preceding snapshot"
-                    found.append((rid, f"[{symbol}] {text}: U={a} u={u} at {at}"))
-            elif pu != last_u:
-                if _touches(windows, last_at, at):
-                    synced = spans
-                else:
-                    found.append((rid, f"[{symbol}] pu chain break at received_at {at}: expected pu={last_u}, got pu={pu}"))
-            last_u, last_at = u, at
-        return pd.DataFrame([(*key, *f) for f in found], columns=out)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
-    return rows.groupBy(*scope).applyInPandas(run, schema)
-
-
-def _merged(spans) -> tuple[list[int], list[int]]:
-    starts: list[int] = []
-    ends: list[int] = []
-    for s, e in sorted((int(a), int(b)) for a, b in spans if a <= b):
-        if ends and s <= ends[-1]:
-            ends[-1] = max(ends[-1], e)
-        else:
-            starts.append(s)
-            ends.append(e)
-    return starts, ends
-
-
-def _touches(windows: tuple[list[int], list[int]], a: int, z: int) -> bool:
-    i = bisect.bisect_left(windows[1], a)
-    return i < len(windows[0]) and windows[0][i] <= z
-
-
-def _any_between(values: list[int], a: int, z: int) -> bool:
-    i = bisect.bisect_left(values, a)
-    return i < len(values) and values[i] <= z
+    The walk has two states, synced or not, and a row can only turn it on (by spanning) or, as a break in a gap, begin
+    anew. So a row is synced if any row since the last new beginning spans: numbering, running maximum and previous
+    value over hours, without a walk; spans and gaps are as-of lookups on the axes of ids and time.
+    """
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    order = ["received_at", "row_id"]
+    d = rows.where("kind = 'diff'").select(*scope, *(F.lit(None).cast("string").alias(c) for c in ("symbol",) if c not in rows.columns), *([] if "symbol" in scope else [F.col("symbol")]), "row_id", zero("received_at"), zero("first_u"), zero("last_u"), zero("prev_u"))
+    lids = rows.where("kind = 'snapshot' AND lid IS NOT NULL").select(*scope, F.col("lid").alias("t"), F.col("lid").alias("hit")).distinct()
+    u = d.withColumns({"t": F.col("last_u") - 1, "hit": F.lit(None).cast("long")}).unionByName(lids, allowMissingColumns=True).withColumns({"id_block": floor_div("t", 1 << 20), "asks": F.col("hit").isNull().cast("int")})
+    u = ordered.last_known(u, scope, "id_block", ["t", "asks", "row_id"], "hit", "lid").where("asks = 1")
+    d = u.select(*d.columns, F.coalesce(F.col("lid") >= F.col("first_u") - 1, F.lit(False)).cast("int").alias("spans")).withColumn("block", floor_div("received_at", HOUR_NS))
+    d = ordered.previous(d, scope, "block", order, {"last_u": "before_u", "received_at": "before_at"})
+    # Whether a gap touches the stretch from the diff before (or from the diff itself, for the first): merged gaps lie
+    # apart, so the last one that starts by the diff also ends last.
+    gaps = rows.where("kind = 'gap' AND gap_start_ts <= gap_end_ts").select(*scope, "gap_start_ts", "gap_end_ts")
+    gaps = covered_and_gaps(gaps, scope, "gap_start_ts", "gap_end_ts", block=HOUR_NS).where("kind = 'period'").select(*scope, F.col("gap_start_ts").alias("received_at"), F.col("gap_end_ts").alias("upto"))
+    u = d.drop(*[c for c in d.columns if c.startswith("_at_")]).withColumns({"upto": F.lit(None).cast("long"), "asks": F.lit(1)}).unionByName(gaps.withColumns({"asks": F.lit(0), "block": floor_div("received_at", HOUR_NS)}), allowMissingColumns=True)
+    d = ordered.last_known(u, scope, "block", ["received_at", "asks", "row_id"], "upto", "gap_upto").where("asks = 1").drop("upto")
+    off = F.coalesce(F.col("prev_u") != F.col("before_u"), F.lit(False))
+    in_gap = F.coalesce(F.col("gap_upto") >= F.col("received_at"), F.lit(False))
+    since_gap = F.coalesce(F.col("gap_upto") >= F.col("before_at"), F.lit(False))
+    d = d.withColumns({"off": off, "in_gap": in_gap, "since_gap": since_gap, "anew": (off & since_gap).cast("int")})
+    d = ordered.running_sum(d, scope, "block", order, "anew", "leg")
+    d = ordered.running_max(d, [*scope, "leg"], "block", order, "spans", "spanned")
+    d = d.withColumn("synced_after", F.greatest("spans", F.coalesce("spanned", F.lit(0))))
+    d = ordered.previous(d, scope, "block", order, {"synced_after": "synced"})
+    synced = F.coalesce(F.col("synced") == 1, F.lit(False))
+    any_lid = lids.select(*scope).distinct().withColumn("has_lid", F.lit(True))
+    d = d.where(F.when(synced, F.col("off") & ~F.col("since_gap")).otherwise((F.col("spans") == 0) & ~F.col("in_gap"))).join(any_lid, scope, "left")
+    # The texts of replay errors.
+    chain = F.format_string("[%s] pu chain break at received_at %d: expected pu=%d, got pu=%d", "symbol", "received_at", "before_u", "prev_u")
+    why = F.when(F.col("has_lid"), "First diff does not span any snapshot sync point").otherwise("Depth diff has no preceding snapshot")
+    first = F.format_string("[%s] %s: U=%d u=%d at %d", F.col("symbol"), why, F.col("first_u"), F.col("last_u"), F.col("received_at"))
+    return d.select(*scope, "row_id", F.when(synced, chain).otherwise(first).alias("error"))
+
+
+def resync_points(breaks: DataFrame, probes: DataFrame, backup: DataFrame, snapshots: DataFrame, wait_ns: int = 60_000_000_000) -> DataFrame:
+    """How each broken book gets in sync again: breaks (exchange, symbol, broken_at) with status, sync_id, synced_at.
+
+    First the producer must be healthy: the first good probe (at, good) from the break on, within wait_ns, else status
+    producer_unhealthy. Then the greatest u that the backup has delivered by then (rows of backup: exchange, symbol,
+    received_at, last_u) is the sync point (backup); without one the next snapshot (received_at, lid) from then on
+    (snapshot); without that snapshot_exhausted. All lookups are as-of passes, hour by hour.
+    """
+    none = F.lit(None).cast("long")
+    b = breaks.select(*BOOK, F.col("broken_at").alias("t")).distinct()
+
+    def following(asked: DataFrame, given: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+        """asked (t) with the value of the first row of given (t) at or after t."""
+        u = asked.withColumns({value: none, "asks": F.lit(1)}).unionByName(given.withColumn("asks", F.lit(0)), allowMissingColumns=True)
+        u = u.withColumn("rt", -F.col("t")).withColumn("block", floor_div("rt", HOUR_NS))
+        d = ordered.last_known(u, keys, "block", ["rt", "asks"], value, name).where("asks = 1")
+        return d.select(*asked.columns, name)
+
+    good = probes.where("good").select(F.lit(1).alias("all"), F.col("at").alias("t"), F.col("at").alias("hit")).distinct()
+    b = following(b.withColumn("all", F.lit(1)), good, ["all"], "hit", "healthy_at").drop("all")
+    b = b.withColumn("ready", F.when(F.col("healthy_at") <= F.col("t") + wait_ns, F.col("healthy_at")))
+    ready = b.where("ready IS NOT NULL").select(*BOOK, F.col("t").alias("broken_at"), F.col("ready").alias("t"))
+    u = ready.withColumns({"last_u": none, "asks": F.lit(1)}).unionByName(backup.where("received_at IS NOT NULL AND last_u IS NOT NULL").select(*BOOK, F.col("received_at").alias("t"), "last_u").withColumn("asks", F.lit(0)), allowMissingColumns=True).withColumn("block", floor_div("t", HOUR_NS))
+    u = ordered.running_max(u, BOOK, "block", ["t", "asks", "last_u"], "last_u", "backup_u").where("asks = 1")
+    s = snapshots.where("received_at IS NOT NULL AND lid IS NOT NULL").groupBy(*BOOK, F.col("received_at").alias("t")).agg(F.max("lid").alias("lid"))
+    at = following(u.select(*BOOK, "broken_at", "t", "backup_u"), s.withColumn("hit", F.col("t")).drop("lid"), BOOK, "hit", "snapshot_at").join(s.withColumnsRenamed({"t": "snapshot_at"}), [*BOOK, "snapshot_at"], "left")
+    out = b.withColumnRenamed("t", "broken_at").join(at.drop("t"), [*BOOK, "broken_at"], "left")
+    status = F.when(F.col("ready").isNull(), "producer_unhealthy").when(F.col("backup_u").isNotNull(), "backup").when(F.col("lid").isNotNull(), "snapshot").otherwise("snapshot_exhausted")
+    return out.select(*BOOK, "broken_at", status.alias("status"), F.coalesce("backup_u", "lid").alias("sync_id"), F.when(F.col("backup_u").isNotNull(), F.col("ready")).otherwise(F.col("snapshot_at")).alias("synced_at"))
 
 
 def replay_asof(rows: DataFrame, scope: list[str]) -> DataFrame:

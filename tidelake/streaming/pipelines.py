@@ -134,12 +134,13 @@ class ParkedGaps:
         one = F.min_by(F.struct(*rest), F.struct("received_at", "gap_end_ts")).alias("r")
         gaps = new.groupBy(*keys, "gap_start_ts").agg(one, F.max("gap_end_ts").alias("gap_end_ts")).select(*keys, "gap_start_ts", "gap_end_ts", "r.*")
         gaps = gaps.withColumn("gap_no", F.xxhash64(*keys, "gap_start_ts"))
-        judged = coverage.suppress_covered(gaps, last, self.grace_ns, parked="_parked").crossJoin(F.broadcast(top.agg(F.max("received_at").alias("_now"))))
-        waits = F.col("parked") & ~F.col("covered") & (F.col("received_at") + self.grace_ns >= F.col("_now"))
+        clock = top.agg(F.max("received_at")).first()[0]
+        judged = coverage.suppress_covered(gaps, last, self.grace_ns, parked="_parked")
+        waits = F.col("parked") & ~F.col("covered") & (F.col("received_at") + self.grace_ns >= F.lit(clock))
         judged = write_cut(judged.withColumn("_waits", F.coalesce(waits, F.lit(False))), "judged", self.spark)
         judged.where("NOT _waits").select(*batch.columns, "covered").write.mode("overwrite").parquet(f"{self.base}/out/batch={number}")
         judged.where("_waits").select(*batch.columns).withColumn("_parked", F.lit(True)).write.mode("overwrite").parquet(f"{self.base}/parked/batch={number}")
-        now = top.agg(F.max("received_at").alias("received_at")).select(*(F.lit(None).cast("string").alias(c) for c in keys), "received_at")
+        now = self.spark.range(1).select(*(F.lit(None).cast("string").alias(c) for c in keys), F.lit(clock).cast("long").alias("received_at"))
         last.groupBy(*keys).agg(F.max("received_at").alias("received_at")).unionByName(now).write.mode("overwrite").parquet(f"{self.base}/last/batch={number}")
         drop_cut(judged)
 
