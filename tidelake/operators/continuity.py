@@ -99,9 +99,8 @@ def session_changes(df: DataFrame) -> DataFrame:
 
 def silences(df: DataFrame, threshold_ns: int) -> DataFrame:
     """Stretches of more than threshold between successive rows (of any kind of sign of life) of a stream."""
-    d = df.where("received_at IS NOT NULL").select(*KEYS, "received_at").distinct().withColumn("block", floor_div("received_at", HOUR_NS))
-    d = ordered.previous(d, KEYS, "block", ["received_at"], {"received_at": "last"})
-    return d.where(F.col("received_at") - F.col("last") > threshold_ns).select(*KEYS, F.col("last").alias("silent_from"), F.col("received_at").alias("silent_to"))
+    d = ordered.silent_before(df, KEYS, "received_at", threshold_ns).where("last IS NOT NULL")
+    return d.select(*KEYS, F.col("last").alias("silent_from"), F.col("next").alias("silent_to"))
 
 
 def uncovered_silences(signs: DataFrame, gaps: DataFrame, threshold_ns: int = 30_000_000_000, keyed: bool = True) -> DataFrame:

@@ -53,17 +53,16 @@ def failover_intervals(arrivals: DataFrame, silence_ns: int = 5 * S, recovery_ns
     arrivals: names, received_at of primary rows. Output: active_from, active_to (null: still going on is not
     known from past rows, so every interval here ended or stays open after the last row).
     """
-    a = arrivals.where("received_at IS NOT NULL").select(*KEYS, "received_at").distinct().withColumn("block", floor_div("received_at", HOUR_NS))
-    a = ordered.previous(a, KEYS, "block", ["received_at"], {"received_at": "last"})
-    a = a.withColumn("new", F.coalesce((F.col("received_at") - F.col("last") > silence_ns).cast("int"), F.lit(1)))
-    runs = ordered.islands(a, KEYS, "block", ["received_at"], "new", [F.min("received_at").alias("first"), F.max("received_at").alias("until")])
+    a = arrivals.where("received_at IS NOT NULL").select(*KEYS, "received_at")
+    runs = ordered.silent_before(a, KEYS, "received_at", silence_ns).withColumn("rt", -F.col("next")).withColumn("block", floor_div("rt", 24 * HOUR_NS))
+    # From later to earlier: the row before a run's is the next run, whose `last` ends this one.
+    runs = ordered.previous(runs, KEYS, "block", ["rt"], {"last": "until"})
+    ends = a.groupBy(*KEYS).agg(F.max("received_at").alias("end"))
+    runs = runs.select(*KEYS, "last", F.col("next").alias("first"), "until", "rt", "block").join(ends, KEYS).withColumn("until", F.coalesce("until", "end"))
     # A run of rows without silence ends the failover if it lasts recovery_ns; the next one begins after it.
-    runs = runs.withColumn("long", (F.col("until") - F.col("first") >= recovery_ns) | (F.col("island") == 1)).withColumn("block", floor_div("first", 24 * HOUR_NS))
-    ends = runs.withColumn("ends", F.col("long").cast("int"))
-    ends = ordered.running_sum(ends, KEYS, "block", ["first"], "ends", "spell")
-    spell = ends.groupBy(*KEYS, "spell").agg(F.max(F.when(F.col("long"), F.col("until"))).alias("until"), F.max(F.when(F.col("long"), F.col("first"))).alias("first"), F.count("*").alias("runs"))
-    nxt = spell.select(*KEYS, (F.col("spell") - 1).alias("spell"), (F.col("first") + recovery_ns).alias("active_to"))
-    return spell.join(nxt, [*KEYS, "spell"], "left").select(*KEYS, (F.col("until") + silence_ns).alias("active_from"), "active_to")
+    long = runs.where((F.col("until") - F.col("first") >= recovery_ns) | F.col("last").isNull()).select(*KEYS, "first", "until", "rt", "block")
+    long = ordered.previous(long, KEYS, "block", ["rt"], {"first": "next_first"})
+    return long.select(*KEYS, (F.col("until") + silence_ns).alias("active_from"), (F.col("next_first") + recovery_ns).alias("active_to"))
 
 
 def route(df: DataFrame, failovers: DataFrame) -> DataFrame:

@@ -35,8 +35,8 @@ def replay_any(rows: DataFrame, scope: list[str]) -> DataFrame:
     goes on from the diff's u in any case. Null ids and times count as 0.
 
     The walk has two states, synced or not, and a row can only turn it on (by spanning) or, as a break in a gap, begin
-    anew. So a row is synced if any row since the last new beginning spans: numbering, running maximum and previous
-    value over hours, without a walk; spans and gaps are as-of lookups on the axes of ids and time.
+    anew. So the last row before that did either decides on a row: lookups over hours, without a walk; spans and gaps
+    are lookups too, on the axes of ids and time.
     """
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     order = ["received_at", "row_id"]
@@ -44,22 +44,19 @@ def replay_any(rows: DataFrame, scope: list[str]) -> DataFrame:
     lids = rows.where("kind = 'snapshot' AND lid IS NOT NULL").select(*scope, F.col("lid").alias("t"), F.col("lid").alias("hit")).distinct()
     u = d.withColumns({"t": F.col("last_u") - 1, "hit": F.lit(None).cast("long")}).unionByName(lids, allowMissingColumns=True).withColumns({"id_block": floor_div("t", 1 << 20), "asks": F.col("hit").isNull().cast("int")})
     u = ordered.last_known(u, scope, "id_block", ["t", "asks", "row_id"], "hit", "lid").where("asks = 1")
-    d = u.select(*d.columns, F.coalesce(F.col("lid") >= F.col("first_u") - 1, F.lit(False)).cast("int").alias("spans")).withColumn("block", floor_div("received_at", HOUR_NS))
-    d = ordered.previous(d, scope, "block", order, {"last_u": "before_u", "received_at": "before_at"})
+    d = u.select(*d.columns, F.coalesce(F.col("lid") >= F.col("first_u") - 1, F.lit(False)).cast("int").alias("spans"), F.struct("last_u", "received_at").alias("own"))
     # Whether a gap touches the stretch from the diff before (or from the diff itself, for the first): merged gaps lie
     # apart, so the last one that starts by the diff also ends last.
     gaps = rows.where("kind = 'gap' AND gap_start_ts <= gap_end_ts").select(*scope, "gap_start_ts", "gap_end_ts")
     gaps = covered_and_gaps(gaps, scope, "gap_start_ts", "gap_end_ts", block=HOUR_NS).where("kind = 'period'").select(*scope, F.col("gap_start_ts").alias("received_at"), F.col("gap_end_ts").alias("upto"))
-    u = d.drop(*[c for c in d.columns if c.startswith("_at_")]).withColumns({"upto": F.lit(None).cast("long"), "asks": F.lit(1)}).unionByName(gaps.withColumns({"asks": F.lit(0), "block": floor_div("received_at", HOUR_NS)}), allowMissingColumns=True)
-    d = ordered.last_known(u, scope, "block", ["received_at", "asks", "row_id"], "upto", "gap_upto").where("asks = 1").drop("upto")
+    u = d.withColumns({"upto": F.lit(None).cast("long"), "asks": F.lit(1)}).unionByName(gaps.withColumn("asks", F.lit(0)), allowMissingColumns=True).withColumn("block", floor_div("received_at", HOUR_NS))
+    d = ordered.lookups(u, scope, "block", ["received_at", "asks", "row_id"], {"gap_upto": "upto"}, {"before": "own"}).where("asks = 1").withColumns({"before_u": F.col("before.last_u"), "before_at": F.col("before.received_at")}).drop("upto", "own", "before")
     off = F.coalesce(F.col("prev_u") != F.col("before_u"), F.lit(False))
     in_gap = F.coalesce(F.col("gap_upto") >= F.col("received_at"), F.lit(False))
     since_gap = F.coalesce(F.col("gap_upto") >= F.col("before_at"), F.lit(False))
-    d = d.withColumns({"off": off, "in_gap": in_gap, "since_gap": since_gap, "anew": (off & since_gap).cast("int")})
-    d = ordered.running_sum(d, scope, "block", order, "anew", "leg")
-    d = ordered.running_max(d, [*scope, "leg"], "block", order, "spans", "spanned")
-    d = d.withColumn("synced_after", F.greatest("spans", F.coalesce("spanned", F.lit(0))))
-    d = ordered.previous(d, scope, "block", order, {"synced_after": "synced"})
+    d = d.withColumns({"off": off, "in_gap": in_gap, "since_gap": since_gap})
+    d = d.withColumn("turn", F.when(F.col("spans") == 1, 1).when(F.col("off") & F.col("since_gap"), 0))
+    d = ordered.lookups(d, scope, "block", ["received_at", "asks", "row_id"], {}, {"synced": "turn"})
     synced = F.coalesce(F.col("synced") == 1, F.lit(False))
     any_lid = lids.select(*scope).distinct().withColumn("has_lid", F.lit(True))
     d = d.where(F.when(synced, F.col("off") & ~F.col("since_gap")).otherwise((F.col("spans") == 0) & ~F.col("in_gap"))).join(any_lid, scope, "left")
@@ -109,15 +106,13 @@ def replay_asof(rows: DataFrame, scope: list[str]) -> DataFrame:
     """
     from tidelake.operators.overlap import overlapping
 
-    d = rows.where("received_at IS NOT NULL AND kind <> 'gap'").withColumn("block", floor_div("received_at", HOUR_NS))
-    d = d.withColumn("is_diff", (F.col("kind") == "diff").cast("int")).where("kind = 'diff' OR lid IS NOT NULL")
-    order = ["received_at", "is_diff", "row_id"]
-    d = d.withColumn("one", 1 - F.col("is_diff"))
-    d = ordered.running_sum(d, scope, "block", order, "one", "epoch")
-    d = ordered.last_known(d, scope, "block", order, "lid", "anchor").where("kind = 'diff'")
-    d = ordered.previous(d, [*scope, "epoch"], "block", order, {"last_u": "before_u", "received_at": "before_at"})
+    d = rows.where("received_at IS NOT NULL AND (kind = 'diff' OR (kind = 'snapshot' AND lid IS NOT NULL))").withColumns({"block": floor_div("received_at", HOUR_NS), "is_diff": (F.col("kind") == "diff").cast("int")})
+    is_diff = F.col("is_diff") == 1
+    d = d.withColumns({"lid": F.when(~is_diff, F.col("lid")), "own": F.struct(F.when(is_diff, F.col("last_u")).alias("u"), F.when(is_diff, F.col("received_at")).alias("at"))})
+    # The row before a diff is another diff of its epoch, or the snapshot that begins it.
+    d = ordered.lookups(d, scope, "block", ["received_at", "is_diff", "row_id"], {"anchor": "lid"}, {"before": "own"}).where(is_diff).withColumns({"before_u": F.col("before.u"), "before_at": F.col("before.at")})
     spans = (F.col("first_u") <= F.col("anchor") + 1) & (F.col("last_u") >= F.col("anchor") + 1)
-    bad = F.when(F.col("epoch") == 0, "no_snapshot").when(F.col("before_at").isNull() & ~spans, "not_spanning").when(F.col("before_at").isNotNull() & (F.col("prev_u") != F.col("before_u")), "chain_break")
+    bad = F.when(F.col("anchor").isNull(), "no_snapshot").when(F.col("before_at").isNull() & ~spans, "not_spanning").when(F.col("before_at").isNotNull() & (F.col("prev_u") != F.col("before_u")), "chain_break")
     errors = d.withColumn("error", bad).where("error IS NOT NULL").withColumn("from_at", F.coalesce("before_at", "received_at"))
     gaps = rows.where("kind = 'gap' AND gap_start_ts <= gap_end_ts").select(*scope, "gap_start_ts", "gap_end_ts").distinct()
     excused = overlapping(errors.select(*scope, "row_id", "from_at", "received_at"), gaps, scope, ("from_at", "received_at"), ("gap_start_ts", "gap_end_ts"), 6 * HOUR_NS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions.names import NAMES
@@ -14,11 +14,20 @@ KEYS = list(NAMES)
 
 
 def consumer_outages(arrivals: DataFrame, time_ns: str, limit_ns: int = 30 * S) -> DataFrame:
-    """Stretches of more than limit without any arrival at all: gap_start_ts, gap_end_ts. The arrivals are reduced to
-    one row for each instant and hour block before they are put in order."""
-    d = arrivals.where(F.col(time_ns).isNotNull()).select(F.col(time_ns).alias("t")).distinct().withColumns({"all": F.lit(1), "block": floor_div("t", HOUR_NS)})
-    d = ordered.previous(d, ["all"], "block", ["t"], {"t": "last"})
-    return d.where(F.col("t") - F.col("last") > limit_ns).select(F.col("last").alias("gap_start_ts"), F.col("t").alias("gap_end_ts"), F.lit("kafka_consumer_outage").alias("reason"))
+    """Stretches of more than limit without any arrival at all: gap_start_ts, gap_end_ts. Of the whole lake's arrivals only
+    the first and the last of each stretch of that length are put in order."""
+    d = ordered.silent_before(arrivals.select(F.lit(1).alias("all"), F.col(time_ns).alias("t")), ["all"], "t", limit_ns).where("last IS NOT NULL")
+    return d.select(F.col("last").alias("gap_start_ts"), F.col("next").alias("gap_end_ts"), F.lit("kafka_consumer_outage").alias("reason"))
+
+
+# How a full disk and an unreachable state store show themselves.
+DISK_FULL = "No space left on device"
+CONNECTION_STATES = ("08", "57P")
+
+
+def hold_reason(message: Column, sql_state: Column) -> Column:
+    """disk_full_hold or pg_outage_hold if an error calls for one, else null."""
+    return F.when(message.contains(DISK_FULL), "disk_full_hold").when(F.left(sql_state, F.lit(2)).isin(*CONNECTION_STATES) | F.left(sql_state, F.lit(3)).isin(*CONNECTION_STATES), "pg_outage_hold")
 
 
 def producer_states(probes: DataFrame, keys: list[str], time_ns: str, failed: str, pause_after_ns: int = 30 * S) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelake.functions.timeutil import floor_div
+
 
 def _within(df: DataFrame, keys: list[str], block: str, order: list[str]) -> tuple[DataFrame, WindowSpec, str]:
     """df with its keys and block as one struct (equal where its fields are, nulls too), the window inside it, and its
@@ -69,6 +71,27 @@ def last_known(df: DataFrame, keys: list[str], block: str, order: list[str], val
     return out.withColumn(name, F.coalesce("_p", "_b")).drop("_p", "_b")
 
 
+def lookups(df: DataFrame, keys: list[str], block: str, order: list[str], up_to: dict[str, str], before: dict[str, str]) -> DataFrame:
+    """Several last known values in one pass: df with, for each (name: column) of up_to, the last non-null value up to and
+    with this row, and for each of before, the last one of the rows before it. What all of them hand from block to
+    block is one row, so the rows are shuffled, sorted and joined once however many values there are."""
+    d, own, at = _within(df, keys, block, order)
+    every = {**{n: (c, 0) for n, c in up_to.items()}, **{n: (c, -1) for n, c in before.items()}}
+    inside = d.withColumns({f"_p_{n}": F.last(c, ignorenulls=True).over(own.rowsBetween(W.unboundedPreceding, upto)) for n, (c, upto) in every.items()})
+    end = {n: F.col(f"_end._p_{n}") if upto == 0 else F.coalesce(F.col(f"_end.{c}"), F.col(f"_end._p_{n}")) for n, (c, upto) in every.items()}
+    out = _carry(inside, at, order, len(keys), lambda w: F.struct(*(F.last(e, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1)).alias(n) for n, e in end.items())))
+    return out.withColumns({n: F.coalesce(f"_p_{n}", f"_b.{n}") for n in every}).drop("_b", *(f"_p_{n}" for n in every))
+
+
+def silent_before(df: DataFrame, keys: list[str], time: str, width: int, blocks: int = 4096) -> DataFrame:
+    """keys, last, next: every pair of successive times of the keys that lie more than width apart, and of each key's first
+    time a row with null last. The times are first reduced to the least and the greatest of each stretch of that width,
+    inside which nothing is silent for so long; only those are put in order, in blocks of so many stretches."""
+    d = df.where(F.col(time).isNotNull()).groupBy(*keys, floor_div(time, width).alias("_w")).agg(F.min(time).alias("next"), F.max(time).alias("_z"))
+    d = previous(d.withColumn("_block", floor_div("_w", blocks)), keys, "_block", ["_w"], {"_z": "last"})
+    return d.where(F.col("last").isNull() | (F.col("next") - F.col("last") > width)).select(*keys, "last", "next")
+
+
 def islands(df: DataFrame, keys: list[str], block: str, order: list[str], new: str, aggregates: list) -> DataFrame:
     """Gaps and islands: a row with new = 1 starts an island of its keys; one row for each island (island: its number)."""
     return running_sum(df, keys, block, order, new, "island").groupBy(*keys, "island").agg(*aggregates)
