@@ -91,6 +91,11 @@ def scope_dates(start_ms: Column | str, end_ms: Column | str) -> Column:
     return F.sequence(day(start_ms), F.greatest(day(start_ms), day(end_ms)))
 
 
+def session_id(collector: Column | str, ts_ns: Column | str) -> Column:
+    """collector_2021-02-01T00:00:00Z: the name of a collector's session that began then."""
+    return F.concat(_c(collector), F.lit("_"), F.date_format(F.timestamp_seconds(floor_div(ts_ns, 1_000_000_000)), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
 def next_daily_run(now_ns: int, hour: int = 2, minute: int = 30) -> int:
     """Epoch ns of the next hour:minute UTC, strictly after now."""
     day = DAY_MS * 1_000_000

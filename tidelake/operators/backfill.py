@@ -92,6 +92,41 @@ def fetch_pages(missing: DataFrame, provider: Callable[[str, str, str, int, int]
     return spread(missing.select(*NAMES, "start_ms"), "start_ms").mapInPandas(run, "exchange string, symbol string, stream string, hour_start_ms bigint, raw_text string, error string, unavailable boolean")
 
 
+def poll(targets: DataFrame, provider: Callable[[str, str, str], str], received_at: int, session: str, miss: str, tries: int = 3, first_s: float = 1.0) -> DataFrame:
+    """One poll (open interest, depth snapshot) of each target (names): data envelopes with the payload that provider(
+    exchange, symbol, stream) gives, its retries included; for a target that gives none a gap envelope of reason
+    snapshot_poll_miss, with miss as its text. Runs on the executors."""
+    from tidelake.functions.payload import payload_exchange_ts
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for r in f.itertuples(index=False):
+                try:
+                    rows.append((r.exchange, r.symbol, r.stream, with_retries(lambda: provider(r.exchange, r.symbol, r.stream), tries, first_s)))  # noqa: B023
+                except Exception:  # noqa: BLE001 - a miss is a row of its own
+                    rows.append((r.exchange, r.symbol, r.stream, None))
+            yield pd.DataFrame(rows, columns=[*NAMES, "raw_text"])
+
+    d = spread(targets.select(*NAMES).distinct(), "symbol").mapInPandas(run, "exchange string, symbol string, stream string, raw_text string")
+    got = F.col("raw_text").isNotNull()
+    at = F.lit(received_at).cast("long")
+    return d.select(
+        F.lit(1).alias("v"), F.when(got, "data").otherwise("gap").alias("type"), *NAMES, at.alias("received_at"), F.when(got, F.coalesce(payload_exchange_ts("stream", "raw_text"), F.lit(0).cast("long"))).alias("exchange_ts"),
+        F.lit(session).alias("collector_session_id"), F.lit(-1).cast("long").alias("session_seq"), "raw_text", F.sha2(F.col("raw_text").cast("binary"), 256).alias("raw_sha256"),
+        F.when(~got, at).alias("gap_start_ts"), F.when(~got, at).alias("gap_end_ts"), F.when(~got, "snapshot_poll_miss").alias("reason"), F.when(~got, miss).alias("detail"),
+    )
+
+
+def kline_closes(pages: DataFrame, page: str, name: str) -> DataFrame:
+    """pages with t (opening time in ms) and the closing price of each candle of a page: a JSON array of arrays that
+    begin with time, open, high, low, close as numbers or texts. Candles that aren't so are left out."""
+    candles = F.explode(F.from_json(page, "array<array<string>>"))
+    d = pages.select(*[c for c in pages.columns if c != page], candles.alias("_c"))
+    d = d.withColumns({"t": F.get("_c", F.lit(0)).try_cast("long"), name: F.get("_c", F.lit(4)).try_cast("double")})
+    return d.where(F.col("t").isNotNull() & F.col(name).isNotNull()).drop("_c")
+
+
 def summary(done: DataFrame) -> DataFrame:
     """One row over the hours of a backfill (status, records): attempted, written, records, empty, unavailable, failed,
     and not_backfillable ones, which aren't attempted."""

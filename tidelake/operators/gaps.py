@@ -131,3 +131,47 @@ def fan_out(state_gaps: DataFrame, streams: DataFrame, on: list[str], strict: bo
     out = state_gaps.join(streams, on, "left" if strict else "inner")
     names = [c for c in streams.columns if c not in on]
     return out.withColumns({c: F.coalesce(c, F.lit("")) for c in names}).withColumn("detail", F.concat(F.coalesce("detail", F.lit("")), F.lit("; fanout=true")))
+
+
+def gap_envelopes(gaps: DataFrame, session: Column, received_at: Column, session_seq: Column | None = None, topic: Column | None = None) -> DataFrame:
+    """Gaps (names, gap_start_ts, gap_end_ts, reason, detail; a null bound is the time of emission) as the envelopes that
+    a collector or writer emits; what has no place in a session or at a broker has -1 there. Other columns of gaps,
+    such as a restart's classification, go along."""
+    core = ["v", "type", *KEYS, "received_at", "collector_session_id", "session_seq", "gap_start_ts", "gap_end_ts", "reason", "detail", "_topic", "_partition", "_offset"]
+    at = received_at.cast("long")
+    none = F.lit(-1).cast("long")
+    values = {
+        "v": F.lit(1), "type": F.lit("gap"), "received_at": at, "collector_session_id": session, "session_seq": none if session_seq is None else session_seq,
+        "gap_start_ts": F.coalesce("gap_start_ts", at), "gap_end_ts": F.coalesce("gap_end_ts", at), "_topic": F.lit("") if topic is None else topic, "_partition": F.lit(0), "_offset": none,
+    }
+    return gaps.select(*(values[c].alias(c) if c in values else F.col(c) for c in core), *[c for c in gaps.columns if c not in core])
+
+
+def recovery_gaps(first_rows: DataFrame, checkpoints: DataFrame, evidence: DataFrame) -> DataFrame:
+    """The restart gap of each stream that has a checkpoint: from its last row before to its first row after a restart,
+    classified (component, cause, planned, evidence; see classify_restarts).
+
+    first_rows: names, received_at, collector_session_id of the first row. checkpoints: names, last_received_at,
+    last_collector_session_id and clean (see state.clean_shutdowns). evidence: at most one row with previous_boot,
+    current_boot, collector_clean, system_clean, intent_id, intent_expires_ms, now_ms, host_intent, died; without one
+    the sessions alone decide."""
+    from tidelake.operators.classify import classify_restarts
+
+    e = evidence.limit(1).collect()
+    told = e[0].asDict() if e else {}
+    kinds = {"previous_boot": "string", "current_boot": "string", "collector_clean": "boolean", "system_clean": "boolean", "intent_id": "string", "intent_expires_ms": "bigint", "now_ms": "bigint", "host_intent": "boolean", "died": "array<string>"}
+    const = {c: F.array(*map(F.lit, told[c])).cast(k) if c == "died" and told.get(c) is not None else F.lit(told.get(c)).cast(k) for c, k in kinds.items()}
+    d = first_rows.select(*KEYS, F.col("received_at").alias("gap_end_ts"), F.col("collector_session_id").alias("current_session")).join(checkpoints.where("last_received_at IS NOT NULL").select(*KEYS, F.col("last_received_at").alias("gap_start_ts"), F.col("last_collector_session_id").alias("previous_session"), F.col("clean").alias("_clean")), KEYS)
+    d = d.withColumns(const).withColumn("collector_clean", F.coalesce("collector_clean", F.lit(False)) | F.col("_clean"))
+    # Fixed value: the text of restart gaps.
+    return classify_restarts(d).select(*KEYS, "gap_start_ts", "gap_end_ts", F.lit("restart_gap").alias("reason"), F.lit("writer restart detected").alias("detail"), "component", "cause", "planned", "evidence", F.col("intent_id").alias("maintenance_id"), F.col("current_session").alias("collector_session_id"))
+
+
+def writer_gaps(gaps: DataFrame, data: DataFrame, bypass: Column | None = None, grace_ns: int = 10_000_000_000) -> DataFrame:
+    """The gaps (gap_no, names, source, reason, gap_start_ts, received_at, and others) that a writer archives: those that
+    the other source covers are suppressed, unless bypass, by which gaps known to be uncovered and those of a shutdown
+    are written in any case."""
+    from tidelake.operators.coverage import suppress_covered
+
+    d = suppress_covered(gaps, data, grace_ns).where(~F.col("covered") | (F.lit(False) if bypass is None else F.coalesce(bypass, F.lit(False))))
+    return d.select(*gaps.columns)

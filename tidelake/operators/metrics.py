@@ -11,6 +11,10 @@ from tidelake.functions.timeutil import floor_div
 # Upper bounds of the latency buckets in ms.
 LATENCY_BUCKETS = (1, 5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 10000)
 
+#: The same for the time that a flush takes (ms), and for how long a failover lasts (s).
+FLUSH_BUCKETS = LATENCY_BUCKETS
+FAILOVER_BUCKETS = (1, 5, 10, 30, 60, 120, 300, 600, 1800, 3600)
+
 
 def histogram(df: DataFrame, by: list[str], value: str, bounds: tuple[int, ...] = LATENCY_BUCKETS) -> DataFrame:
     """Cumulative counts: by, le (null: any), n. One aggregation with a counter for each bucket."""

@@ -62,3 +62,26 @@ def active_intent(intents: DataFrame, now: Column | None = None) -> DataFrame:
 def prune(ledger: DataFrame, now_ns: int, days: int = 7) -> DataFrame:
     """Ledger rows of the last days; rows without time stay."""
     return ledger.where(F.col("ts_ns").isNull() | (F.col("ts_ns") >= now_ns - days * 86_400_000_000_000))
+
+
+def component_state(events: DataFrame) -> DataFrame:
+    """State of each (component, instance_id) from its events: register (host_boot_id), heartbeat, and shutdown (planned,
+    maintenance_id), each with at_ms. Any order and repetition of events gives the same; a shutdown before the last
+    register no longer counts."""
+    is_ = lambda kind: F.col("event") == kind
+    down = F.max(F.when(is_("shutdown"), F.struct("at_ms", "planned", "maintenance_id"))).alias("down")
+    d = events.groupBy("component", "instance_id").agg(
+        F.max(F.when(is_("register"), F.struct("at_ms", "host_boot_id"))).alias("up"),
+        F.max(F.when(is_("register") | is_("heartbeat"), F.col("at_ms"))).alias("last_heartbeat_ms"),
+        down,
+    )
+    gone = F.col("down.at_ms") >= F.coalesce("up.at_ms", "down.at_ms")
+    return d.select("component", "instance_id", F.col("up.host_boot_id").alias("host_boot_id"), F.col("up.at_ms").alias("started_ms"), "last_heartbeat_ms", *(F.when(gone, F.col(f"down.{c}")).alias(n) for c, n in (("at_ms", "clean_shutdown_ms"), ("planned", "planned"), ("maintenance_id", "maintenance_id"))))
+
+
+def clean_shutdowns(checkpoints: DataFrame, ledger: DataFrame, session: str = "last_collector_session_id") -> DataFrame:
+    """checkpoints with clean: whether the last entry that the lifecycle journal has of their session is a clean
+    shutdown (false for a session that it doesn't know). The journal is reduced to one row for each session first."""
+    last = ledger.where("collector_session_id IS NOT NULL").groupBy(F.col("collector_session_id").alias("_session")).agg(F.max(F.struct("ts_ns", (F.col("event") == "clean_shutdown").alias("clean"))).alias("_l"))
+    d = checkpoints.join(last, F.col(session) == F.col("_session"), "left")
+    return d.select(*[F.col(c) for c in checkpoints.columns], F.coalesce("_l.clean", F.lit(False)).alias("clean"))

@@ -264,8 +264,8 @@ def _key(stream: str, row: dict) -> int:
     if name:
         try:
             raw = json.loads(row.get("raw_text") or "{}")
-            if isinstance(raw, dict) and isinstance(raw.get(name), int):
-                return raw[name]
+            if isinstance(raw, dict) and isinstance(raw.get(name), (int, str)):
+                return int(raw[name])
         except ValueError:
             pass
     return row.get("exchange_ts") or 0
