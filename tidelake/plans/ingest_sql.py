@@ -56,7 +56,7 @@ d AS (SELECT *, EXISTS (SELECT 1 FROM sn WHERE sn.exchange = d1.exchange AND sn.
 r(exchange, utc_date, symbol, n, was, now) AS (SELECT exchange, utc_date, symbol, n, false, spans FROM d WHERE n = 1
   UNION ALL SELECT d.exchange, d.utc_date, d.symbol, d.n, r.now, CASE WHEN NOT r.now THEN d.spans WHEN d.pu <> d.last_u AND d.since THEN d.spans ELSE true END
   FROM r JOIN d ON d.exchange = r.exchange AND d.utc_date = r.utc_date AND d.symbol = r.symbol AND d.n = r.n + 1)
-SELECT exchange, utc_date, symbol, row_id, CASE WHEN was THEN format('[{{}}] pu chain break rt received_at {{}}: expected pu={{}}, got pu={{}}', symbol, rt, last_u, pu)
+SELECT exchange, utc_date, symbol, row_id, CASE WHEN was THEN format('[{{}}] pu chain break at received_at {{}}: expected pu={{}}, got pu={{}}', symbol, rt, last_u, pu)
   ELSE format('[{{}}] {{}}: U={{}} u={{}} at {{}}', symbol, CASE WHEN EXISTS (SELECT 1 FROM sn WHERE sn.exchange = d.exchange AND sn.utc_date = d.utc_date AND sn.symbol = d.symbol) THEN 'First diff does not span any snapshot sync point' ELSE 'Depth diff has no preceding snapshot' END, u0, u1, rt) END AS error
 FROM d JOIN r USING (exchange, utc_date, symbol, n) WHERE CASE WHEN was THEN pu <> last_u AND NOT since ELSE NOT spans AND NOT here END"""
 
