@@ -191,6 +191,35 @@ def test_audit_and_backfill(lake, spark):
     assert lake.mark_maintenance("m", "all", "me", "because").first().expires_ms == lake.now_ms + 3_600_000
 
 
+def hours_of(exchange, symbol, stream, a, z):
+    return [json.dumps({"T": a, "a": a})] if a < DAY0 + 3 * 3_600_000 else []
+
+
+def test_audit_commands_and_their_codes(lake, spark, tmp_path, capsys):
+    put(lake.base, "hour-0.jsonl.zst", [envelope(1, 0, 0)])
+    put(lake.base, "hour-23.jsonl.zst", [envelope(2, 23, 1)])
+    state, data, report = (str(tmp_path / x) for x in ("state", "data", "report"))
+    args = ["--base-dir", lake.base, "--json"]
+    day = ["--period", "day", "--value", DATE, "--state-dir", state, "--data-dir", data]
+    assert main([*args, "audit-reconcile", *day, "--report", report]) == 2
+    assert spark.read.json(report).groupBy("divergence").count().collect()[0]["count"] == 22
+    assert main([*args, "audit-backfill", *day, "--provider", "tests.test_api:hours_of"]) == 2
+    assert '"written": 2' in capsys.readouterr().out
+    intents = spark.createDataFrame([("m", DAY0, None, DAY0 + 86_400_000)], "maintenance_id string, created_ms long, consumed_ms long, expires_ms long")
+    intents.write.parquet(f"{state}/maintenance_intent")
+    lake.component_event(state, "writer", "w1", "register", "b")
+    lake.component_event(state, "writer", "w1", "shutdown", planned=True)
+    os.makedirs(f"{data}/c1")
+    with open(f"{data}/c1/lifecycle.jsonl", "w") as f:
+        f.write(json.dumps({"ts_ns": DAY0 * 10**6, "event": "start", "collector_session_id": "c"}) + "\n" + json.dumps({"ts_ns": (DAY0 + 5000) * 10**6, "event": "clean_shutdown", "collector_session_id": "c"}) + "\n{bad\n")
+    found = lake.audit_state(DAY0, DAY0 + 86_399_999, **lake.state_inputs(state, data))
+    assert {r.source for r in found.collect()} == {"pg.maintenance_intent", "ledger"}
+    assert main([*args, "mark-maintenance", "--id", "q", "--scope", "all", "--planned-by", "me", "--reason", "r", "--state-dir", f"{state}2"]) == 0
+    assert main([*args, "audit-state", *day]) == 0 and main([*args, "audit-reconcile", "--period", "week", "--value", "x"]) == 2
+    assert main([*args, "gaps-backfill", "--date", DATE, "--provider", "tests.test_api:hours_of"]) == 0
+    assert main([*args, "consolidate-cycle"]) == 0 and main([*args, "backfill-cycle", "--provider", "tests.test_api:hours_of", "--days", "1"]) == 0
+
+
 def test_health(spark):
     p = spark.createDataFrame([("k", t * S, f) for t, f in ((0, False), (10, True), (20, True), (45, True), (50, None), (4000, True), (4001, True))], "k string, t long, bad boolean")
     st = health.producer_states(p, ["k"], "t", "bad")

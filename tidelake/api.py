@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.names import NAMES, path_columns
 from tidelake.functions.timeutil import DAY_MS, HOUR_MS, dates_in_scope, period
 from tidelake.operators import backfill, consolidate, continuity, depth, gaps, integrity, reconcile, state
-from tidelake.runtime import drop_cut, spread, write_cut
+from tidelake.runtime import drop_cut, path_exists, spread, write_cut
 from tidelake.sources import archive, sink
 
 KEYS = list(NAMES)
@@ -205,6 +205,39 @@ class Lake:
         m = reconcile.chosen(f, s, tolerance_ms)
         return {"explained": f.join(m, "file_id"), "unexplained": reconcile.unexplained(f, m), "orphan_state": reconcile.orphans(s, m), "summary": reconcile.summary(f, s, m)}
 
+    def state_inputs(self, state_dir: str | None = None, data_dir: str | None = None) -> dict[str, DataFrame]:
+        """The inputs of audit_state that there are: tables component_runtime_state (events, see state.component_state) and
+        maintenance_intent (Parquet) in state_dir, the journals lifecycle.jsonl and kafka_outage.json of each collector
+        in data_dir, and the manifests of the archive."""
+        found: dict[str, DataFrame] = {}
+        for name, key in (("component_runtime_state", "components"), ("maintenance_intent", "intents")):
+            if state_dir and path_exists(self.spark, f"{state_dir}/{name}"):
+                found[key] = self.spark.read.parquet(f"{state_dir}/{name}")
+        if "components" in found:
+            found["components"] = state.component_state(found["components"])
+        if data_dir:
+            ledger = archive.read_tolerant(self.spark, f"{data_dir}/*/lifecycle.jsonl", archive.LEDGER).where("ts_ns IS NOT NULL")
+            found["ledger"] = ledger.withColumns({"ts": F.expr("ts_ns div 1000000"), "line_no": F.col("ts_ns")})
+            outages = archive.read_tolerant(self.spark, f"{data_dir}/*/kafka_outage.json", archive.OUTAGE).where("outage_started_at_ns IS NOT NULL")
+            found["outages"] = outages.withColumn("start_ms", F.expr("outage_started_at_ns div 1000000"))
+        m = archive.manifests(self.spark, self.base).withColumnRenamed("date", "utc_date").where("missing_hours IS NOT NULL")
+        found["manifests"] = m
+        return found
+
+    def audit(self, start_ms: int, end_ms: int, state_dir: str | None = None, data_dir: str | None = None, strict: bool = False, report: str | None = None, **names: list[str] | None) -> dict[str, DataFrame]:
+        """reconcile over a scope; with report (a folder) what is unexplained or orphaned is written there as JSON lines."""
+        out = self.reconcile(self.audit_files(start_ms, end_ms, **names), self.audit_state(start_ms, end_ms, strict=strict, **self.state_inputs(state_dir, data_dir), **names))
+        if report:
+            say = lambda df, what: df.select(F.lit(what).alias("divergence"), *gaps.GAP)
+            say(out["unexplained"], "unexplained").unionByName(say(out["orphan_state"], "orphan_state")).write.mode("overwrite").json(report)
+        return out
+
+    def audit_backfill(self, provider: Callable[[str, str, str, int, int], Iterable[str]], start_ms: int, end_ms: int, **options) -> tuple[dict, dict[str, DataFrame]]:
+        """Fetches the scope's missing hours, then audits what is left: (summary of the backfill, audit)."""
+        names = {k: options.get(k) for k in NAMES}
+        done = backfill.summary(self.backfill_hours(provider, dates_in_scope(start_ms, end_ms), **names)).first().asDict()
+        return done, self.audit(start_ms, end_ms, **options)
+
     @staticmethod
     def scope(kind: str, value: str | None = None, since: str | None = None, until: str | None = None) -> tuple[int, int]:
         return period(kind, value, since, until)
@@ -289,10 +322,21 @@ class Lake:
 
     # --- maintenance ---
 
-    def mark_maintenance(self, maintenance_id: str, scope: str, planned_by: str, reason: str, ttl_minutes: int = 60) -> DataFrame:
-        """The intent as one row, to be added to the state's table (K10)."""
+    def mark_maintenance(self, maintenance_id: str, scope: str, planned_by: str, reason: str, ttl_minutes: int = 60, state_dir: str | None = None) -> DataFrame:
+        """The intent as one row; with state_dir it is added to the table maintenance_intent there."""
         row = (maintenance_id, scope, planned_by, reason, self.now_ms, self.now_ms + ttl_minutes * 60_000, None)
-        return self.spark.createDataFrame([row], "maintenance_id string, scope string, planned_by string, reason string, created_ms bigint, expires_ms bigint, consumed_ms bigint")
+        out = self.spark.createDataFrame([row], "maintenance_id string, scope string, planned_by string, reason string, created_ms bigint, expires_ms bigint, consumed_ms bigint")
+        if state_dir:
+            out.write.mode("append").parquet(f"{state_dir}/maintenance_intent")
+        return out
+
+    def component_event(self, state_dir: str, component: str, instance_id: str, event: str, host_boot_id: str | None = None, planned: bool | None = None, maintenance_id: str | None = None) -> None:
+        """Adds a register, heartbeat or shutdown of a component to the table component_runtime_state."""
+        if event not in ("register", "heartbeat", "shutdown"):
+            raise ValueError(f"unknown event: {event!r}")
+        row = (component, instance_id, event, self.now_ms, host_boot_id, planned, maintenance_id)
+        kinds = "component string, instance_id string, event string, at_ms bigint, host_boot_id string, planned boolean, maintenance_id string"
+        self.spark.createDataFrame([row], kinds).coalesce(1).write.mode("append").parquet(f"{state_dir}/component_runtime_state")
 
     def torn_tails(self) -> DataFrame:
         return archive.torn_files(self.spark, self.base).where("good_bytes < size_bytes")
