@@ -427,6 +427,24 @@ def test_payload_keys(spark):
 # --- frames ---
 
 
+def test_long_intervals_meet_in_wide_buckets(spark):
+    r = random.Random(3)
+    spans = lambda n: [(i, r.randrange(10), s, s + r.choice([0, 5, 3_000, 5_000_000, 10**12])) for i, s in enumerate(r.randrange(-10**6, 10**7) for _ in range(n))]
+    a, b = spans(60), spans(60)
+    left = spark.createDataFrame(a, "i long, k long, s long, e long")
+    right = spark.createDataFrame(b, "j long, k long, s2 long, e2 long")
+    got = Counter((x.i, x.j) for x in overlapping(left, right, ["k"], ("s", "e"), ("s2", "e2"), 10, 3).collect())
+    assert got == Counter((i, j) for i, k, s, e in a for j, k2, s2, e2 in b if k == k2 and s - 3 <= e2 and e + 3 >= s2)
+
+
+def test_usual_frames_need_no_walk(spark):
+    from tidelake.functions.frames import _data, raw_data
+
+    frames = ['{"stream":"a@depth","data":{"x":"}","y":[1, 2]}}', ' { "stream" : "a@depth" , "data" : "q\\"}" } ', '{"data":1,"stream":"s"}', '{"stream":"s","data":1,"data":2}', '{"stream":"a\\"b","data":{"d":1}}', '{"stream":"s","data":', '{"stream":"s","data":null}', "x", None, '{"id":1,"stream":"s","data":[{}]}']
+    got = [r.d for r in spark.createDataFrame([(i, f) for i, f in enumerate(frames)], "i int, f string").orderBy("i").select(raw_data(F.col("f")).alias("d")).collect()]
+    assert got == [_data(f) for f in frames] and got[0] == '{"x":"}","y":[1, 2]}' and got[6] == "null"
+
+
 def test_value_at():
     cases = {'{"a":"}"} ,1': '{"a":"}"}', ' "q\\"x" ]': '"q\\"x"', "12.50 , 3": "12.50", "true}": "true", '[1,{"b":[2]}],': '[1,{"b":[2]}]', '{"open": 1': None}
     assert {k: value_at(k, 0) for k in cases} == cases

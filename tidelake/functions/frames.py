@@ -76,9 +76,16 @@ def _all_data(frame: pd.Series) -> pd.Series:
     return frame.map(_data)
 
 
+_USUAL = r'(?s)^\s*\{\s*"stream"\s*:\s*"[^"\\]*"\s*,\s*"data"\s*:\s*(.*\S)\s*\}\s*$'
+
+
 def raw_data(frame: Column) -> Column:
-    """The payload of combined frames, character for character (no re-serialisation)."""
-    return F.pandas_udf(_all_data, StringType())(frame)
+    """The payload of combined frames, character for character (no re-serialisation). A frame of the two keys stream and
+    data in this order, which is checked by its parsed keys, gives what stands between them and the last brace;
+    only other frames are walked by Python."""
+    usual = F.json_object_keys(frame).eqNullSafe(F.array(F.lit("stream"), F.lit("data")))
+    fast = F.when(usual, F.nullif(F.regexp_extract(frame, _USUAL, 1), F.lit("")))
+    return F.coalesce(fast, F.pandas_udf(_all_data, StringType())(F.when(fast.isNull(), frame)))
 
 
 def stream_key_columns(key: Column) -> tuple[Column, Column]:
@@ -93,12 +100,14 @@ def stream_key_columns(key: Column) -> tuple[Column, Column]:
 def route_frames(df: DataFrame, frame: str, subscribed: list[str] | DataFrame) -> DataFrame:
     """df with stream, symbol, raw_text of each combined frame. Frames of all symbols (liquidations) take the symbol
     of the payload and are dropped unless it is subscribed (a list, or a table with a column symbol in lower
-    case); unknown streams are dropped."""
-    d = df.withColumn("raw_text", raw_data(F.col(frame)))
-    symbol, stream = stream_key_columns(F.get_json_object(frame, "$.stream"))
+    case); a symbol's own frames come because it is subscribed. Unknown streams are dropped."""
+    d = df.withColumns({"raw_text": raw_data(F.col(frame)), "_key": F.get_json_object(frame, "$.stream")})
+    symbol, stream = stream_key_columns(F.col("_key"))
     payload_symbol = F.lower(F.coalesce(F.get_json_object("raw_text", "$.o.s"), F.get_json_object("raw_text", "$.s")))
     d = d.withColumns({"stream": stream, "symbol": F.coalesce(symbol, payload_symbol)})
     d = d.where(F.col("stream").isNotNull() & F.col("raw_text").isNotNull())
+    own = ~F.col("_key").startswith("!")
     if isinstance(subscribed, DataFrame):
-        return d.join(subscribed.select("symbol").distinct(), "symbol", "left_semi")
-    return d.where(F.col("symbol").isin([s.lower() for s in subscribed]))
+        known = subscribed.select("symbol").distinct()
+        return d.where(own).unionByName(d.where(~own).join(known, "symbol", "left_semi")).drop("_key")
+    return d.where(own | F.col("symbol").isin([s.lower() for s in subscribed])).drop("_key")

@@ -194,6 +194,20 @@ def kline_closes(spark, sf):
     return backfill.kline_closes(pages, "page", "mark").select("exchange", "symbol", "t", "mark")
 
 
+@query
+def frame_routing_all(spark, sf):
+    """Archived payloads of every routed stream in combined frames and out again; liquidations come in the frame of all
+    symbols, take the payload's symbol and pass if that is subscribed. Every tenth frame has another key before."""
+    from tidelake.functions import frames
+
+    e = envelopes(spark, sf).where(F.col("raw_text").isNotNull() & (F.col("type") == "data") & F.col("stream").isin(*frames.STREAM_KEYS.values()))
+    back = F.create_map(*(x for k, v in frames.STREAM_KEYS.items() for x in (F.lit(v), F.lit(k))))[F.col("stream")]
+    key = F.when(F.col("stream") == "liquidations", "!forceOrder@arr").otherwise(F.concat("symbol", F.lit("@"), back))
+    frame = F.concat(F.when(F.col("row_id") % 10 == 0, '{"id":1,"stream":"').otherwise('{"stream":"'), key, F.lit('","data":'), "raw_text", F.lit("}"))
+    d = frames.route_frames(e.select(F.col("raw_text").alias("before"), F.col("stream").alias("told"), frame.alias("frame")), "frame", e.select("symbol"))
+    return d.groupBy("stream").agg(F.count("*").alias("n"), F.count_if((F.col("before") == F.col("raw_text")) & (F.col("told") == F.col("stream"))).alias("n_same"))
+
+
 # --- histograms ---
 
 

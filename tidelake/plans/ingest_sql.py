@@ -68,6 +68,10 @@ SELECT {K}, CASE WHEN miss THEN 'gap' ELSE 'data' END AS type, CASE WHEN NOT mis
  CASE WHEN miss THEN {RESTART_NS} END AS gap_start_ts, CASE WHEN miss THEN 'snapshot_poll_miss' END AS reason, CASE WHEN miss THEN 'no answer after 2 tries' END AS detail FROM x"""
 SQL["kline_closes"] = f"WITH {E} SELECT exchange, symbol, exchange_ts // 60000 * 60000 AS t, max({_j('$.p', 'DOUBLE')}) AS mark FROM e WHERE type = 'data' AND stream = 'funding_rate' AND exchange_ts IS NOT NULL AND {_j('$.p', 'DOUBLE')} IS NOT NULL GROUP BY ALL"
 
+SQL["frame_routing_all"] = f"""WITH {E}, s AS (SELECT DISTINCT symbol FROM e WHERE type = 'data' AND raw_text IS NOT NULL AND stream IN ('trades', 'depth', 'bookticker', 'funding_rate', 'liquidations'))
+SELECT stream, count(*) AS n, count(*) AS n_same FROM e WHERE type = 'data' AND raw_text IS NOT NULL AND stream IN ('trades', 'depth', 'bookticker', 'funding_rate', 'liquidations')
+ AND (stream <> 'liquidations' OR lower(coalesce(json_extract_string(raw_text, '$.o.s'), json_extract_string(raw_text, '$.s'))) IN (SELECT symbol FROM s)) GROUP BY ALL"""
+
 
 def _hist(rows: str, by: str, value: str, bounds: tuple[int, ...]) -> str:
     les = ", ".join(map(str, bounds))

@@ -29,6 +29,11 @@ def open_read(path: str) -> BinaryIO:
     return fs.open_input_stream(p, compression=None)
 
 
+def open_seekable(path: str) -> BinaryIO:
+    fs, p = _fs(path)
+    return fs.open_input_file(p)
+
+
 def open_write(path: str) -> BinaryIO:
     fs, p = _fs(path)
     fs.create_dir(os.path.dirname(p), recursive=True)

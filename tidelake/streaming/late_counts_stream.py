@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.late_counts import counter_cells, merge_cells
+from tidelake.runtime import list_dirs, remove_path
 
 
 class CounterTable:
@@ -37,6 +38,10 @@ class CounterTable:
         return merge_cells(self.spark.read.parquet(self.base).drop("part"), keys=self.keys)
 
     def compact(self, upto: int) -> None:
-        """One part (numbered -1 - upto) for all parts up to a number; the old ones may be removed afterwards."""
-        d = self.spark.read.parquet(self.base).where(F.col("part") <= upto).drop("part")
+        """One part (numbered -1 - upto) for all parts up to a number, which are then removed. A reader meanwhile may see
+        both, which counts once; run it between micro-batches, as readers list the parts they read."""
+        old = [x for x in list_dirs(self.spark, self.base) if x.startswith("part=") and int(x[5:]) <= upto and int(x[5:]) != -1 - upto]
+        d = self.spark.read.option("basePath", self.base).parquet(*[f"{self.base}/{x}" for x in old]).drop("part")
         merge_cells(d, keys=self.keys).write.mode("overwrite").parquet(f"{self.base}/part={-1 - upto}")
+        for x in old:
+            remove_path(self.spark, f"{self.base}/{x}")
