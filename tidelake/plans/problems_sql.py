@@ -24,9 +24,18 @@ e AS (SELECT {_n('exchange')} AS exchange, {_n('symbol')} AS symbol, {_n('stream
 l AS (SELECT e.*, CASE WHEN received_at > upto THEN CASE WHEN received_at >= (hour_start_ms + 25200000) * 1000000 THEN 2 ELSE 1 END ELSE 0 END AS class
       FROM e LEFT JOIN c USING (exchange, symbol, stream, hour_start_ms))"""
 
+# Messages: a row with broker coordinates only takes the session that a copy of it in its stream has.
+_BY_S = "collector_session_id IS NOT NULL AND session_seq >= 0"
+_BY_B = "_topic IS NOT NULL AND _partition IS NOT NULL AND _offset >= 0"
+_P2_ONE = _P2.replace("FROM envelopes WHERE type = 'data' AND exchange_ts IS NOT NULL", "FROM one WHERE exchange_ts IS NOT NULL").replace("WITH c AS", f"""WITH n AS (SELECT * EXCLUDE (exchange, symbol, stream), {_n('exchange')} AS exchange, {_n('symbol')} AS symbol, {_n('stream')} AS stream FROM envelopes WHERE type = 'data'),
+t AS (SELECT exchange, symbol, stream, _topic, _partition, _offset, collector_session_id AS s, session_seq AS q FROM n WHERE {_BY_B} AND {_BY_S} QUALIFY row_number() OVER (PARTITION BY exchange, symbol, stream, _topic, _partition, _offset ORDER BY collector_session_id, session_seq) = 1),
+one AS (SELECT n.* REPLACE (CASE WHEN t.s IS NOT NULL AND NOT coalesce({_BY_S}, false) THEN t.s ELSE collector_session_id END AS collector_session_id, CASE WHEN t.s IS NOT NULL AND NOT coalesce({_BY_S}, false) THEN t.q ELSE session_seq END AS session_seq)
+  FROM n LEFT JOIN t USING (exchange, symbol, stream, _topic, _partition, _offset)),
+c AS""", 1)
+
 _P2_FOUND = f"{_P2} SELECT DISTINCT exchange, symbol, stream, hour_start_ms, CASE class WHEN 1 THEN 'corrected' ELSE 'cut_off' END AS outcome FROM l WHERE class > 0"
 
-_P2_COUNTS = f"""{_P2}, u AS (SELECT exchange, symbol, stream, hour_start_ms, source, version, min(class) AS class FROM l GROUP BY ALL)
+_P2_COUNTS = f"""{_P2_ONE}, u AS (SELECT exchange, symbol, stream, hour_start_ms, source, version, min(class) AS class FROM l GROUP BY ALL)
 SELECT exchange, symbol, stream, hour_start_ms, count_if(class = 0)::BIGINT AS n_on_time, count_if(class = 1)::BIGINT AS n_corrected, count_if(class = 2)::BIGINT AS n_cut_off, count_if(class < 2)::BIGINT AS n_final
 FROM u GROUP BY ALL"""
 
